@@ -141,22 +141,56 @@ def value_codes(df: DataFrame, column: str, null_as: str | None = None) -> DataF
     return placed.select(column, (F.col("_at") - 1).cast("int").alias("code"))
 
 
+SMALL_DICTIONARY = 1000
+
+
+def small_dictionary(df: DataFrame, column: str, limit: int = SMALL_DICTIONARY) -> list[str] | None:
+    """The sorted distinct values if there are at most ``limit`` of them, else None.
+
+    The check itself brings at most ``limit + 1`` values to the driver.
+    """
+    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
+    return None if len(found) > limit else sorted(r[0] for r in found)
+
+
 def encode_ordinal(
-    df: DataFrame, column: str, out: str, null_as: str | None = None, null_code: int = -1
+    df: DataFrame,
+    column: str,
+    out: str,
+    null_as: str | None = None,
+    null_code: int = -1,
+    values: Sequence[str] | None = None,
+    limit: int = SMALL_DICTIONARY,
 ) -> DataFrame:
-    """Attach the code of ``column``. The join strategy is left to the planner, which
-    broadcasts the dictionary only when its measured size allows it."""
-    codes = value_codes(df, column, null_as).select(F.col(column).alias("_v"), F.col("code").alias(out))
+    """Attach the position of ``column`` among its sorted distinct values.
+
+    A dictionary of checked small size (or a given one) becomes a map literal, so the rows
+    are only projected. A larger one is ranked in parallel and joined, with the join
+    strategy left to the planner.
+    """
     value = F.col(column) if null_as is None else F.coalesce(F.col(column), F.lit(null_as))
+    if values is None:
+        values = small_dictionary(df.select(value.alias(column)), column, limit)
+    if values is not None:
+        if not values:
+            return df.withColumn(out, F.lit(null_code))
+        codes = F.create_map(*[F.lit(x) for i, v in enumerate(values) for x in (v, i)])
+        return df.withColumn(out, F.coalesce(F.try_element_at(codes, value), F.lit(null_code)))
+    codes = value_codes(df, column, null_as).select(F.col(column).alias("_v"), F.col("code").alias(out))
     joined = df.withColumn("_value", value).join(codes, F.col("_value") == F.col("_v"), "left")
     return joined.withColumn(out, F.coalesce(out, F.lit(null_code))).drop("_v", "_value")
 
 
 def service_features(df: DataFrame, top: int = 10, services: Sequence[str] | None = None) -> DataFrame:
+    """Code of the service and one flag for each of the ``top`` most frequent ones.
+
+    ``services`` fixes the vocabulary for both, as a stream needs.
+    """
     if "service_name" not in df.columns:
         return df
     names = vocabulary(df, "service_name", top) if services is None else services
-    return one_hot(encode_ordinal(df, "service_name", "service_encoded"), "service_name", names, "service")
+    coded = encode_ordinal(df, "service_name", "service_encoded", values=services)
+    return one_hot(coded, "service_name", names, "service")
 
 
 def rolling_features(df: DataFrame, width_us: int = FIVE_MINUTES_US, ts: str = "timestamp") -> DataFrame:

@@ -30,9 +30,19 @@ def label_cutoffs(df: DataFrame, p: float = CUTOFF_PERCENTILE) -> DataFrame:
     )
 
 
-def label_anomalies(df: DataFrame, error_rate: float = ERROR_RATE_LIMIT, p: float = CUTOFF_PERCENTILE) -> DataFrame:
-    """``is_anomaly``: any of error level, error, error rate, slow, memory or duration tail."""
-    cut = label_cutoffs(df, p).select(F.struct("*").alias("c")).scalar()
+def label_anomalies(
+    df: DataFrame,
+    cutoffs: DataFrame | None = None,
+    error_rate: float = ERROR_RATE_LIMIT,
+    p: float = CUTOFF_PERCENTILE,
+) -> DataFrame:
+    """``is_anomaly``: any of error level, error, error rate, slow, memory or duration tail.
+
+    Pass ``cutoffs`` from a narrow frame (two columns are enough) when ``df`` is the
+    result of expensive windows, so that those are not evaluated twice.
+    """
+    cutoffs = label_cutoffs(df, p) if cutoffs is None else cutoffs
+    cut = cutoffs.select(F.struct("*").alias("c")).scalar()
     rule = (
         (F.col("log_level") == "ERROR")
         | (F.col("has_error") == 1)

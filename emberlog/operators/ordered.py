@@ -178,36 +178,61 @@ def exact_percentiles(
     """Percentiles of the non-null values per key, one output column per point.
 
     Default is linear interpolation between closest ranks; ``nearest_rank`` picks the
-    value at index ``floor(n * p)`` of the sorted values instead. Values are collapsed to
-    (value, count) first, and the target ranks are picked by conditional minima, so no
-    group is ever gathered.
+    value at index ``floor(n * p)`` of the sorted values instead. Range counts decide
+    which ranges hold a wanted rank, and only the rows of those ranges are collapsed to
+    (value, count) and ranked: the full column is scanned but never shuffled, and no
+    group is gathered.
     """
     keys = list(keys)
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).cast("double").alias("_v"))
+    values = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
+    ranged = range_buckets(values, "_v", parts=parts)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        ranged.groupBy(*keys, "_bucket")
         .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_c").over(before), F.lit(0)),
+                "_n": F.sum("_c").over(Window.partitionBy(*keys)),
+            }
+        )
+    )
+    total = F.col("_n")
+
+    def ranks(p: float) -> list[Column]:
+        if nearest_rank:
+            return [F.least(F.floor(total * F.lit(float(p))), total - 1)]
+        spot = (total - 1) * F.lit(float(p))
+        return [F.floor(spot), F.ceil(spot)]
+
+    wanted = [r for p in points.values() for r in ranks(p)]
+    holds = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")) for r in wanted]
+    targets = counts.where(reduce(lambda a, b: a | b, holds)).drop("_c")
+    ranked = (
+        _join_on(ranged, targets, [*keys, "_bucket"])
+        .groupBy(*keys, "_bucket", "_before", "_n", "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn(
+            "_cum",
+            F.col("_before")
+            + F.sum("_c").over(
+                Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+            ),
+        )
     )
-    ranked = ordered_running(counted, keys, ["_v"], {"_cum": F.col("_c")}, parts=parts)
-    total = F.col("_cum_total")
     picks = []
     for name, p in points.items():
-        if nearest_rank:
-            low = F.least(F.floor(total * F.lit(p)), total - 1)
-            picks.append(F.min(F.when(F.col("_cum") > low, F.col("_v"))).alias(f"_lo_{name}"))
-        else:
-            spot = (total - 1) * F.lit(float(p))
-            picks.append(F.min(F.when(F.col("_cum") > F.floor(spot), F.col("_v"))).alias(f"_lo_{name}"))
-            picks.append(F.min(F.when(F.col("_cum") > F.ceil(spot), F.col("_v"))).alias(f"_hi_{name}"))
-    picked = ranked.groupBy(*keys).agg(F.max(total).alias("_n"), *picks)
+        for i, r in enumerate(ranks(p)):
+            picks.append(F.min(F.when(F.col("_cum") > r, F.col("_v"))).alias(f"_{i}_{name}"))
+    picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
     out = []
     for name, p in points.items():
-        low = F.col(f"_lo_{name}")
+        low = F.col(f"_0_{name}")
         if nearest_rank:
             out.append(low.alias(name))
         else:
-            spot = (F.col("_n") - 1) * F.lit(float(p))
-            out.append((low + (F.col(f"_hi_{name}") - low) * (spot - F.floor(spot))).alias(name))
+            spot = (total - 1) * F.lit(float(p))
+            out.append((low + (F.col(f"_1_{name}") - low) * (spot - F.floor(spot))).alias(name))
     return picked.select(*keys, *out)
 
 

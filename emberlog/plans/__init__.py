@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from emberlog.plans import log_queries  # noqa: F401
+from emberlog.plans import experiment_queries, log_queries, quality_queries  # noqa: F401
 from emberlog.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -32,8 +32,13 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ft.create_features(parsed(spark, sf_dir), services=SERVICES)
 
 
+def cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    narrow = parsed(spark, sf_dir).transform(ft.performance_features).transform(ft.fill_zero)
+    return label_cutoffs(narrow)
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_anomalies(features(spark, sf_dir))
+    return label_anomalies(features(spark, sf_dir), cutoffs(spark, sf_dir))
 
 
 @query(
@@ -247,7 +252,7 @@ def top_values_one_hot(spark, sf_dir):
     """SELECT p_partkey, dense_rank() OVER (ORDER BY p_name) - 1 AS code FROM part""",
 )
 def ordinal_codes(spark, sf_dir):
-    return ft.encode_ordinal(table(spark, sf_dir, "part"), "p_name", "code").select("p_partkey", "code")
+    return ft.encode_ordinal(table(spark, sf_dir, "part"), "p_name", "code", limit=100).select("p_partkey", "code")
 
 
 @query(
@@ -318,8 +323,7 @@ def all_features(spark, sf_dir):
     f"""WITH {LABELLED} SELECT round(mc, 6) AS memory_cut, round(dc, 6) AS duration_cut FROM cuts""",
 )
 def label_cutoff_values(spark, sf_dir):
-    logs = parsed(spark, sf_dir).transform(ft.performance_features).transform(ft.fill_zero)
-    return label_cutoffs(logs).select(
+    return cutoffs(spark, sf_dir).select(
         F.round("memory_cut", 6).alias("memory_cut"), F.round("duration_cut", 6).alias("duration_cut")
     )
 

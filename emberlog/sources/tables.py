@@ -76,7 +76,7 @@ def experiment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("row_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.col("o_orderdate").alias("timestamp"),
-        F.round(F.col("o_totalprice") / 10000.0, 4).alias("latency_ms"),
+        F.round(F.col("o_totalprice") / 10000.0, 6).alias("latency_ms"),
         F.round((F.col("o_orderkey") % 1000) / 1000.0, 3).alias("f1_score"),
         F.round(((F.col("o_orderkey") * 37 + F.col("o_custkey")) % 1009) / 1009.0, 6).alias("accuracy"),
         (F.col("o_orderstatus") == "F").cast("int").alias("success"),
