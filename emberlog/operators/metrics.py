@@ -168,7 +168,7 @@ def held_alerts(checked: DataFrame, series: Sequence[str], ts: str = "ts") -> Da
     active = runs.where(F.col("_on") == 1).select(*keys, ts, "for_seconds", "_run")
     bounds = active.groupBy(*keys, "_run").agg(F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"))
     timed = _join_on(active, bounds, [*keys, "_run"])
-    held = F.unix_micros(ts) - F.unix_micros("started_at") >= F.col("for_seconds") * 1_000_000
+    held = F.unix_micros(ts) - F.unix_micros("started_at") >= F.col("for_seconds").cast("bigint") * 1_000_000
     return timed.where(held).groupBy(*keys, "_run", "started_at", "ended_at").agg(F.min(ts).alias("fired_at")).drop("_run")
 
 

@@ -1,0 +1 @@
+"""Structured Streaming forms of the log, experiment and alert operators."""
