@@ -24,14 +24,13 @@ EPOCH_MILLIS_FROM = 1e10
 
 
 def json_fields(message: Column) -> Column:
-    """MAP of the top-level keys of a JSON object; NULL for anything else.
+    """MAP of the top-level keys of a JSON object (may be empty); NULL for anything else.
 
     The shape test keeps scalars, arrays and objects with trailing text away from the
     lenient parser.
     """
     shaped = message.rlike(r"(?s)^\s*\{.*\}\s*$")
-    fields = F.when(shaped, F.from_json(message, "map<string,string>"))
-    return F.when(F.size(fields) > 0, fields)
+    return F.when(shaped, F.from_json(message, "map<string,string>"))
 
 
 def level_from_text(message: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from emberlog.functions.binning import ratio
 from emberlog.operators.ordered import _join_on, ordered_running, with_lags
 from emberlog.operators.stats import top_n_per_key
+from emberlog.session import stored
 
 
 def counter_deltas(samples: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", tie: str | None = None) -> DataFrame:
@@ -159,13 +160,11 @@ def held_alerts(checked: DataFrame, series: Sequence[str], ts: str = "ts") -> Da
     One row per fired run: ``started_at, fired_at, ended_at``.
     """
     keys = ["alertname", "severity", "team", *series]
-    marked = with_lags(
-        checked.select(*keys, ts, "for_seconds", F.col("active").cast("int").alias("_on")), keys, [ts],
-        {"_was": ("_on", 1)},
-    )
+    narrow = stored(checked.select(*keys, ts, "for_seconds", F.col("active").cast("int").alias("_on")))
+    marked = with_lags(narrow, keys, [ts], {"_was": ("_on", 1)})
     start = ((F.col("_on") == 1) & (F.coalesce("_was", F.lit(0)) == 0)).cast("int")
-    runs = ordered_running(marked.withColumn("_start", start), keys, [ts], {"_run": F.col("_start")})
-    active = runs.where(F.col("_on") == 1).select(*keys, ts, "for_seconds", "_run")
+    runs = ordered_running(stored(marked.withColumn("_start", start)), keys, [ts], {"_run": F.col("_start")})
+    active = stored(runs.where(F.col("_on") == 1).select(*keys, ts, "for_seconds", "_run"))
     bounds = active.groupBy(*keys, "_run").agg(F.min(ts).alias("started_at"), F.max(ts).alias("ended_at"))
     timed = _join_on(active, bounds, [*keys, "_run"])
     held = F.unix_micros(ts) - F.unix_micros("started_at") >= F.col("for_seconds").cast("bigint") * 1_000_000

@@ -70,19 +70,17 @@ def range_buckets(
     by ``tie``. Only the balance depends on the sketch, never the result.
     """
     parts = parts or range_parts(df.sparkSession)
-    out = df.withColumn("_cuts", _cut_points(df, order, parts))
-    at = _rank_in_cuts(F.col(order), F.col("_cuts"), parts)
-    out = out.withColumn("_at", at).withColumn(
-        "_on_cut", F.coalesce(F.get("_cuts", F.col("_at")) == F.col(order), F.lit(False))
-    )
-    major = F.col("_at").cast("bigint") * 2 + F.col("_on_cut").cast("bigint")
-    if tie is None:
-        out = out.withColumn(name, major)
-    else:
-        out = out.withColumn("_tie_cuts", _cut_points(df, tie, parts))
-        minor = F.when(F.col("_on_cut"), _rank_in_cuts(F.col(tie), F.col("_tie_cuts"), parts)).otherwise(0)
-        out = out.withColumn(name, major * parts + minor).drop("_tie_cuts")
-    return out.drop("_cuts", "_at", "_on_cut")
+    value = F.col(order)
+    cut = [_cut_points(df, order, parts).alias("_cuts")]
+    if tie is not None:
+        cut.append(_cut_points(df, tie, parts).alias("_tie_cuts"))
+    placed = df.select("*", *cut).select("*", _rank_in_cuts(value, F.col("_cuts"), parts).alias("_at"))
+    on_cut = F.coalesce(F.get("_cuts", F.col("_at")) == value, F.lit(False))
+    bucket = F.col("_at").cast("bigint") * 2 + on_cut.cast("bigint")
+    if tie is not None:
+        minor = F.when(on_cut, _rank_in_cuts(F.col(tie), F.col("_tie_cuts"), parts)).otherwise(0)
+        bucket = bucket * parts + minor
+    return placed.select(*[F.col(c) for c in df.columns], bucket.alias(name))
 
 
 def ordered_running(
@@ -184,6 +182,8 @@ def exact_percentiles(
     group is gathered.
     """
     keys = list(keys)
+    # finer ranges than tasks: the fewer rows share a range with a wanted rank, the better
+    parts = parts or max(256, range_parts(df.sparkSession))
     values = df.where(F.col(column).isNotNull()).select(*keys, F.col(column).cast("double").alias("_v"))
     ranged = range_buckets(values, "_v", parts=parts)
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -197,43 +197,54 @@ def exact_percentiles(
             }
         )
     )
-    total = F.col("_n")
 
-    def ranks(p: float) -> list[Column]:
+    def rank_of(p: Column, up: bool) -> Column:
         if nearest_rank:
-            return [F.least(F.floor(total * F.lit(float(p))), total - 1)]
-        spot = (total - 1) * F.lit(float(p))
-        return [F.floor(spot), F.ceil(spot)]
-
-    wanted = [r for p in points.values() for r in ranks(p)]
-    holds = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_c")) for r in wanted]
-    targets = counts.where(reduce(lambda a, b: a | b, holds)).drop("_c")
-    ranked = (
+            return F.least(F.floor(F.col("_n") * p), F.col("_n") - 1)
+        spot = (F.col("_n") - 1) * p
+        return F.ceil(spot) if up else F.floor(spot)
+
+    wanted = F.array(*[F.lit(float(p)) for p in points.values()])
+    ranks = F.transform(wanted, lambda p: rank_of(p, False))
+    if not nearest_rank:
+        ranks = F.array_distinct(F.concat(ranks, F.transform(wanted, lambda p: rank_of(p, True))))
+    targets = (
+        counts.withColumn(
+            "_ranks",
+            F.filter(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_c"))),
+        )
+        .where(F.size("_ranks") > 0)
+        .drop("_c")
+    )
+    hit = (
         _join_on(ranged, targets, [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_before", "_n", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn(
-            "_cum",
-            F.col("_before")
-            + F.sum("_c").over(
-                Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-            ),
+        .groupBy(*keys, "_bucket", "_v")
+        .agg(
+            F.count(F.lit(1)).alias("_c"), F.first("_before").alias("_before"), F.first("_n").alias("_n"),
+            F.first("_ranks").alias("_ranks"),
         )
     )
-    picks = []
-    for name, p in points.items():
-        for i, r in enumerate(ranks(p)):
-            picks.append(F.min(F.when(F.col("_cum") > r, F.col("_v"))).alias(f"_{i}_{name}"))
-    picked = ranked.groupBy(*keys).agg(F.max("_n").alias("_n"), *picks)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    # each wanted rank falls on exactly one value: at most two rows per point and key remain
+    found = hit.withColumn("_cum", F.col("_before") + F.sum("_c").over(inside)).select(
+        *keys, "_n", "_v",
+        F.explode(
+            F.filter("_ranks", lambda r: (r >= F.col("_cum") - F.col("_c")) & (r < F.col("_cum")))
+        ).alias("_r"),
+    )
+    by_rank = found.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_at")
+    )
     out = []
     for name, p in points.items():
-        low = F.col(f"_0_{name}")
+        low = F.element_at("_at", rank_of(F.lit(float(p)), False))
         if nearest_rank:
             out.append(low.alias(name))
         else:
-            spot = (total - 1) * F.lit(float(p))
-            out.append((low + (F.col(f"_1_{name}") - low) * (spot - F.floor(spot))).alias(name))
-    return picked.select(*keys, *out)
+            high = F.element_at("_at", rank_of(F.lit(float(p)), True))
+            spot = (F.col("_n") - 1) * F.lit(float(p))
+            out.append((low + (high - low) * (spot - F.floor(spot))).alias(name))
+    return by_rank.select(*keys, *out)
 
 
 _MERGE = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}

@@ -51,7 +51,7 @@ def parse_logs(df: DataFrame, keep_existing: bool = False) -> DataFrame:
         return df
     stream = F.col("log_stream") if "log_stream" in df.columns else F.lit(None).cast("string")
     fields = F.col("_fields")
-    is_json = fields.isNotNull()
+    is_json = F.coalesce(F.size(fields) > 0, F.lit(False))
     has_level = F.map_contains_key(fields, "level")
     parsed = {
         "log_stream": stream,

@@ -11,6 +11,7 @@ from emberlog.operators import stats as st
 from emberlog.operators.ordered import with_position
 from emberlog.plans.quality_queries import PREDICTIONS
 from emberlog.plans.registry import query
+from emberlog.session import stored
 from emberlog.sources.tables import predictions, table
 
 _FEATURES = ("l_quantity", "l_extendedprice", "l_tax")
@@ -100,7 +101,9 @@ def _counters(spark, sf_dir):
         "ts", "event_id", "event_type", (F.col("user_id") % 3).alias("shard")
     )
     numbered = with_position(events, ["event_type", "shard"], ["ts", "event_id"], tie="event_id", name="p")
-    return numbered.select("ts", "event_id", "event_type", "shard", ((F.col("p") - 1) % 50).cast("double").alias("value"))
+    return stored(
+        numbered.select("ts", "event_id", "event_type", "shard", ((F.col("p") - 1) % 50).cast("double").alias("value"))
+    )
 
 
 @query(

@@ -19,6 +19,7 @@ from emberlog.operators.labels import label_anomalies, label_cutoffs
 from emberlog.operators.parse import parse_logs
 from emberlog.plans.log_sql import FEATURES, LABELLED, PARSED, RAW
 from emberlog.plans.registry import query
+from emberlog.session import stored
 from emberlog.sources.tables import log_events, table
 
 SERVICES = ("apigateway", "batch", "ecs", "lambda", "rds", "unknown")
@@ -28,17 +29,20 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_logs(log_events(spark, sf_dir))
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ft.create_features(parsed(spark, sf_dir), services=SERVICES)
+def features(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = parsed(spark, sf_dir) if rows is None else rows
+    return ft.create_features(rows, services=SERVICES)
 
 
-def cutoffs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    narrow = parsed(spark, sf_dir).transform(ft.performance_features).transform(ft.fill_zero)
-    return label_cutoffs(narrow)
+def cutoffs(rows: DataFrame) -> DataFrame:
+    return label_cutoffs(rows.transform(ft.performance_features).transform(ft.fill_zero))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_anomalies(features(spark, sf_dir), cutoffs(spark, sf_dir))
+    """Features with labels. The parsed rows feed the features, the windows and the
+    cutoffs, so they are parsed once and stored."""
+    rows = stored(parsed(spark, sf_dir))
+    return label_anomalies(features(spark, sf_dir, rows), cutoffs(rows))
 
 
 @query(
@@ -323,7 +327,7 @@ def all_features(spark, sf_dir):
     f"""WITH {LABELLED} SELECT round(mc, 6) AS memory_cut, round(dc, 6) AS duration_cut FROM cuts""",
 )
 def label_cutoff_values(spark, sf_dir):
-    return cutoffs(spark, sf_dir).select(
+    return cutoffs(parsed(spark, sf_dir)).select(
         F.round("memory_cut", 6).alias("memory_cut"), F.round("duration_cut", 6).alias("duration_cut")
     )
 

@@ -14,8 +14,8 @@ from emberlog.operators import vectors as ve
 from emberlog.operators.labels import confidence_tier
 from emberlog.plans.log_queries import labelled
 from emberlog.plans.registry import query
-from emberlog.session import checkpointed
-from emberlog.sources.tables import table
+from emberlog.session import stored
+from emberlog.sources.tables import spread, table
 
 # rounds kept small so that the checks stay quick; the defaults are in operators/models.py
 QUICK = md.BoosterParams(max_depth=4, rounds=5)
@@ -25,13 +25,13 @@ QUICK_B = md.BoosterParams(max_depth=4, step_size=0.05, rounds=5)
 def training_table(spark, sf_dir):
     """Labelled features as a vector with a persisted split column.
 
-    Every model reads it several times, so it is written once to the checkpoint folder.
+    Every model reads it several times, so it is written once.
     """
     frame = labelled(spark, sf_dir).withColumnRenamed("is_anomaly", "label")
     names = [c for c in ft.numeric_features(frame) if c not in ("event_id", "label")]
     vectors = ft.clean_vector(frame, names).select(F.col("event_id").alias("id"), "label", "features")
     split = sp.stratified_split(vectors, "id", "label", {"train": 0.7, "val": 0.15, "test": 0.15})
-    return checkpointed(split), names
+    return stored(split), names
 
 
 @query("booster_comparison")
@@ -101,7 +101,7 @@ chunks AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i
 
 
 def document_chunks(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return ch.chunk_rows(docs, text="text", metadata={"lang": F.lit("any")})
 
 

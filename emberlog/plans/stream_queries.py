@@ -90,9 +90,18 @@ def late_rows(spark, sf_dir):
     return sl.split_late(events, "ts", "arrived").select("event_id", "is_late")
 
 
-@query("stream_sticky_assignment")
+@query(
+    "stream_sticky_assignment",
+    """WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, epoch_us(ts) AS t, CASE WHEN CAST('0x' || substr(md5(
+    concat(CAST(user_id AS VARCHAR), CAST(CAST(ts AS DATE) AS VARCHAR))), 1, 13) AS BIGINT) / 4503599627370496.0 < 0.5 THEN 'a' ELSE 'b' END AS offered FROM events),
+taken(user_id, at_us) AS (SELECT user_id, min(t) FROM e GROUP BY 1
+  UNION ALL SELECT k.user_id, (SELECT min(t) FROM e WHERE e.user_id = k.user_id AND t - k.at_us >= 604800000000) FROM taken k
+    WHERE EXISTS (SELECT 1 FROM e WHERE e.user_id = k.user_id AND t - k.at_us >= 604800000000)),
+named AS (SELECT k.user_id, k.at_us, e.offered FROM taken k JOIN e ON e.user_id = k.user_id AND e.t = k.at_us)
+SELECT e.user_id, e.event_id AS row_id, n.offered AS variant_id, e.t > n.at_us AS was_sticky
+FROM e ASOF JOIN named n ON e.user_id = n.user_id AND e.t >= n.at_us""",
+)
 def stream_sticky_assignment(spark, sf_dir):
-    ss.use_rocksdb(spark)
     events = sl.stream_table(spark, sf_dir, "events")
     # the offered variant depends on the day, so that only the state keeps it stable
     offered = weighted_choice(hash_fraction(F.col("user_id"), F.to_date("ts")), {"a": 0.5, "b": 0.5})
@@ -105,7 +114,6 @@ def stream_sticky_assignment(spark, sf_dir):
 
 @query("stream_alert_notices")
 def stream_alert_notices(spark, sf_dir):
-    ss.use_rocksdb(spark)
     events = sl.stream_table(spark, sf_dir, "events")
     samples = events.select(
         F.concat(F.lit("user-"), (F.col("user_id") % 20).cast("string")).alias("series"), "ts",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,19 +37,25 @@ def range_parts(spark: SparkSession) -> int:
     return 1 << max(3, math.ceil(math.log2(max(shuffle, 2))))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the cluster's shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach, from ``spark.checkpoint.dir``. A scratch folder is
+    used only where that is unset, which is the case in local tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="emberlog-")
+    return folder.rstrip("/")
 
-    The folder comes from ``spark.checkpoint.dir``; a scratch folder is used only when
-    that is unset, which is the case in local tests.
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a result once to the shared folder and go on from the files.
+
+    For results that several ordered steps read: each of those steps scans its input a few
+    times, so stacking them on an unfinished plan would multiply the work. Parquet rather
+    than ``checkpoint()``, because later steps then read only the columns they need.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="emberlog-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

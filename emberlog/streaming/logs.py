@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from emberlog.session import shared_folder
+
 LATENESS = "10 minutes"
 POLL = "5 seconds"
 
@@ -31,10 +32,7 @@ def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
     Output and checkpoint go below ``spark.checkpoint.dir`` where that is set.
     """
     spark = stream.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="emberlog-stream-")
-    home = f"{base.rstrip('/')}/stream-{os.urandom(8).hex()}"
+    home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = stream.schema
     if mode == "append":
         tail_to(stream, f"{home}/out", f"{home}/checkpoint", follow=False).awaitTermination()

@@ -1,7 +1,7 @@
 """Keyed state: sticky assignment with expiry and alert holding with repeats.
 
-State per key has a fixed size (a few scalars). These need the RocksDB state store:
-``spark.sql.streaming.stateStore.providerClass``.
+State per key is a pair of numbers or a name and a number. An event-time timeout removes
+the state of a silent key once the watermark has passed its expiry.
 """
 
 from __future__ import annotations
@@ -9,16 +9,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WEEK_SECONDS = 7 * 86400
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+DAY_SECONDS = 86400
 
 
 def _in_order(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
@@ -27,94 +23,93 @@ def _in_order(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(rows)).sort_values(by, ignore_index=True)
 
 
-class _Sticky(StatefulProcessor):
-    """Keeps ``(variant, assigned_at)`` per user; an assignment older than the expiry is
-    replaced by the one offered with the event."""
+def _expire_at(state: GroupState, event_us: int) -> None:
+    """Let the state go when the watermark passes ``event_us``."""
+    state.setTimeoutTimestamp(max(event_us // 1000, state.getCurrentWatermarkMs() + 1))
+
 
-    def __init__(self, ttl_us: int):
-        self.ttl_us = ttl_us
+def sticky_assignments(stream: DataFrame, ttl_seconds: int = WEEK_SECONDS, lateness: str = "10 minutes") -> DataFrame:
+    """``(user_id, row_id, timestamp, offered)`` -> the variant each request is served.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        # the store may forget a user after the expiry in processing time as well
-        self.kept = handle.getValueState("assignment", "variant string, at bigint", self.ttl_us // 1000)
+    The first offered variant stays with the user for ``ttl_seconds``; a request after
+    that takes the offered one again.
+    """
+    ttl_us = ttl_seconds * 1_000_000
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.kept.get() if self.kept.exists() else None
-        variant, at = (state[0], state[1]) if state is not None else (None, None)
-        changed = False
+    def serve(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        variant, at = state.get if state.exists else (None, 0)
         batch = _in_order(rows, ["event_us", "row_id"])
-        out, sticky = [], []
+        served, sticky = [], []
         for t, offered in zip(batch["event_us"], batch["offered"]):
-            alive = variant is not None and 0 <= t - at < self.ttl_us
+            alive = variant is not None and 0 <= t - at < ttl_us
             if not alive:
-                variant, at, changed = offered, int(t), True
-            out.append(variant)
+                variant, at = offered, int(t)
+            served.append(variant)
             sticky.append(alive)
-        if changed:
-            self.kept.update((variant, at))
+        state.update((variant, at))
+        _expire_at(state, at + ttl_us)
         yield pd.DataFrame(
-            {"user_id": key[0], "row_id": batch["row_id"].to_numpy(), "variant_id": out, "was_sticky": sticky}
+            {"user_id": key[0], "row_id": batch["row_id"], "variant_id": served, "was_sticky": sticky}
         )
 
-    def close(self) -> None:
-        pass
-
-
-def sticky_assignments(stream: DataFrame, ttl_seconds: int = WEEK_SECONDS) -> DataFrame:
-    """``(user_id, row_id, timestamp, offered)`` -> the variant each request is served."""
-    keyed = stream.select("user_id", "row_id", F.unix_micros("timestamp").alias("event_us"), "offered")
+    keyed = stream.withWatermark("timestamp", lateness).select(
+        "user_id", "row_id", "timestamp", F.unix_micros("timestamp").alias("event_us"), "offered"
+    )
     row = keyed.schema["row_id"].dataType.simpleString()
-    return keyed.groupBy("user_id").transformWithStateInPandas(
-        statefulProcessor=_Sticky(ttl_seconds * 1_000_000),
-        outputStructType=f"user_id string, row_id {row}, variant_id string, was_sticky boolean",
-        outputMode="Append",
-        timeMode="ProcessingTime",
+    return keyed.groupBy("user_id").applyInPandasWithState(
+        serve,
+        f"user_id string, row_id {row}, variant_id string, was_sticky boolean",
+        "variant string, assigned_us bigint",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
 
 
-class _Hold(StatefulProcessor):
-    """Per series: start of the current run of active samples and the last notice."""
-
-    def __init__(self, repeat_us: int):
-        self.repeat_us = repeat_us
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "started bigint, notified bigint")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.run.get() if self.run.exists() else None
-        started, notified = (state[0], state[1]) if state is not None else (None, None)
+def held_alert_notices(
+    stream: DataFrame, repeat_seconds: int = 12 * 3600, lateness: str = "10 minutes", forget_seconds: int = DAY_SECONDS
+) -> DataFrame:
+    """``(series, ts, active, for_seconds)`` -> notices after an unbroken hold, at most one
+    per repeat interval and series. A series silent for ``forget_seconds`` starts anew."""
+    repeat_us = repeat_seconds * 1_000_000
+    unset = -1
+
+    def hold(key, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        started, notified = state.get if state.exists else (unset, unset)
         batch = _in_order(rows, ["event_us"])
         notices = []
-        for t, active, hold in zip(batch["event_us"], batch["active"], batch["for_seconds"]):
+        for t, active, wait in zip(batch["event_us"], batch["active"], batch["for_seconds"]):
             if not active:
-                started = None
+                started = unset
                 continue
-            started = int(t) if started is None else started
-            due = notified is None or t - notified > self.repeat_us
-            if t - started >= int(hold) * 1_000_000 and due:
+            started = int(t) if started == unset else started
+            due = notified == unset or t - notified > repeat_us
+            if t - started >= int(wait) * 1_000_000 and due:
                 notified = int(t)
                 notices.append((started, notified))
-        self.run.update((started, notified))
-        yield pd.DataFrame(
-            {
-                "series": [key[0]] * len(notices),
-                "started_us": pd.Series([n[0] for n in notices], dtype="int64"),
-                "notified_us": pd.Series([n[1] for n in notices], dtype="int64"),
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-def held_alert_notices(stream: DataFrame, repeat_seconds: int = 12 * 3600) -> DataFrame:
-    """``(series, ts, active, for_seconds)`` -> notices after an unbroken hold, at most one
-    per repeat interval and series."""
-    keyed = stream.select("series", F.unix_micros("ts").alias("event_us"), "active", "for_seconds")
-    return keyed.groupBy("series").transformWithStateInPandas(
-        statefulProcessor=_Hold(repeat_seconds * 1_000_000),
-        outputStructType="series string, started_us bigint, notified_us bigint",
-        outputMode="Append",
-        timeMode="None",
+        state.update((started, notified))
+        _expire_at(state, int(batch["event_us"].iloc[-1]) + max(repeat_us, forget_seconds * 1_000_000))
+        if notices:
+            yield pd.DataFrame(
+                {
+                    "series": key[0],
+                    "started_us": [n[0] for n in notices],
+                    "notified_us": [n[1] for n in notices],
+                }
+            )
+
+    keyed = stream.withWatermark("ts", lateness).select(
+        "series", "ts", F.unix_micros("ts").alias("event_us"), "active", "for_seconds"
+    )
+    return keyed.groupBy("series").applyInPandasWithState(
+        hold,
+        "series string, started_us bigint, notified_us bigint",
+        "started bigint, notified bigint",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
