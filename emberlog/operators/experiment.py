@@ -216,19 +216,24 @@ def chi_square_pairs(df: DataFrame, variant: str, category: str) -> DataFrame:
     Works on the (variant, category) counts. Categories empty in both arms are left out;
     2x2 tables get the continuity correction.
     """
-    counts = df.where(F.col(category).isNotNull()).groupBy(variant, category).agg(F.count(F.lit(1)).alias("c"))
-    totals = counts.groupBy(variant).agg(F.sum("c").alias("n"))
-    arms = totals.agg(F.sort_array(F.collect_list(F.struct(F.col(variant).alias("v"), "n"))).alias("a")).scalar()
+    counts = (
+        df.select(F.col(variant).alias("_v"), F.col(category).alias("_k"))
+        .where(F.col("_k").isNotNull())
+        .groupBy("_v", "_k")
+        .agg(F.count(F.lit(1)).alias("_c"))
+    )
+    totals = counts.groupBy("_v").agg(F.sum("_c").alias("n"))
+    arms = totals.agg(F.sort_array(F.collect_list(F.struct(F.col("_v").alias("v"), "n"))).alias("a")).scalar()
     per_category = (
-        counts.groupBy(category)
-        .agg(F.map_from_entries(F.collect_list(F.struct(variant, "c"))).alias("m"))
+        counts.groupBy("_k")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_v", "_c"))).alias("m"))
         .withColumn("arms", arms)
     )
     cells = (
-        per_category.select(category, "m", "arms", F.posexplode("arms").alias("i", "a"))
-        .select(category, "m", "a", F.explode(F.slice("arms", F.col("i") + 2, F.size("arms"))).alias("b"))
+        per_category.select("_k", "m", "arms", F.posexplode("arms").alias("i", "a"))
+        .select("_k", "m", "a", F.explode(F.slice("arms", F.col("i") + 2, F.size("arms"))).alias("b"))
         .select(
-            category,
+            "_k",
             F.col("a.v").alias("variant_a"), F.col("b.v").alias("variant_b"),
             F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"),
             F.coalesce(F.try_element_at("m", F.col("a.v")), F.lit(0)).alias("c_a"),
