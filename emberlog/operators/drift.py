@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from emberlog.functions.binning import ratio
 from emberlog.operators.ordered import _join_on, exact_percentiles
+from emberlog.session import stored
 
 PSI_ALERT = 0.3
 PSI_WATCH = 0.1
@@ -25,12 +26,13 @@ def histograms(
 ) -> DataFrame:
     """Share per baseline-quantile bin in both sets: ``(feature, bin, p, q)``.
 
-    Both sets share one aggregation; the edges are one row per feature.
+    Both sets share one aggregation. The edges are one row per feature; they are written
+    first, so that the join knows their size.
     """
     both = baseline.select(feature, value, F.lit(1).alias("_base")).unionByName(
         current.select(feature, value, F.lit(0).alias("_base"))
     )
-    edged = _join_on(both.where(F.col(value).isNotNull()), _edges(baseline, feature, value, bins), [feature])
+    edged = _join_on(both.where(F.col(value).isNotNull()), stored(_edges(baseline, feature, value, bins)), [feature])
     slot = sum([(F.col(value) > F.col(f"e{i}")).cast("int") for i in range(1, bins)], F.lit(0))
     counts = edged.groupBy(feature, slot.alias("bin")).agg(
         F.sum("_base").alias("n_base"), F.sum(1 - F.col("_base")).alias("n_now")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from emberlog.functions.binning import bucketize, finite_or_zero, flag, lookup
 from emberlog.functions.parsing import to_number, word_count
 from emberlog.operators.ordered import trailing_window, with_lags, with_position
+from emberlog.session import stored
 
 # Severity per level, unknown levels count as 2.
 SEVERITY = {"DEBUG": 1, "INFO": 2, "WARN": 3, "ERROR": 4, "FATAL": 5}
@@ -165,8 +166,8 @@ def encode_ordinal(
     """Attach the position of ``column`` among its sorted distinct values.
 
     A dictionary of checked small size (or a given one) becomes a map literal, so the rows
-    are only projected. A larger one is ranked in parallel and joined, with the join
-    strategy left to the planner.
+    are only projected. A larger one is ranked in parallel, written, and joined with the
+    strategy its size calls for.
     """
     value = F.col(column) if null_as is None else F.coalesce(F.col(column), F.lit(null_as))
     if values is None:
@@ -176,7 +177,7 @@ def encode_ordinal(
             return df.withColumn(out, F.lit(null_code))
         codes = F.create_map(*[F.lit(x) for i, v in enumerate(values) for x in (v, i)])
         return df.withColumn(out, F.coalesce(F.try_element_at(codes, value), F.lit(null_code)))
-    codes = value_codes(df, column, null_as).select(F.col(column).alias("_v"), F.col("code").alias(out))
+    codes = stored(value_codes(df, column, null_as).select(F.col(column).alias("_v"), F.col("code").alias(out)))
     joined = df.withColumn("_value", value).join(codes, F.col("_value") == F.col("_v"), "left")
     return joined.withColumn(out, F.coalesce(out, F.lit(null_code))).drop("_v", "_value")
 

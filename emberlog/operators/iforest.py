@@ -91,8 +91,12 @@ def fit_isolation_forest(
     if total > 4 * pool_size:  # hashes are uniform: twice the share holds the pool for sure
         keyed = keyed.where(F.col("_h") < int(16**13 * min(1.0, 2.0 * pool_size / total)))
     pool = keyed.orderBy("_h", "_id").limit(pool_size)
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_o", F.xxhash64("_id", "tree", F.lit(seed))
+    # four times the wanted share of the pool is enough for every tree to fill its sample
+    draw = min(1.0, 4.0 * sample / min(pool_size, total))
+    drawn = (
+        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("_o", F.pmod(F.xxhash64("_id", "tree", F.lit(seed)), F.lit(10**9)))
+        .where(F.col("_o") < int(draw * 10**9))
     )
     place = F.row_number().over(Window.partitionBy("tree").orderBy("_o", "_id"))
     chosen = drawn.withColumn("_p", place).where(F.col("_p") <= sample).select("tree", "_p", "x")

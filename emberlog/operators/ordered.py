@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.session import range_parts
+from emberlog.session import range_parts, stored
 
 
 def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
@@ -178,8 +178,7 @@ def exact_percentiles(
     Default is linear interpolation between closest ranks; ``nearest_rank`` picks the
     value at index ``floor(n * p)`` of the sorted values instead. Range counts decide
     which ranges hold a wanted rank, and only the rows of those ranges are collapsed to
-    (value, count) and ranked: the full column is scanned but never shuffled, and no
-    group is gathered.
+    (value, count) and ranked. No group is gathered.
     """
     keys = list(keys)
     # finer ranges than tasks: the fewer rows share a range with a wanted rank, the better
@@ -216,6 +215,9 @@ def exact_percentiles(
         .where(F.size("_ranks") > 0)
         .drop("_c")
     )
+    # a written table has a known size: the planner broadcasts it only when that is small
+    # and joins by key otherwise, so the scanned column is normally not shuffled
+    targets = stored(targets)
     hit = (
         _join_on(ranged, targets, [*keys, "_bucket"])
         .groupBy(*keys, "_bucket", "_v")

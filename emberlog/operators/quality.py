@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from emberlog.functions.parsing import to_number
 from emberlog.operators.ordered import _join_on, exact_percentiles, time_gaps, with_lags
 from emberlog.operators.stats import metrics_long
+from emberlog.session import stored
 
 LOG_LEVELS = ("DEBUG", "INFO", "WARN", "ERROR", "FATAL")
 CRITICAL_COLUMNS = ("timestamp", "log_level")
@@ -101,7 +102,7 @@ def outlier_percent(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -
     fences = exact_percentiles(long, ["column_name"], "value", {"q1": 0.25, "q3": 0.75})
     iqr = F.col("q3") - F.col("q1")
     outside = (F.col("value") < F.col("q1") - reach * iqr) | (F.col("value") > F.col("q3") + reach * iqr)
-    joined = _join_on(long, fences, ["column_name"], "left")
+    joined = _join_on(long, stored(fences), ["column_name"], "left")
     return joined.groupBy("column_name").agg(
         (100.0 * F.avg(F.col("value").isNull().cast("int"))).alias("missing_percent"),
         (100.0 * F.try_divide(F.count_if(outside), F.count("value"))).alias("outlier_percent"),

@@ -20,8 +20,8 @@ def read_trials(spark: SparkSession, path: str) -> DataFrame:
     fixed = {"number": "bigint", "value": "double", "datetime_start": "timestamp", "datetime_complete": "timestamp",
              "state": "string", "user_attrs_mean_score": "double", "user_attrs_std_score": "double"}
     params = [c for c in raw.columns if c.startswith("params_")]
-    entries = F.array(*[F.struct(F.lit(c[len("params_"):]), F.col(c)) for c in params])
-    pairs = F.filter(entries, lambda e: e["col2"].isNotNull())
+    entries = F.array(*[F.struct(F.lit(c[len("params_"):]).alias("k"), F.col(c).alias("v")) for c in params])
+    pairs = F.filter(entries, lambda e: e["v"].isNotNull())
     return raw.select(
         *[F.col(c).cast(t).alias(c.replace("user_attrs_", "")) for c, t in fixed.items() if c in raw.columns],
         F.map_from_entries(pairs).alias("params"),
