@@ -19,6 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlog.session import range_parts, stored
 
@@ -42,6 +43,42 @@ def _join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"_r_{name}" for name in names])
 
 
+def _axis(df: DataFrame, column: str) -> Column:
+    """The column as a number that sorts like it."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column)
+    if isinstance(kind, T.IntegralType):
+        return F.col(column).cast("bigint")
+    if isinstance(kind, T.NumericType):
+        return F.col(column).cast("double")
+    raise TypeError(f"cannot cut {column} of type {kind.simpleString()} into ranges")
+
+
+def _cut_points(df: DataFrame, column: str, parts: int) -> list[float]:
+    """At most ``parts - 1`` sorted quantiles, brought to the driver once.
+
+    A sketch may come out differently each time it is run, so the cut points have to be
+    fixed before two branches of a plan (or a repeated task) rely on them. Sketches are
+    merged in groups first, so that no task merges those of every partition.
+    """
+    fractions = [i / parts for i in range(1, parts)]
+    value = _axis(df, column)
+    grouped = (
+        df.select(value.alias("v"), F.pmod(F.spark_partition_id(), F.lit(64)).alias("g"))
+        .where(F.col("v").isNotNull())
+        .groupBy("g")
+        .agg(F.percentile_approx("v", fractions, 4 * parts).alias("c"))
+    )
+    points = grouped.select(F.explode("c").alias("v")).agg(F.percentile_approx("v", fractions, 4 * parts).alias("c"))
+    found = points.first()["c"]
+    return sorted({x for x in found or [] if x == x and abs(x) != float("inf")})
+
+
 def _rank_in_cuts(value: Column, cuts: Column, parts: int) -> Column:
     """How many of the sorted ``cuts`` lie below ``value``, by binary search."""
     steps, step = [], parts // 2
@@ -55,9 +92,9 @@ def _rank_in_cuts(value: Column, cuts: Column, parts: int) -> Column:
     )
 
 
-def _cut_points(df: DataFrame, column: str, parts: int) -> Column:
-    fractions = [i / parts for i in range(1, parts)]
-    return df.agg(F.percentile_approx(column, fractions, 4 * parts).alias("cuts")).scalar()
+def _literal(cuts: Sequence[float]) -> Column:
+    suffix = "L" if all(isinstance(c, int) for c in cuts) else "D"
+    return F.expr(f"array({', '.join(f'{c!r}{suffix}' for c in cuts)})")
 
 
 def range_buckets(
@@ -65,21 +102,22 @@ def range_buckets(
 ) -> DataFrame:
     """Add an order-preserving bucket id with about equal row counts.
 
-    Cut points are a one-row scalar subquery (at most ``parts - 1`` values, whatever the
-    table size). A value that equals a cut point may be hot, so its rows are cut again
-    by ``tie``. Only the balance depends on the sketch, never the result.
+    The cut points are a few literals whatever the table size. A value that equals a cut
+    point may be hot, so its rows are cut again by ``tie``. Only the balance depends on
+    the sketch, never the result. NULLs go to the first bucket.
     """
     parts = parts or range_parts(df.sparkSession)
-    value = F.col(order)
-    cut = [_cut_points(df, order, parts).alias("_cuts")]
-    if tie is not None:
-        cut.append(_cut_points(df, tie, parts).alias("_tie_cuts"))
-    placed = df.select("*", *cut).select("*", _rank_in_cuts(value, F.col("_cuts"), parts).alias("_at"))
-    on_cut = F.coalesce(F.get("_cuts", F.col("_at")) == value, F.lit(False))
+    cuts = _cut_points(df, order, parts)
+    if not cuts:
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    value, points = _axis(df, order), _literal(cuts)
+    placed = df.select("*", _rank_in_cuts(value, points, parts).alias("_at"))
+    on_cut = F.coalesce(F.get(points, F.col("_at")) == value, F.lit(False))
     bucket = F.col("_at").cast("bigint") * 2 + on_cut.cast("bigint")
     if tie is not None:
-        minor = F.when(on_cut, _rank_in_cuts(F.col(tie), F.col("_tie_cuts"), parts)).otherwise(0)
-        bucket = bucket * parts + minor
+        ties = _cut_points(df, tie, parts)
+        minor = _rank_in_cuts(_axis(df, tie), _literal(ties), parts) if ties else F.lit(0)
+        bucket = bucket * parts + F.when(on_cut, minor).otherwise(0)
     return placed.select(*[F.col(c) for c in df.columns], bucket.alias(name))
 
 

@@ -49,7 +49,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     "anomalies_by_service_day",
     f"""WITH {LABELLED}
 SELECT service_name, strftime(ts, '%Y-%m-%d') AS day, count(*) AS events,
-  CAST(sum(is_anomaly) AS BIGINT) AS anomalies, round(avg(error_rate), 6) AS mean_error_rate
+  CAST(sum(is_anomaly) AS BIGINT) AS anomalies, round(avg(error_rate), 9) AS mean_error_rate
 FROM labelled GROUP BY 1, 2""",
 )
 def anomalies_by_service_day(spark, sf_dir):
@@ -59,7 +59,7 @@ def anomalies_by_service_day(spark, sf_dir):
         .agg(
             F.count(F.lit(1)).alias("events"),
             F.sum("is_anomaly").alias("anomalies"),
-            F.round(F.avg("error_rate"), 6).alias("mean_error_rate"),
+            F.round(F.avg("error_rate"), 9).alias("mean_error_rate"),
         )
     )
 
