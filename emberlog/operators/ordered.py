@@ -256,14 +256,13 @@ def exact_percentiles(
     # a written table has a known size: the planner broadcasts it only when that is small
     # and joins by key otherwise, so the scanned column is normally not shuffled
     targets = stored(targets)
-    hit = (
-        _join_on(ranged, targets, [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_c"), F.first("_before").alias("_before"), F.first("_n").alias("_n"),
-            F.first("_ranks").alias("_ranks"),
-        )
+    group = [*keys, "_bucket"]
+    counted = (
+        _join_on(ranged, targets.select(*group), group, "left_semi")
+        .groupBy(*group, "_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
     )
+    hit = _join_on(counted, targets, group)
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     # each wanted rank falls on exactly one value: at most two rows per point and key remain
     found = hit.withColumn("_cum", F.col("_before") + F.sum("_c").over(inside)).select(
