@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.session import shared_folder
@@ -35,3 +37,48 @@ def forget(df: DataFrame) -> None:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return max(1, math.ceil(float(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def whole_groups(batches, keys: tuple[str, ...], rows: int = 50_000):
+    """From batches sorted by ``keys``: (table, starts) with whole groups only, about
+    ``rows`` rows at a time. ``starts`` has each group's first row, and the end."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            starts = _starts(table, keys)
+            if len(starts) > 2:
+                yield table.slice(0, starts[-2]), starts[:-1]
+                held = table.slice(starts[-2]).to_batches()
+            else:
+                held = table.to_batches()
+    if held:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, _starts(table, keys)
+
+
+def _starts(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    new = np.zeros(table.num_rows, bool)
+    new[0] = True
+    for key in keys:
+        values = table.column(key).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.append(np.flatnonzero(new), table.num_rows)
+
+
+def join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Union in place: ``labels`` holds for each row the smallest row joined to it."""
+    while len(a):
+        low, high = np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])
+        apart = low != high
+        if not apart.any():
+            break
+        a, b, low, high = a[apart], b[apart], low[apart], high[apart]
+        np.minimum.at(labels, high, low)
+        while True:
+            up = labels[labels]
+            if (up == labels).all():
+                break
+            labels[:] = up
