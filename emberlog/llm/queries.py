@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import packing, simhash, token_files, token_trees
+from emberlog.llm import imatch, packing, simhash, token_files, token_trees
 from emberlog.llm.work import work_folder
 
 QUERIES = {}
@@ -70,5 +70,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_edits",
     )
 
+@_query("op10_imatch")
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_with_edits(table(spark, sf_dir, "documents"))
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
