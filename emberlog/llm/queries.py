@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import imatch, packing, simhash, token_files, token_trees
+from emberlog.llm import imatch, packing, simhash, tag_paths, token_files, token_trees
 from emberlog.llm.work import work_folder
 
 QUERIES = {}
@@ -32,6 +32,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_tokens(spark, path))
 
 
+@_query("op4_tag_paths")
+def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
 @_query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
