@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import imatch, packing, simhash, tag_paths, token_files, token_trees
+from emberlog.llm import imatch, packing, quality_mil, simhash, tag_paths, token_files, token_trees
 from emberlog.llm.work import work_folder
 
 QUERIES = {}
@@ -32,6 +32,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_tokens(spark, path))
 
 
+@_query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = quality_mil.score_quality(docs, model)
+    return scored.select("*", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @_query("op4_tag_paths")
 def op4_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_paths.extract(table(spark, sf_dir, "pages"))
