@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import imatch, packing, quality_mil, simhash, tag_paths, token_files, token_trees
+from emberlog.llm import decontaminate, imatch, packing, quality_mil, simhash, tag_paths, token_files, token_trees
 from emberlog.llm.work import work_folder
 
 QUERIES = {}
@@ -50,6 +50,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
