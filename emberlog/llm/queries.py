@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import decontaminate, imatch, packing, quality_mil, simhash, tag_paths, token_files, token_trees
+from emberlog.llm import decontaminate, imatch, packing, paragraphs, quality_mil, simhash, tag_paths, token_files, token_trees
 from emberlog.llm.work import work_folder
 
 QUERIES = {}
@@ -61,6 +61,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+@_query("op8_paragraphs")
+def op8_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
 @_query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text before and after three edits: a replaced word or two near the
