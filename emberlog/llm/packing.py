@@ -171,11 +171,11 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            prompts = batch.column("prompt").to_pylist()
+            ids, texts, prompts = batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("prompt").to_pylist()
             for first, last in parts(texts):
-                for at, found in enumerate(words.ids(texts[first:last]), first):
-                    packer.add(_Item(ids[at], np.append(found, found.dtype.type(end_id)), prompts[at]))
+                found, ends = words.encode(texts.slice(first, last - first))
+                for at, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True), first):
+                    packer.add(_Item(ids[at], np.append(found[a:b], found.dtype.type(end_id)), prompts[at]))
                 yield made()
         packer.pack(0)
         yield made()

@@ -30,20 +30,20 @@ def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, start = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, last in parts(texts, 2_000_000):
-                ids = [np.append(x, x.dtype.type(end_id)) for x in words.ids(texts[first:last])]
-                sizes = np.array([len(x) for x in ids], np.int64)
+            texts = batch.column("text")
+            for first, last in parts(texts):
+                plain, offsets = words.encode(texts.slice(first, last - first))
+                ids = np.insert(plain.astype(np.int32), offsets[1:], end_id)
+                sizes = np.diff(offsets) + 1
                 ends = np.cumsum(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, last - first),
                         pa.array(sizes),
-                        pa.array(np.full(len(ids), part, np.int32)),
+                        pa.array(np.full(len(sizes), part, np.int32)),
                         pa.array(start + ends - sizes),
                         pa.ListArray.from_arrays(
-                            pa.array(np.append(0, ends).astype(np.int32)),
-                            pa.array(np.concatenate(ids).astype(np.int32)),
+                            pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids)
                         ),
                     ],
                     ["doc_id", "n_tokens", "part", "part_start", "ids"],

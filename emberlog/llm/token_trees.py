@@ -108,8 +108,7 @@ def edited(text: str, leaf_sizes: list[int], tree: list[int], start: int, n_dele
 
 def _counter(tokenizer: str):
     words = encoder(tokenizer)
-    width = words.dtype.itemsize
-    return lambda leaves: [len(x) // width for x in words.encode(leaves)]
+    return lambda leaves: words.counts(pa.array(leaves, pa.string())).tolist() if leaves else []
 
 
 def build_trees(docs: DataFrame, tokenizer: str, leaf_chars: int = 512) -> DataFrame:
@@ -119,9 +118,9 @@ def build_trees(docs: DataFrame, tokenizer: str, leaf_chars: int = 512) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text")
             for first, last in parts(texts):
-                split = [cut(x, leaf_chars) for x in texts[first:last]]
+                split = [cut(x, leaf_chars) for x in texts.slice(first, last - first).to_pylist()]
                 flat, at, trees = count([x for leaves in split for x in leaves]), 0, []
                 for leaves in split:
                     trees.append(summed(flat[at : at + len(leaves)]))
