@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import decontaminate, imatch, packing, paragraphs, quality_mil, simhash, tag_paths, token_files, token_trees
+from emberlog.llm import (
+    decontaminate,
+    imatch,
+    packing,
+    paragraphs,
+    quality_mil,
+    simhash,
+    suffix_dedup,
+    tag_paths,
+    token_files,
+    token_trees,
+)
 from emberlog.llm.work import work_folder
 
 QUERIES = {}
@@ -32,6 +43,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_checksums(token_files.read_tokens(spark, path))
 
 
+@_query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digest(table(spark, sf_dir, "documents"))
+
+
 @_query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
