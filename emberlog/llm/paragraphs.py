@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
+from emberlog.llm.jaccard import cells, jaccard_edges
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import join_labels, whole_groups, written
+from emberlog.llm.work import written
 
 SHINGLE = 5
 PARAGRAPHS = (
@@ -135,47 +136,6 @@ def paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFr
     return rows_.mapInArrow(run, PARAGRAPHS)
 
 
-def _joined(sets: list[set[int]], left: list[int], right: list[int], threshold: float) -> np.ndarray:
-    """Labels of the components of pairs (left x right) whose Jaccard reaches the threshold."""
-    labels = np.arange(len(sets))
-    others = np.array(right)
-    for x in left:
-        while True:
-            apart = others[labels[others] != labels[x]]
-            hit = -1
-            for y in apart.tolist():
-                a, b = sets[x], sets[y]
-                if min(len(a), len(b)) >= threshold * max(len(a), len(b)):
-                    both = len(a & b)
-                    if both >= threshold * (len(a) + len(b) - both):
-                        hit = y
-                        break
-            if hit < 0:
-                break
-            join_labels(labels, np.array([x]), np.array([hit]))
-    return labels
-
-
-def _links(threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, ("band", "i", "j"), rows=8192):
-            content, side = table.column("content").to_numpy(), table.column("side").to_numpy()
-            shingles = table.column("shingles").combine_chunks()
-            values, offsets = shingles.values.to_numpy(), shingles.offsets.to_numpy()
-            out_a, out_b = [], []
-            for a, b in zip(starts[:-1], starts[1:], strict=True):
-                sets = [set(values[offsets[r] : offsets[r + 1]].tolist()) for r in range(a, b)]
-                left = [r - a for r in range(a, b) if side[r] != 1]
-                right = [r - a for r in range(a, b) if side[r] != 0]
-                labels = _joined(sets, left, right, threshold)
-                moved = np.flatnonzero(labels != np.arange(b - a))
-                out_a.append(content[a + moved])
-                out_b.append(content[a + labels[moved]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
-
-    return run
-
-
 def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> DataFrame:
     """Edges between contents (a, b) whose components are those of all links."""
     banded = found.select("content", F.explode("bands").alias("band"))
@@ -186,19 +146,8 @@ def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> Dat
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
     one = found.join(asked, "content").groupBy("content").agg(first).select("content", "first.*")
     sets = written(found.select("content", "doc_id", "text_hash", "place", "shingles").join(one, one.columns).dropDuplicates(["content"]), "sets")
-    sizes = met.groupBy("band").count()
-    rows = met.join(sizes, "band").withColumn("chunks", F.ceil(F.col("count") / cell_rows).cast("int"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("content"), F.col("chunks")).cast("int"))
-    cells = F.transform(
-        F.sequence(F.lit(0), F.col("chunks") - 1),
-        lambda c: F.struct(
-            F.least(c, "chunk").alias("i"), F.greatest(c, "chunk").alias("j"),
-            F.when(c == F.col("chunk"), 2).when(F.col("chunk") < c, 0).otherwise(1).alias("side"),
-        ),
-    )
-    dealt = rows.select("band", "content", F.explode(cells).alias("x")).select("band", "content", "x.*")
-    dealt = dealt.join(sets.select("content", "shingles"), "content").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    return dealt.select("band", "i", "j", "side", "content", "shingles").mapInArrow(_links(threshold), "a long, b long").distinct()
+    dealt = cells(met, ["band"], "content", cell_rows).join(sets.select("content", "shingles"), "content")
+    return jaccard_edges(dealt, "band", "content", threshold)
 
 
 def repeated_paragraphs(

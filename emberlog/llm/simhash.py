@@ -29,17 +29,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
+from emberlog.llm.jaccard import cells, jaccard_edges
 from emberlog.llm.work import join_labels, whole_groups, written
 
 SEED = 42
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str, size: int = 4) -> int:
-    """Majority of the bits of all shingles' hashes, as an unsigned number."""
-    words = text.encode().lower().split()
+def shingle_hashes(text: str, size: int) -> np.ndarray:
+    """XXH64 of each run of ``size`` words (of all words, if fewer), repeats included."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     starts = np.concatenate(([0], gaps + 1))
@@ -47,7 +48,11 @@ def fingerprint(text: str, size: int = 4) -> int:
     size = min(size, len(words))
     spans = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)
     hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(joined[a:b], SEED) for a, b in spans], np.uint64)
+    return np.array([hashed(joined[a:b], SEED) for a, b in spans], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes; zero for none."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at : at + 4096]
@@ -56,18 +61,26 @@ def fingerprint(text: str, size: int = 4) -> int:
     return int(bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """doc_id and fp, the fingerprint's bits as a signed long."""
+def _second(hashes: np.ndarray) -> np.ndarray:
+    """Other 64 bits for each hash."""
+    mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+
+
+def fingerprints(docs: DataFrame, size: int = 4, wide: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint's bits as a signed long; ``wide`` adds fp2, 64 more."""
+    names = ["doc_id", "fp", "fp2"] if wide else ["doc_id", "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(x, size) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp"]
-            )
+            found = [shingle_hashes(x, size) for x in batch.column("text").to_pylist()]
+            columns = [np.array([majority(h) for h in found], np.uint64).view(np.int64)]
+            if wide:
+                columns.append(np.array([majority(_second(h)) for h in found], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns)], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def _buckets(blocks: int, radius: int) -> F.Column:
@@ -97,24 +110,23 @@ def planes_of(fps: np.ndarray) -> np.ndarray:
     return out
 
 
-def _beyond(ones, twos, fours, eights, radius: int):
-    """Lanes whose count is over the radius (under 8)."""
-    over = eights.copy()
-    equal = np.full_like(over, FULL)
-    for plane, bit in ((fours, 4), (twos, 2), (ones, 1)):
-        if radius & bit:
-            equal &= plane
+def _beyond(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes whose bitwise count is over the radius."""
+    over, equal = over.copy(), np.full_like(over, FULL)
+    for level in range(len(counters) - 1, -1, -1):
+        if radius >> level & 1:
+            equal &= counters[level]
         else:
-            over |= equal & plane
-            equal &= ~plane
+            over |= equal & counters[level]
+            equal &= ~counters[level]
     return over
 
 
 def close_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int, block: int = 1 << 16):
-    """Yields (row, other) arrays: every other row in [low, high) of a row within the radius."""
-    if radius > 7:
-        raise ValueError("the counters hold a radius of at most 7")
-    planes = planes_of(fps)
+    """Yields (row, other) arrays: every other row in [low, high) of a row within the radius.
+    ``fps`` has a row of 64-bit words for each fingerprint (or one word each)."""
+    fps = fps.reshape(len(low), -1)
+    planes = np.concatenate([planes_of(fps[:, w]) for w in range(fps.shape[1])], 1)
     first, last = low // 64, np.where(high > low, (high - 1) // 64 + 1, low // 64)
     n_words = last - first
     ends = np.cumsum(n_words)
@@ -126,24 +138,21 @@ def close_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int,
         base = word * 64
         bits = lambda n: np.where(n >= 64, FULL, (np.uint64(1) << np.minimum(n, 63).astype(np.uint64)) - np.uint64(1))
         valid = bits(np.clip(high[row] - base, 0, 64)) & ~bits(np.clip(low[row] - base, 0, 64))
-        mine = fps[row]
-        ones, twos, fours, eights = (np.zeros(len(row), np.uint64) for _ in range(4))
-        eights |= ~valid
-        for plane in range(64):
-            differs = planes[word, plane] ^ (np.uint64(0) - ((mine >> np.uint64(plane)) & np.uint64(1)))
-            carry = ones & differs
-            ones ^= differs
-            differs = twos & carry
-            twos ^= carry
-            carry = fours & differs
-            fours ^= differs
-            eights |= carry
+        counters = [np.zeros(len(row), np.uint64) for _ in range(max(1, radius.bit_length()))]
+        over = ~valid
+        for plane in range(planes.shape[1]):
+            mine = (fps[row, plane // 64] >> np.uint64(plane % 64)) & np.uint64(1)
+            carry = planes[word, plane] ^ (np.uint64(0) - mine)
+            for level, counter in enumerate(counters):
+                counters[level] = counter ^ carry
+                carry &= counter
+            over |= carry
             if plane % 8 == 7:
-                beyond = _beyond(ones, twos, fours, eights, radius)
+                beyond = _beyond(counters, over, radius)
                 live = beyond != FULL
                 if not live.all():
-                    row, word, mine, beyond = row[live], word[live], mine[live], beyond[live]
-                    ones, twos, fours, eights = ones[live], twos[live], fours[live], eights[live]
+                    row, word, over, beyond = row[live], word[live], over[live], beyond[live]
+                    counters = [c[live] for c in counters]
                 if not len(row):
                     break
         if len(row):
@@ -152,13 +161,12 @@ def close_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int,
             yield row[which], word[which] * 64 + lane
 
 
-def _links(radius: int):
-    """Links of sorted cells as stars. side: 0 rows are compared with the rows of side 1, 2
-    with each other."""
+def _links(radius: int, words: tuple[str, ...]):
+    """Links of sorted cells as stars."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in whole_groups(batches, ("tab", "key", "i", "j")):
-            fps = table.column("fp").to_numpy().view(np.uint64)
+            fps = np.stack([table.column(w).to_numpy().view(np.uint64) for w in words], 1)
             reps, side = table.column("rep").to_numpy(), table.column("side").to_numpy()
             sizes = np.diff(starts)
             end = np.repeat(starts[1:], sizes)
@@ -174,25 +182,17 @@ def _links(radius: int):
     return run
 
 
+def _bucket_edges(spread: DataFrame, words: tuple[str, ...], radius: int, cell_rows: int) -> DataFrame:
+    dealt = cells(spread, ["tab", "key"], "rep", cell_rows)
+    dealt = dealt.repartition("tab", "key", "i", "j").sortWithinPartitions("tab", "key", "i", "j", "side")
+    return dealt.mapInArrow(_links(radius, words), "a long, b long").distinct()
+
+
 def link_edges(reps: DataFrame, radius: int = 4, blocks: int = 6, cell_rows: int = 4096) -> DataFrame:
     """Edges (a, b) between ``rep`` values whose ``fp`` are linked; their components are
     those of all links."""
-    spread = reps.select("fp", "rep", F.explode(_buckets(blocks, radius)).alias("x")).select("fp", "rep", "x.*")
-    sizes = spread.groupBy("tab", "key").count().where("count > 1")
-    chunks = F.ceil(F.col("count") / cell_rows).cast("int")
-    rows = spread.join(sizes, ["tab", "key"]).select("*", chunks.alias("chunks"))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    cells = F.transform(
-        F.sequence(F.lit(0), F.col("chunks") - 1),
-        lambda c: F.struct(
-            F.least(c, "chunk").alias("i"),
-            F.greatest(c, "chunk").alias("j"),
-            F.when(c == F.col("chunk"), 2).when(F.col("chunk") < c, 0).otherwise(1).alias("side"),
-        ),
-    )
-    dealt = rows.select("tab", "key", "fp", "rep", F.explode(cells).alias("x")).select("tab", "key", "x.*", "fp", "rep")
-    dealt = dealt.repartition("tab", "key", "i", "j").sortWithinPartitions("tab", "key", "i", "j", "side")
-    return dealt.mapInArrow(_links(radius), "a long, b long").distinct()
+    spread = reps.select("fp", "rep", F.explode(_buckets(blocks, radius)).alias("x")).select("x.*", "fp", "rep")
+    return _bucket_edges(spread, ("fp",), radius, cell_rows)
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, size: int = 4) -> DataFrame:
@@ -210,3 +210,65 @@ def near_duplicates(docs: DataFrame, radius: int = 4, size: int = 4) -> DataFram
             F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
         )
     )
+
+
+def _sampled_keys(tables: int, bits: int):
+    """Keys of 128-bit fingerprints: for each table the bits at its own random places."""
+    draw = np.random.default_rng(3)
+    places = np.stack([draw.permutation(128)[:bits] for _ in range(tables)])
+    weight = 1 << np.arange(bits, dtype=np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                fps = np.stack([part.column(c).to_numpy() for c in ("fp", "fp2")], 1)
+                on = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8), axis=1, bitorder="little")
+                key = (on[:, places] * weight).sum(2)
+                n = part.num_rows
+                repeated = [np.repeat(part.column(c).to_numpy(), tables) for c in ("fp", "fp2", "rep")]
+                tab = np.tile(np.arange(tables, dtype=np.int32), n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(tab), pa.array(key.ravel()), *map(pa.array, repeated)], ["tab", "key", "fp", "fp2", "rep"]
+                )
+
+    return run
+
+
+def similar_groups(
+    docs: DataFrame, threshold: float = 0.8, size: int = 5, radius: int = 32, tables: int = 64, bits: int = 15, cell_rows: int = 2048
+) -> DataFrame:
+    """doc_id and component_id: documents whose sets of ``size``-word shingles have a Jaccard
+    similarity of the threshold at least are linked.
+
+    A similarity of 0.8 leaves about 19 of 128 fingerprint bits different, far more than
+    whole-piece buckets can take, so buckets are made of sampled bits (0.995 of such pairs
+    meet). Pairs within the radius by bit-sliced comparison form groups, and
+    exact Jaccard inside the groups decides. Equal fingerprints are links by themselves."""
+    prints = written(fingerprints(docs, size, wide=True).where("doc_id is not null"), "fingerprints")
+    reps = written(prints.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep")), "reps")
+    spread = reps.mapInArrow(_sampled_keys(tables, bits), "tab int, key long, fp long, fp2 long, rep long")
+    near = written(components(_bucket_edges(spread, ("fp", "fp2"), radius, 4096)), "near")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(x, size) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("component"), batch.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["component", "node", "shingles"]
+            )
+
+    asked = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(near, "node")
+    sets = asked.select("component", "node", "text").mapInArrow(run, "component long, node long, shingles array<int>")
+    same = components(jaccard_edges(cells(sets, ["component"], "node", cell_rows), "component", "node", threshold))
+    owner = reps.join(same, reps["rep"] == same["node"], "left").select("fp", "fp2", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(owner, ["fp", "fp2"]).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of ``similar_groups``, the one with the smallest id (of rows
+    that share it, one); rows with a null id stay."""
+    groups = similar_groups(docs, **options)
+    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    known = left.where("doc_id is not null").dropDuplicates(["doc_id"])
+    return known.unionAll(left.where("doc_id is null"))
