@@ -177,15 +177,15 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     spans = repeated_paragraphs(docs, **options).groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")
     )
-    keys = spans.toDF("span_doc_id", "span_text_hash", "spans")
-    on = (F.col("d.doc_id").cast("long") == keys["span_doc_id"]) & (F.xxhash64("d.text") == keys["span_text_hash"])
+    keys = spans.toDF("__doc_id", "__text_hash", "__cut")
+    on = (F.col("d.doc_id").cast("long") == keys["__doc_id"]) & (F.xxhash64("d.text") == keys["__text_hash"])
     names = docs.columns
-    rows = docs.alias("d").join(keys, on, "left").select(*[F.col(f"d.`{c}`") for c in names], F.col("spans").alias("__spans"))
+    rows = docs.alias("d").join(keys, on, "left").select(*[F.col(f"d.`{c}`") for c in names], "__cut")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, cut in zip(batch.column(names.index("text")).to_pylist(), batch.column("__spans").to_pylist(), strict=True):
+            for text, cut in zip(batch.column(names.index("text")).to_pylist(), batch.column("__cut").to_pylist(), strict=True):
                 if cut:
                     parts, at = [], 0
                     for span in cut:
@@ -199,7 +199,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
             columns[names.index("text")] = pa.array(out, pa.string())
             if "n_chars" in names:
                 i = names.index("n_chars")
-                cut = np.array([bool(x) for x in batch.column("__spans").to_pylist()])
+                cut = np.array([bool(x) for x in batch.column("__cut").to_pylist()])
                 sizes = pa.array([None if x is None else len(x) for x in out], columns[i].type)
                 columns[i] = pc.if_else(pa.array(cut), sizes, columns[i])
             yield pa.RecordBatch.from_arrays(columns, names)

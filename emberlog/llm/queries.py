@@ -114,5 +114,24 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_with_edits(table(spark, sf_dir, "documents"))
 
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express. The others rest on tokenizers, hashes or
+#: fitted models that it lacks, and are held against brute force in tests/llm.
+ORACLES: dict[str, str] = {
+    "op2_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+m AS (SELECT s, min(doc_id) AS lo FROM p GROUP BY s),
+c AS (SELECT p.doc_id, p.i FROM p JOIN m USING (s) WHERE lo < p.doc_id),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER w + 50 THEN 0 ELSE 1 END AS fresh FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM r GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM s),
+t AS (SELECT k.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+             string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS kept
+      FROM k JOIN d ON d.doc_id = k.doc_id GROUP BY k.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+""",
+}
