@@ -23,14 +23,30 @@ TIMESTAMP_FORMATS = (
 EPOCH_MILLIS_FROM = 1e10
 
 
+# What a strict parser refuses and Spark's takes by default.
+STRICT_JSON = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false"}
+
+# A decimal number or an infinity, as text; not the type suffixes that a cast would take.
+NUMBER_PATTERN = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?)\s*$"
+
+
 def json_fields(message: Column) -> Column:
     """MAP of the top-level keys of a JSON object (may be empty); NULL for anything else.
 
-    The shape test keeps scalars, arrays and objects with trailing text away from the
-    lenient parser.
+    The shape test keeps scalars and arrays away. The message is read as the one element of
+    an array, so that a second value or any text after the object is an error. Of a
+    repeated key the last value counts.
     """
     shaped = message.rlike(r"(?s)^\s*\{.*\}\s*$")
-    return F.when(shaped, F.from_json(message, "map<string,string>"))
+    values = F.from_json(F.concat(F.lit("["), message, F.lit("]")), "array<map<string,string>>", STRICT_JSON)
+    found = F.get(values, F.lit(0))
+    keys = F.map_keys(found)
+    last = F.filter(
+        F.map_entries(found),
+        lambda _, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.get(keys, i)),
+    )
+    plain = F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.when(shaped & (F.size(values) == 1), F.when(plain, found).otherwise(F.map_from_entries(last)))
 
 
 def level_from_text(message: Column) -> Column:
@@ -51,7 +67,7 @@ def service_from_stream(stream: Column) -> Column:
 
 def to_number(value: Column) -> Column:
     """Numeric coercion; bad text and NaN become NULL."""
-    number = value.try_cast("double")
+    number = F.when(value.cast("string").rlike(NUMBER_PATTERN), value.try_cast("double"))
     return F.when(~F.isnan(number), number)
 
 

@@ -127,9 +127,12 @@ def mean_differences(stats: DataFrame, equal_var: bool = True, variant: str = "v
         df = ratio((ea + eb) * (ea + eb), ratio(ea * ea, na - 1) + ratio(eb * eb, nb - 1))
         scale = F.sqrt((va + vb) / 2)
     diff = F.col("mean_a") - F.col("mean_b")
-    return pairs.withColumns(
-        {"difference": diff, "df": df, "se": se, "t": ratio(diff, se), "effect_size": ratio(diff, scale)}
-    )
+
+    def over(spread: Column) -> Column:
+        """Without any spread a difference is infinitely many spreads wide."""
+        return F.when((spread == 0) & (diff != 0), F.signum(diff) * float("inf")).otherwise(ratio(diff, spread))
+
+    return pairs.withColumns({"difference": diff, "df": df, "se": se, "t": over(se), "effect_size": over(scale)})
 
 
 _T_RESULT = T.StructType(
@@ -147,11 +150,14 @@ def _t_finish(t: pd.Series, df: pd.Series, d: pd.Series, na: pd.Series, nb: pd.S
         n1, n2 = na[ok].to_numpy(float), nb[ok].to_numpy(float)
         power_df, nc = n1 + n2 - 2, dd * np.sqrt(n1 * n2 / (n1 + n2))
         limit = special.t_ppf(1 - a / 2, power_df)
-        upper = 1 - special.nct_cdf(limit, power_df, nc)
+        endless = np.isinf(nc)
+        finite = np.where(endless, 0.0, nc)
+        upper = np.where(endless, (nc > 0).astype(float), 1 - special.nct_cdf(limit, power_df, finite))
+        lower = np.where(endless, (nc < 0).astype(float), special.nct_cdf(-limit, power_df, finite))
         out.loc[ok, "p_value"] = special.t_two_sided(tv, dv)
         out.loc[ok, "critical"] = special.t_ppf(1 - a / 2, dv)
         out.loc[ok, "power"] = upper
-        out.loc[ok, "power_two_sided"] = upper + special.nct_cdf(-limit, power_df, nc)
+        out.loc[ok, "power_two_sided"] = upper + lower
     return out.astype(object).where(out.notna(), None).astype(float)
 
 
@@ -324,16 +330,25 @@ def rank_sums(
 
 
 def _exact_u_tail(u: float, m: int, n: int) -> float:
-    """P(U >= u) for two small untied samples, by counting rank arrangements."""
-    ways = {0: {0: 1}}
-    for rank in range(1, m + n + 1):
-        for size in range(min(rank, m), 0, -1):
-            for total, count in ways.get(size - 1, {}).items():
-                level = ways.setdefault(size, {})
-                level[total + rank] = level.get(total + rank, 0) + count
-    dist = ways[m]
-    base = m * (m + 1) / 2
-    return sum(c for total, c in dist.items() if total - base >= u) / sum(dist.values())
+    """P(U >= u) for two untied samples, u at least the middle.
+
+    The shares of rank arrangements by U are the coefficients of the product of
+    (1 - q^(n+i)) / (1 - q^i) over the members i of the smaller arm, here scaled to add up
+    to one. By symmetry the lower tail is summed, so no more than half of them is needed.
+    """
+    m, n = min(m, n), max(m, n)
+    most = int(np.floor(m * n - u))
+    if most < 0:
+        return 0.0
+    share = np.zeros(most + 1)
+    share[0] = 1.0
+    for i in range(1, m + 1):
+        if n + i <= most:
+            share[n + i :] -= share[: most + 1 - n - i].copy()
+        padded = np.zeros(-(-(most + 1) // i) * i)
+        padded[: most + 1] = share
+        share = padded.reshape(-1, i).cumsum(0).ravel()[: most + 1] * (i / (n + i))
+    return float(share.sum())
 
 
 @pandas_udf(T.DoubleType())
@@ -344,7 +359,7 @@ def _rank_p(u: pd.Series, ties: pd.Series, na: pd.Series, nb: pd.Series) -> pd.S
             out.append(np.nan)
             continue
         larger = max(ui, m * n - ui)
-        if min(m, n) <= 8 and m + n <= 400 and ti == 0:
+        if min(m, n) <= 8 and ti == 0:
             out.append(min(1.0, 2 * _exact_u_tail(larger, int(m), int(n))))
             continue
         total = m + n
@@ -355,8 +370,19 @@ def _rank_p(u: pd.Series, ties: pd.Series, na: pd.Series, nb: pd.Series) -> pd.S
 
 
 @pandas_udf(T.DoubleType())
-def _z_from_p(p: pd.Series) -> pd.Series:
-    return p.map(lambda v: None if pd.isna(v) else special.normal_ppf(min(max(1 - v / 2, 1e-16), 1 - 1e-16))).astype(float)
+def _z_from_p(p: pd.Series, u: pd.Series, ties: pd.Series, na: pd.Series, nb: pd.Series) -> pd.Series:
+    """Quantile of p, by its lower tail; straight from U where p is too small to have one."""
+    out = []
+    for v, ui, ti, m, n in zip(p, u, ties, na, nb):
+        if pd.isna(v):
+            out.append(np.nan)
+        elif v > 1e-290:
+            out.append(-special.normal_ppf(v / 2) if v < 1 else 0.0)
+        else:
+            total = m + n
+            spread = np.sqrt(m * n / 12.0 * ((total + 1) - ti / (total * (total - 1))))
+            out.append((max(ui, m * n - ui) - m * n / 2.0 - 0.5) / spread)
+    return pd.Series(out, dtype=float)
 
 
 def rank_tests(
@@ -371,7 +397,7 @@ def rank_tests(
         out = _join_on(out, side, [*on, f"variant_{arm}"], "left")
     return out.withColumns(
         {
-            "effect_size": _z_from_p("p_value") / F.sqrt(F.col("n_a") + F.col("n_b")),
+            "effect_size": _z_from_p("p_value", "u", "ties", "n_a", "n_b") / F.sqrt(F.col("n_a") + F.col("n_b")),
             "is_significant": F.coalesce(F.col("p_value") < alpha, F.lit(False)),
         }
     )
@@ -399,7 +425,6 @@ def bayesian_tests(
     """
     pairs = pairs_of(posteriors(df, success, variant, prior), variant)
     work = pairs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).repartition("variant_a", "variant_b", "chunk")
-    size = draws // chunks
 
     def draw(batches):
         import zlib
@@ -408,6 +433,7 @@ def bayesian_tests(
             for row in batch.itertuples(index=False):
                 name = f"{row.variant_a}|{row.variant_b}|{row.chunk}"
                 rng = np.random.default_rng([seed, zlib.crc32(name.encode())])
+                size = draws // chunks + (row.chunk < draws % chunks)
                 yield pd.DataFrame(
                     {
                         "variant_a": row.variant_a, "variant_b": row.variant_b,
@@ -451,8 +477,12 @@ def prefix_tests(
     """
     on = list(on)
     value = F.col("value").cast("double")
+    # around each metric's mean, or large values would swallow the spread
+    known = long.where(F.col("value").isNotNull()).select(*on, variant, order, "value")
+    centers = known.groupBy(*on).agg(F.avg(value).alias("_center"))
+    known = _join_on(known, centers, on, "inner").withColumn("value", value - F.col("_center")).drop("_center")
     run = ordered_running(
-        long.where(F.col("value").isNotNull()).select(*on, variant, order, "value"), [*on, variant], [order],
+        known, [*on, variant], [order],
         {"i": F.lit(1).cast("bigint"), "s": value, "ss": value * value},
     )
     i = F.col("i")

@@ -131,7 +131,7 @@ def value_codes(df: DataFrame, column: str, null_as: str | None = None) -> DataF
     Built from the distinct values by exact position, so it does not need the dictionary
     to fit anywhere.
     """
-    value = F.col(column)
+    value = F.col(column).cast("string")
     if null_as is not None:
         value = F.coalesce(value, F.lit(null_as))
     distinct = (
@@ -169,7 +169,8 @@ def encode_ordinal(
     are only projected. A larger one is ranked in parallel, written, and joined with the
     strategy its size calls for.
     """
-    value = F.col(column) if null_as is None else F.coalesce(F.col(column), F.lit(null_as))
+    value = F.col(column).cast("string")  # one order of codes for every type and size
+    value = value if null_as is None else F.coalesce(value, F.lit(null_as))
     if values is None:
         values = small_dictionary(df.select(value.alias(column)), column, limit)
     if values is not None:
@@ -282,12 +283,15 @@ def rolling_statistics(
     df: DataFrame, ts: str, column: str, width_us: int, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Trailing mean, sample std, min, max and sum of one column."""
-    value = F.col(column).cast("double")
+    # sums are taken around the mean, or large values would swallow the spread
+    center = df.agg(F.avg(F.col(column).cast("double"))).first()[0] or 0.0
+    raw = F.col(column).cast("double")
+    value = raw - center
     out = trailing_window(
         df, ts, width_us,
         {
             "_n": ("count", value), "_sum": ("sum", value), "_sq": ("sum", value * value),
-            "_min": ("min", value), "_max": ("max", value),
+            "_min": ("min", raw), "_max": ("max", raw),
         },
         keys,
     )
@@ -296,10 +300,10 @@ def rolling_statistics(
     )
     return out.withColumns(
         {
-            f"{column}_mean": F.try_divide(F.col("_sum"), F.col("_n")),
+            f"{column}_mean": F.try_divide(F.col("_sum"), F.col("_n")) + center,
             f"{column}_std": F.sqrt(F.greatest(variance, F.lit(0.0)) + F.when(F.col("_n") > 1, 0.0)),
             f"{column}_min": F.col("_min"),
             f"{column}_max": F.col("_max"),
-            f"{column}_sum": F.col("_sum"),
+            f"{column}_sum": F.col("_sum") + F.col("_n") * center,
         }
     ).drop("_n", "_sum", "_sq", "_min", "_max")

@@ -6,10 +6,10 @@ identify one series.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.functions.binning import ratio
@@ -77,28 +77,33 @@ def bucket_counts(df: DataFrame, keys: Sequence[str], value: str, bounds: Sequen
     ).select(*keys, "b.*")
 
 
-def histogram_quantile(buckets: DataFrame, keys: Sequence[str], q: float, out: str = "quantile") -> DataFrame:
-    """Quantile from cumulative buckets, linear inside the bucket that reaches the rank.
+def histogram_quantiles(buckets: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """Quantiles from cumulative buckets, linear inside the bucket that reaches the rank.
 
     A rank in the infinite bucket gives the highest finite bound; the first bucket
-    starts at 0. One row per bound and key is ordered, never the observations.
+    starts at 0. One row per bound and key is ordered, never the observations, and all
+    quantiles are read from the same ladder.
     """
     ladder = buckets.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("le", "n"))).alias("b"))
-    rank = F.lit(q) * F.element_at("b", -1)["n"]
-    at = F.size(F.filter("b", lambda x: x["n"] < F.col("_rank")))
-    inf = float("inf")
-    here, below = F.get("b", F.col("_at")), F.get("b", F.col("_at") - 1)
-    low = F.when(F.col("_at") == 0, 0.0).otherwise(below["le"])
-    seen = F.when(F.col("_at") == 0, F.lit(0)).otherwise(below["n"])
-    inside = low + (here["le"] - low) * ratio(F.col("_rank") - seen, here["n"] - seen)
-    return (
-        ladder.withColumn("_rank", rank).withColumn("_at", at)
-        .select(
-            *keys,
+
+    def at_rank(q: float) -> Column:
+        rank = F.lit(q) * F.element_at("b", -1)["n"]
+        at = F.size(F.filter("b", lambda x: x["n"] < rank))
+        here, below = F.get("b", at), F.get("b", at - 1)
+        low = F.when(at == 0, 0.0).otherwise(below["le"])
+        seen = F.when(at == 0, F.lit(0)).otherwise(below["n"])
+        inside = low + (here["le"] - low) * ratio(rank - seen, here["n"] - seen)
+        return (
             F.when(F.element_at("b", -1)["n"] == 0, F.lit(None).cast("double"))
-            .when(here["le"] == inf, below["le"]).otherwise(inside).alias(out),
+            .when(here["le"] == float("inf"), below["le"]).otherwise(inside)
         )
-    )
+
+    return ladder.select(*keys, *[at_rank(q).alias(name) for name, q in quantiles.items()])
+
+
+def histogram_quantile(buckets: DataFrame, keys: Sequence[str], q: float, out: str = "quantile") -> DataFrame:
+    """One quantile of ``histogram_quantiles``."""
+    return histogram_quantiles(buckets, keys, {out: q})
 
 
 @dataclass(frozen=True)

@@ -172,11 +172,9 @@ SELECT event_type, round({_ladder(0.5)}, 6) AS p50, round({_ladder(0.95)}, 6) AS
 def histogram_quantiles(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", (F.col("value") / 50).alias("seconds"))
     ladder = mx.bucket_counts(events, ["event_type"], "seconds")
-    out = None
-    for name, q in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
-        part = mx.histogram_quantile(ladder, ["event_type"], q, name).withColumn(name, F.round(name, 6))
-        out = part if out is None else out.join(part, "event_type")
-    return out
+    points = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    out = mx.histogram_quantiles(ladder, ["event_type"], points)
+    return out.select("event_type", *[F.round(p, 6).alias(p) for p in points])
 
 
 RULES = (

@@ -49,11 +49,13 @@ def stream_deduplicate(spark, sf_dir):
 s AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) - back * INTERVAL 1 MINUTE AS start, log_level, has_error, duration FROM w)
 SELECT epoch_us(start) AS window_us, count(log_level) AS request_count, CAST(sum(has_error) AS BIGINT) AS error_count,
   round(avg(has_error), 6) AS error_rate, round(avg(duration), 6) AS avg_duration, max(duration) AS max_duration
-FROM s GROUP BY 1 HAVING window_us + 300000000 <= (SELECT max(epoch_us(ts)) - max(epoch_us(ts)) % 1000 - 600000000 FROM events)""",
+FROM s GROUP BY 1""",
 )
 def stream_windowed_rates(spark, sf_dir):
     stream = log_stream(spark, sf_dir).transform(error_features).transform(performance_features)
-    out = sl.run_once(sl.windowed_rates(stream))
+    # update mode: the newest windows, which no later event closes, are in the result too
+    updates = sl.run_once(sl.windowed_rates(stream), mode="update")
+    out = sl.latest_update(updates, ["window_start", "window_end"])
     return out.select(
         F.unix_micros("window_start").alias("window_us"), "request_count", "error_count",
         F.round("error_rate", 6).alias("error_rate"), F.round("avg_duration", 6).alias("avg_duration"), "max_duration",
@@ -78,9 +80,8 @@ def stream_daily_counters(spark, sf_dir):
 @query(
     "late_rows",
     """WITH a AS (SELECT event_id, epoch_us(ts) AS t, epoch_us(ts) + (event_id % 11) * 300000000 AS arrived FROM events),
-s AS (SELECT *, (arrived - arrived % 600000000) / 600000000 AS slot FROM a),
-p AS (SELECT slot, max(max(t)) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried FROM s GROUP BY slot)
-SELECT event_id, coalesce(t < carried - 600000000, false) AS is_late FROM s JOIN p USING (slot)""",
+s AS (SELECT *, max(t) OVER (ORDER BY arrived RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM a)
+SELECT event_id, coalesce(t < newest - 600000000, false) AS is_late FROM s""",
 )
 def late_rows(spark, sf_dir):
     from emberlog.sources.tables import table

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,13 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
-def load_logs(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
+def load_logs(
+    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | None = RAW_SCHEMA, multi_line: bool = True
+) -> DataFrame:
     """Load raw logs; the URI scheme picks the file system, the suffix the format.
 
-    Quoted multi-line CSV fields are read whole.
+    ``multi_line`` reads quoted CSV fields with line ends whole, for which a file must be
+    one task; without it large CSV files are split among tasks.
     """
     if fmt is None:
         fmt = next((f for f in ("parquet", "json", "csv", "orc") if path.rstrip("/").endswith(f)), "csv")
@@ -46,7 +49,7 @@ def load_logs(spark: SparkSession, path: str, fmt: str | None = None, schema: T.
     if schema is not None and fmt != "parquet":
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return reader.load(path)
 
 
@@ -55,10 +58,13 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_features(df: DataFrame, path: str, also_csv: str | None = None) -> None:
-    """Feature table as Parquet; a CSV copy leaves out nothing but nested columns."""
+    """Feature table as Parquet; a CSV copy leaves out nothing but nested columns, which the
+    format cannot hold."""
     df.write.mode("overwrite").parquet(path)
     if also_csv is not None:
-        write_csv(df.sparkSession.read.parquet(path), also_csv)
+        nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+        flat = [f.name for f in df.schema if not isinstance(f.dataType, nested)]
+        write_csv(df.sparkSession.read.parquet(path).select(flat), also_csv)
 
 
 def in_time_range(df: DataFrame, start: datetime | str, end: datetime | str, ts: str = "timestamp") -> DataFrame:
@@ -78,7 +84,7 @@ def scan_events(
 
     ``orderBy().limit()`` plans as a per-partition top-n, not as a full sort.
     """
-    end = end or datetime.utcnow()
+    end = end or datetime.now(timezone.utc)
     start = start or end - timedelta(hours=1)
     out = in_time_range(df, start, end)
     if stream is not None:
@@ -109,11 +115,15 @@ def _hour_layout(df: DataFrame, ts: str) -> DataFrame:
 def write_hourly(df: DataFrame, path: str, ts: str = "timestamp", rows_per_file: int = 5_000_000) -> None:
     """Raw layout ``year=/month=/day=/hour=``.
 
-    Written without a shuffle by hour, so that one busy hour spreads over many writers;
-    file size is bounded by a row limit instead.
+    Rows are gathered by hour, and a busy hour is split among many writers at run time, so
+    there are few files for each hour and no hour in one task. Only the hours that occur in
+    ``df`` are replaced.
     """
+    hours = _hour_layout(df, ts)
     (
-        _hour_layout(df, ts).write.mode("overwrite")
+        hours.hint("rebalance", *[F.col(c) for c in ("year", "month", "day", "hour")])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("year", "month", "day", "hour")
         .parquet(path)
@@ -134,7 +144,7 @@ def export_logs(
     df: DataFrame, prefix: str, task: str, start: datetime | None = None, end: datetime | None = None
 ) -> str:
     """Write a time range (default: the last 24 hours) under ``prefix/task``."""
-    end = end or datetime.utcnow()
+    end = end or datetime.now(timezone.utc)
     start = start or end - timedelta(days=1)
     target = f"{prefix.rstrip('/')}/{task}"
     write_hourly(in_time_range(df, start, end), target)
@@ -151,6 +161,23 @@ def tail_source(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCH
     return stream.where(matches_filter(F.col("message"), pattern)) if pattern else stream
 
 
+def expire_hourly(spark: SparkSession, path: str, days: int, newest: datetime) -> list[str]:
+    """Retention of the hourly layout: deletes the hours more than ``days`` days before
+    ``newest`` and returns their folders. No file is read or rewritten."""
+    oldest = (newest - timedelta(days=days)).strftime("%Y%m%d%H")
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*/day=*/hour=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = []
+    for status in files.globStatus(pattern) or []:
+        folder = status.getPath()
+        parts = [p.split("=")[1] for p in folder.toString().split("/")[-4:]]
+        if "".join(p.zfill(4 if i == 0 else 2) for i, p in enumerate(parts)) < oldest:
+            files.delete(folder, True)
+            gone.append(folder.toString())
+    return sorted(gone)
+
+
 def keep_recent(df: DataFrame, days: int, ts: str = "timestamp") -> DataFrame:
     """Rows of the last ``days`` days before the newest row (retrain window, retention)."""
     newest = df.agg(F.max(ts).alias("m")).scalar()

@@ -50,10 +50,12 @@ def run_once(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(schema).parquet(f"{home}/out" if mode == "append" else f"{home}/out/n=*")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as a file stream; zone-less times become instants."""
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 64) -> DataFrame:
+    """A given table as a file stream; zone-less times become instants. A micro-batch takes
+    ``files_per_batch`` files at most, which bounds what a keyed state sees at once."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(f"{sf_dir}/{name[:-1]}[{name[-1]}].parquet")
     casts = {f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"}
     return stream.withColumns(casts) if casts else stream
 
@@ -89,8 +91,9 @@ def split_late(df: DataFrame, ts: str, arrival: str, lateness_seconds: int = 600
     """Mark rows that arrive behind the newest event time of earlier arrivals by more
     than the lateness: the rows a stream would drop, for a side output in replay.
 
-    The newest earlier event time is a running maximum over arrival slots: the maxima of
-    whole slots are carried over, so no task sees more than one slot.
+    The newest earlier event time is a running maximum over arrivals: the maxima of whole
+    slots are carried over and a window inside the slot adds its own earlier arrivals, so
+    no task sees more than one slot.
     """
     from pyspark.sql import Window
 
@@ -99,11 +102,13 @@ def split_late(df: DataFrame, ts: str, arrival: str, lateness_seconds: int = 600
     per_slot = slotted.groupBy("_slot").agg(F.max(ts).alias("_top"))
     before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)  # one row per slot
     carried = per_slot.select(F.col("_slot").alias("_s"), F.max("_top").over(before).alias("_carried"))
+    inside = Window.partitionBy("_slot").orderBy(F.unix_micros(arrival)).rangeBetween(Window.unboundedPreceding, -1)
     return (
-        slotted.join(carried, F.col("_slot") == F.col("_s"), "left")
-        .withColumn("is_late", F.coalesce(
-            F.unix_micros(ts) < F.unix_micros("_carried") - lateness_seconds * 1_000_000, F.lit(False)))
-        .drop("_slot", "_s", "_carried")
+        slotted.withColumn("_inside", F.max(ts).over(inside))
+        .join(carried, F.col("_slot") == F.col("_s"), "left")
+        .withColumn("_newest", F.unix_micros(F.greatest("_carried", "_inside")))
+        .withColumn("is_late", F.coalesce(F.unix_micros(ts) < F.col("_newest") - lateness_seconds * 1_000_000, F.lit(False)))
+        .drop("_slot", "_s", "_carried", "_inside", "_newest")
     )
 
 

@@ -44,7 +44,8 @@ def sticky_assignments(stream: DataFrame, ttl_seconds: int = WEEK_SECONDS, laten
         batch = _in_order(rows, ["event_us", "row_id"])
         served, sticky = [], []
         for t, offered in zip(batch["event_us"], batch["offered"]):
-            alive = variant is not None and 0 <= t - at < ttl_us
+            # a late request is served what the user has; the assignment's time never goes back
+            alive = variant is not None and t - at < ttl_us
             if not alive:
                 variant, at = offered, int(t)
             served.append(variant)

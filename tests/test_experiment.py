@@ -54,7 +54,8 @@ def test_t_test_by_hand(spark):
 
 def test_t_test_edge_groups(spark):
     got = ex.t_tests(long_frame(spark, {"a": [1.0], "b": [1.0, 1.0], "c": [5.0, 5.0]})).collect()
-    assert len(got) == 3 and all(not r.is_significant for r in got)
+    # one row has no spread to test with; two constant arms with different means differ for sure
+    assert {(r.variant_a, r.variant_b): r.is_significant for r in got} == {("a", "b"): False, ("a", "c"): False, ("b", "c"): True}
 
 
 def test_significant_recommendation(spark):
@@ -165,3 +166,47 @@ def test_auc_is_rank_invariant(spark):
 def test_best_row_tie(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 0.5)], "m string, s double")
     assert st.best_row(df, "s", "m").first().m == "a"
+
+
+def test_special_functions_at_large_parameters():
+    from emberlog.functions import special
+
+    assert abs(special.t_two_sided([1.959963984540054], [1e13])[0] - 0.05) < 1e-9
+    assert abs(special.t_two_sided([1.96], [9.9e5])[0] - special.t_two_sided([1.96], [1.01e6])[0]) < 1e-8
+    # the median lies two thirds below k
+    assert abs(special.chi2_sf([1e7], [1e7])[0] - (0.5 - 2 / 3 / np.sqrt(4 * np.pi * 1e7))) < 1e-9
+    for shift in (-300.0, 0.0, 0.5, 400.0):
+        near, far = (special.chi2_sf([k + shift], [k])[0] for k in (9999.0, 10001.0))
+        assert abs(near - far) < 1e-4
+
+
+def test_exact_rank_tail_has_no_size_switch():
+    from itertools import combinations
+
+    from emberlog.operators.experiment import _exact_u_tail
+
+    m, n = 4, 7
+    us = [sum(x) - m * (m + 1) // 2 for x in combinations(range(1, m + n + 1), m)]
+    for u in range(m * n // 2, m * n + 1):
+        assert abs(_exact_u_tail(u, m, n) - sum(x >= u for x in us) / len(us)) < 1e-12
+    assert abs(_exact_u_tail(5 * 395 * 0.8, 5, 395) - _exact_u_tail(5 * 396 * 0.8, 5, 396)) < 1e-4
+
+
+def test_no_spread_gives_an_infinite_statistic(spark):
+    from emberlog.operators.experiment import t_tests
+
+    rows = [("m", "A", 1.0)] * 5 + [("m", "B", 2.0)] * 5
+    r = t_tests(spark.createDataFrame(rows, "metric string, variant_id string, value double")).first()
+    assert r.t == float("-inf") and r.p_value == 0.0 and r.is_significant
+
+
+def test_prefix_statistics_of_large_values(spark):
+    from emberlog.operators.experiment import prefix_tests
+
+    rng = np.random.default_rng(0)
+    rows = [("m", v, i, 1e9 + float(x)) for v, shift in (("A", 0.0), ("B", 1.0)) for i, x in enumerate(rng.normal(shift, 1, 60))]
+    frame = spark.createDataFrame(rows, "metric string, variant_id string, i long, value double")
+    for r in prefix_tests(frame.withColumnRenamed("i", "at"), "at", first=20).collect():
+        a, b = (np.array([x[3] for x in rows if x[1] == v][: r.i]) - 1e9 for v in "AB")
+        want = (a.mean() - b.mean()) / np.sqrt((a.var(ddof=1) + b.var(ddof=1)) / r.i)
+        assert abs(r.t - want) < 1e-3 * abs(want) + 1e-4

@@ -134,3 +134,45 @@ def test_labels_without_any_error(spark):
 def test_numeric_features(spark):
     df = spark.createDataFrame([(1, "a", True, 2.0)], "n int, message string, b boolean, d double")
     assert ft.numeric_features(df) == ["n", "d"]
+
+
+def test_strict_json_objects(spark):
+    from emberlog.functions.parsing import json_fields
+
+    cases = {
+        '{"level":"INFO"}': "INFO", "{'level': 'DEBUG'}": None, '{"level":"A"} {"b":2}': None, '{"level":"A"},{"b":2}': None,
+        '{"level":"A"} x}': None, '{"level":"A","level":"B"}': "B", '{"level":"A","k":1,"level":null}': None, "5": None, "[1]": None,
+        ' {"k":[1,{"a":"}"}],"level":"C"} ': "C", "{level:1}": None,
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "m string")
+    found = {r.m: r.v for r in rows.select("m", F.try_element_at(json_fields(F.col("m")), F.lit("level")).alias("v")).collect()}
+    assert found == cases
+
+
+def test_numbers_have_no_type_suffix(spark):
+    from emberlog.functions.parsing import to_number
+
+    cases = {"1": 1.0, " 2.5 ": 2.5, "1e3": 1000.0, "-.5": -0.5, "1d": None, "1f": None, "12.5D": None, "x": None, "": None, "NaN": None}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.v for r in rows.select("t", to_number(F.col("t")).alias("v")).collect()} == cases
+
+
+def test_ordinal_codes_do_not_depend_on_the_size_limit(spark):
+    from emberlog.operators.features import encode_ordinal
+
+    rows = spark.createDataFrame([(2,), (10,), (100,), (None,)], "v int")
+    small, large = ({r.v: r.c for r in encode_ordinal(rows, "v", "c", limit=n).collect()} for n in (1000, 1))
+    assert small == large == {10: 0, 100: 1, 2: 2, None: -1}
+
+
+def test_rolling_std_of_large_values(spark):
+    import statistics
+    from datetime import datetime, timedelta
+
+    from emberlog.operators.features import rolling_statistics
+
+    values = [1e9 + 0.7 * (i % 5) for i in range(40)]
+    start = datetime(2024, 1, 1)
+    rows = spark.createDataFrame([(start + timedelta(seconds=i), v) for i, v in enumerate(values)], "t timestamp, v double")
+    last = rolling_statistics(rows, "t", "v", 10_000_000).orderBy(F.desc("t")).first()
+    assert abs(last.v_std - statistics.stdev(values[-10:])) < 1e-6

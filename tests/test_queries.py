@@ -4,6 +4,7 @@ import pytest
 from check_queries import compare, duck
 
 import __spark_entry__ as entry
+from emberlog.plans import REGISTRY
 
 SLOW = {"booster_comparison", "feature_importance", "parameter_search"}  # covered in test_models.py
 
@@ -13,7 +14,8 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in SLOW])
+# the training-data queries are tested in tests/llm
+@pytest.mark.parametrize("name", [n for n in REGISTRY if n not in SLOW])
 def test_query(spark, con, sf_dir, name):
     ok, note = compare(spark, con, name, sf_dir)
     if not ok and note.startswith("0 rows"):
