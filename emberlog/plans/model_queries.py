@@ -76,7 +76,7 @@ def isolation_forest_summary(spark, sf_dir):
 @query("pseudo_label_tiers")
 def pseudo_label_tiers(spark, sf_dir):
     points = numeric_points(spark, sf_dir)
-    forest = fo.fit_isolation_forest(points, "id", "x", trees=50)
+    forest = fo.fit_isolation_forest(points, "id", "x")
     tiers = confidence_tier(fo.signed_confidence(fo.predict_isolation(forest, points, "x")))
     labels = fo.pseudo_labels(tiers, "id").withColumnRenamed("label", "pseudo")
     return tiers.join(labels, "id", "left").groupBy("tier", "pseudo").agg(F.count(F.lit(1)).alias("n"))
@@ -140,10 +140,10 @@ def collection_stats(spark, sf_dir):
     return ve.collection_stats(docs.select(ch.content_id(F.col("text")).alias("id")))
 
 
-@query("embed_text")
+@query("embed_text", "SELECT conv_id, count(*) AS n, 1.0::DOUBLE AS length FROM conversations GROUP BY 1")
 def embed_text(spark, sf_dir):
     talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    vectors = ch.embed(ch.fit_text_vectors(talk, dims=256), talk)
+    vectors = ch.embed(ch.fit_text_vectors(talk), talk)
     size = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     return vectors.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.round(F.sqrt(size), 3)).alias("length"))
 
