@@ -9,6 +9,12 @@ bucket of near-copies costs one comparison each. Buckets over ``cell_rows`` cont
 dealt out as cells of chunk pairs. Links leave a cell as a star; contents joined by links
 form a class, whose first paragraph by document and place stays and whose others go.
 
+A passage set into other text fills no line, so its line is no near-copy of another. For
+those, windows of ``PASSAGE`` words are sampled min-wise from the whole text (the smallest
+hash of each ``PICK`` in a row), which finds every run of PASSAGE + PICK - 1 = 50 words that
+two documents share; the windows of all documents but the first go, where no removed
+paragraph covers them.
+
 Cases: a null or empty text, or one of short lines, has no paragraph; a null id takes no
 part; rows with the same id and text are one document, rows with the same id and another
 text are told apart by the text's hash and ordered by it; repeated paragraphs inside one
@@ -28,15 +34,54 @@ from pyspark.sql import functions as F
 from emberlog.llm.components import components
 from emberlog.llm.jaccard import cells, jaccard_edges
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import written
+from emberlog.llm.work import whole_groups, written
 
 SHINGLE = 5
+PASSAGE, PICK = 25, 26
 PARAGRAPHS = (
     "doc_id long, text_hash long, place int, start int, end int, n_words int, content long, bands array<long>, shingles array<int>"
 )
 _tables: dict[str, np.ndarray] = {}
 
 
+WINDOWS = "key long, doc_id long, text_hash long, start int, end int"
+
+
+def _word_hashes(texts: list[str]):
+    """Code points, word starts and ends, word hashes (lower-cased), and the texts' ends, in
+    the joined texts."""
+    _load()
+    joined = "\n".join(texts) + "\n"
+    sizes = np.array([len(x) + 1 for x in texts])
+    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    edge = np.diff((~_tables["space"][code]).astype(np.int8), prepend=0, append=0)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return code, start, end, _mixed(_hashes(_tables["low"][code].astype(np.uint64), start, end)), sizes
+
+
+def _passages(texts: list[str]):
+    """Sampled windows: text number, start, end and key."""
+    _, start, end, word, sizes = _word_hashes(texts)
+    bounds = np.cumsum(sizes)
+    text = np.searchsorted(bounds, start, "right")
+    n = len(word) - PASSAGE + 1
+    if n < PICK:
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    at = np.arange(n)
+    key = _mixed(_hashes(word, at, at + PASSAGE))
+    ranked = (key & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64)
+    blocks = np.full(-(-(n + PICK) // PICK) * PICK, np.uint64(0xFFFFFFFFFFFFFFFF))
+    blocks[:n] = ranked
+    blocks = blocks.reshape(-1, PICK)
+    before = np.minimum.accumulate(blocks, 1).ravel()
+    after = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
+    row = at[: n - PICK + 1]
+    row = row[text[row] == text[row + PICK + PASSAGE - 2]]
+    chosen = np.unique((np.minimum(after[row], before[row + PICK - 1]) & np.uint64((1 << 24) - 1)).astype(np.int64))
+    begin = (bounds - sizes)[text[chosen]]
+    return text[chosen], start[chosen] - begin, end[chosen + PASSAGE - 1] - begin, key[chosen]
+
+
 def bands_for(threshold: float, hashes: int, recall: float) -> tuple[int, int]:
     """(bands, rows): most rows in a band, of ``hashes`` values, that keep the recall."""
     for rows in range(hashes, 0, -1):
@@ -65,16 +110,10 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 def _paragraphs(texts: list[str], min_words: int, bands: int, rows: int):
     """Arrays over the paragraphs of all texts: text number, place, start, end, words,
     content key, bands (2-d), and the shingles with their offsets."""
-    _load()
-    joined = "\n".join(texts) + "\n"
-    sizes = np.array([len(x) + 1 for x in texts])
+    code, start, end, word, sizes = _word_hashes(texts)
     bounds = np.cumsum(sizes)
-    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    edge = np.diff((~_tables["space"][code]).astype(np.int8), prepend=0, append=0)
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     lines = np.flatnonzero(code == 10)
     line = np.searchsorted(lines, start)
-    word = _mixed(_hashes(_tables["low"][code].astype(np.uint64), start, end))
     first = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.zeros(0, int)
     n_words = np.diff(np.append(first, len(line)))
     long = n_words >= max(min_words, SHINGLE)
@@ -114,7 +153,7 @@ def paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFr
             ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
             while at < len(texts):
                 last, held = at, 0
-                while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 20):
+                while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 19):
                     held += len(texts[last])
                     last += 1
                 text, place, start, end, n, content, banded, shingle, offsets = _paragraphs(texts[at:last], min_words, bands, rows)
@@ -130,10 +169,57 @@ def paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFr
                 )
                 at = last
 
-    rows_ = docs.select(
+    return _texts(docs).mapInArrow(run, PARAGRAPHS)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash")
     ).where("doc_id is not null and text is not null")
-    return rows_.mapInArrow(run, PARAGRAPHS)
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """Sampled windows that also stand in a document with a smaller id: doc_id, text_hash,
+    start, end and kept_doc_id. Rows of one key pass in order, and only the first document
+    is remembered, so a window that a third of all documents share needs no memory."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, at = batch.column("text").to_pylist(), 0
+            ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
+            while at < len(texts):
+                last, held = at, 0
+                while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 19):
+                    held += len(texts[last])
+                    last += 1
+                text, start, end, key = _passages(texts[at:last])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(ids[at + text]), pa.array(hashes[at + text]),
+                     pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
+                    [x.split()[0] for x in WINDOWS.split(", ")],
+                )
+                at = last
+
+    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key = held_doc = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
+            new = np.append(True, key[1:] != key[:-1])
+            first = np.flatnonzero(new)
+            kept = doc[first]
+            if key[0] == held_key:
+                kept = np.append(held_doc, kept[1:])
+            kept = np.repeat(kept, np.diff(np.append(first, len(key))))
+            held_key, held_doc = key[-1], kept[-1]
+            gone = pa.array(doc != kept)
+            columns = [batch.column(c) for c in ("doc_id", "text_hash", "start", "end")]
+            names = ["doc_id", "text_hash", "start", "end", "kept_doc_id"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept)], names).filter(gone)
+
+    dealt = _texts(docs).mapInArrow(sample, WINDOWS).repartition("key").sortWithinPartitions("key", "doc_id")
+    return dealt.mapInArrow(later, "doc_id long, text_hash long, start int, end int, kept_doc_id long")
 
 
 def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> DataFrame:
@@ -153,8 +239,9 @@ def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> Dat
 def repeated_paragraphs(
     docs: DataFrame, threshold: float = 0.8, min_words: int = 25, hashes: int = 48, recall: float = 0.998
 ) -> DataFrame:
-    """The paragraphs to remove: doc_id, text_hash, place, start and end (code points),
-    n_words, kept_doc_id and kept_place (the paragraph that stays) and class_size."""
+    """What to remove: doc_id, text_hash, unit ("paragraph" or "passage"), place (line), start
+    and end (code points), kept_doc_id and kept_place (what stays) and class_size; place,
+    kept_place and class_size are null for passages, which are maximal runs of windows."""
     found = written(paragraphs(docs, min_words, *bands_for(threshold, hashes, recall)), "paragraphs")
     classes = components(link_edges(found, threshold))
     spans = found.select("doc_id", "text_hash", "place", "start", "end", "n_words", "content").distinct()
@@ -165,15 +252,50 @@ def repeated_paragraphs(
     first = F.min(F.struct("doc_id", "text_hash", "place")).alias("kept")
     kept = named.groupBy("cluster").agg(first, F.count("*").alias("class_size")).where("class_size > 1")
     here = F.struct("doc_id", "text_hash", "place")
-    return named.join(kept, "cluster").where(here != F.col("kept")).select(
-        "doc_id", "text_hash", "place", "start", "end", "n_words",
+    lines = named.join(kept, "cluster").where(here != F.col("kept")).select(
+        "doc_id", "text_hash", F.lit("paragraph").alias("unit"), "place", "start", "end",
         F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.place").alias("kept_place"), "class_size",
     )
+    none = lambda kind: F.lit(None).cast(kind)
+    windows = repeated_windows(docs).select(
+        "doc_id", "text_hash", F.lit("passage").alias("unit"), none("int").alias("place"), "start", "end",
+        "kept_doc_id", none("int").alias("kept_place"), none("long").alias("class_size"),
+    )
+    both = lines.unionAll(windows).repartition("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "start", "unit", "end")
+    return both.mapInArrow(_runs, both.schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by text and start: paragraphs as they are, windows that overlap none of
+    them joined to maximal runs. A run keeps the first window's kept_doc_id."""
+    for table, starts in whole_groups(batches, ("doc_id", "text_hash"), rows=20_000):
+        start, end = table.column("start").to_numpy(), table.column("end").to_numpy()
+        line = np.array(table.column("unit").to_pylist()) == "paragraph"
+        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        # spans of one text on an axis of their own
+        width = int(end.max()) + 2
+        a, b = start + group * np.int64(width), end + group * np.int64(width)
+        line_a, line_b = a[line], np.maximum.accumulate(b[line]) if line.any() else b[line]
+        before = np.searchsorted(line_a, b, "left")
+        covered = ~line & (before > 0)
+        covered[covered] = line_b[before[covered] - 1] > a[covered]
+        rows = np.flatnonzero(~line & ~covered)
+        far = np.maximum.accumulate(b[rows]) if len(rows) else b[rows]
+        first = np.append(True, a[rows][1:] > far[:-1] + 1)[: len(rows)]
+        lead = rows[first]
+        run_end = end.copy()
+        if len(lead):
+            run_end[lead] = np.maximum.reduceat(b[rows], np.flatnonzero(first)) - group[lead] * np.int64(width)
+        keep = np.sort(np.concatenate((np.flatnonzero(line), lead)))
+        out = table.take(pa.array(keep))
+        at = table.column_names.index("end")
+        out = out.set_column(at, "end", pa.array(run_end[keep].astype(np.int32)))
+        yield from out.to_batches()
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the paragraphs of ``repeated_paragraphs`` cut out of ``text``, each with
-    one line end; n_chars, where there is such a column, follows. Rows are never dropped."""
+    """``docs`` with what ``repeated_paragraphs`` finds cut out of ``text``, each piece with
+    a line end right after it; n_chars, where there is such a column, follows. Rows are never dropped."""
     spans = repeated_paragraphs(docs, **options).groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")
     )
@@ -189,7 +311,9 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
                 if cut:
                     parts, at = [], 0
                     for span in cut:
-                        parts.append(text[at : span["start"]])
+                        if span["end"] <= at:
+                            continue
+                        parts.append(text[at : max(span["start"], at)])
                         at = span["end"]
                         if text[at : at + 1] == "\n":
                             at += 1

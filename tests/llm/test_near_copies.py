@@ -1,6 +1,7 @@
 """SimHash, paragraph and I-Match operators against brute force."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -137,7 +138,30 @@ def plain_repeats(docs, min_words=25, threshold=0.8):
 def test_paragraphs_query(spark, sf_dir, rows):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     found = entry.queries()["op8_paragraphs"](spark, sf_dir)
-    assert rows(found.select("doc_id", "place", "kept_doc_id", "kept_place")) == sorted(plain_repeats(docs))
+    lines = found.where("unit = 'paragraph'").select("doc_id", "place", "kept_doc_id", "kept_place")
+    assert rows(lines) == sorted(plain_repeats(docs))
+    flagged = {(r.doc_id, p) for r in found.collect() for p in range(r.start, r.end)}
+    seen = {}
+    for doc_id, text in sorted(docs):
+        words = [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"\S+", text or "")]
+        for k in range(len(words) - 49):
+            run = tuple(w for w, _, _ in words[k : k + 50])
+            if seen.setdefault(run, doc_id) != doc_id:
+                assert any((doc_id, p) in flagged for p in range(words[k][1], words[k + 49][2]))
+
+
+def test_passages_inside_other_text(spark):
+    rng = np.random.default_rng(6)
+    draw = lambda n: " ".join(f"t{x}" for x in rng.integers(0, 10**9, n))
+    passage, short = draw(51), draw(24)
+    docs = [(i, f"{draw(20 + i)} {passage} {draw(30)} {short} {draw(9)}") for i in range(12)] + [(50 + i, draw(90)) for i in range(9)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = paragraphs.repeated_paragraphs(frame).collect()
+    assert {r.doc_id for r in found} == set(range(1, 12)) and {(r.unit, r.kept_doc_id) for r in found} == {("passage", 0)}
+    texts = dict(docs)
+    assert all(texts[r.doc_id][r.start : r.end] in passage for r in found)
+    cut = {r.doc_id: r.text for r in paragraphs.without_repeats(frame).collect()}
+    assert [i for i in texts if passage in cut[i]] == [0] and all(short in cut[i] for i in range(12))
 
 
 def test_paragraphs_near_copies_and_hot_groups(spark):
