@@ -161,6 +161,30 @@ def _t_finish(t: pd.Series, df: pd.Series, d: pd.Series, na: pd.Series, nb: pd.S
     return out.astype(object).where(out.notna(), None).astype(float)
 
 
+# The four recommendation texts.
+INCONCLUSIVE = (
+    "INCONCLUSIVE: Need more data (current power: %.2f%%). Recommend collecting %d more samples per variant."
+)
+NO_DIFFERENCE = (
+    "NO SIGNIFICANT DIFFERENCE: Variants perform similarly. "
+    "Choose based on other factors (cost, complexity, etc.)"
+)
+SMALL_EFFECT = (
+    "SIGNIFICANT BUT SMALL EFFECT: Difference is statistically significant but effect size (%.4f) "
+    "is below minimum threshold ({min_effect}). Consider practical significance."
+)
+IMPROVEMENT = (
+    "SIGNIFICANT IMPROVEMENT: Variant %s is significantly better (effect size: %.4f). "
+    "RECOMMEND deploying variant %s."
+)
+
+# Fixed value: the rationale of the recommended variant.
+RATIONALE = (
+    "%s is recommended based on the following:\n  - Best F1 Score: %.4f\n"
+    "  - Latency: %.2fms (p95: %.2fms)\n  - Statistically significant improvements in key metrics"
+)
+
+
 def recommendation(min_effect: float) -> Column:
     """The four outcomes; needs is_significant, power, effect_size, difference and n_a."""
     effect, better = F.abs("effect_size"), F.when(F.col("difference") > 0, "A").otherwise("B")
@@ -168,29 +192,20 @@ def recommendation(min_effect: float) -> Column:
         F.when(
             ~F.col("is_significant") & (F.col("power") < 0.8),
             F.format_string(
-                "INCONCLUSIVE: Need more data (current power: %.2f%%). Recommend collecting %d more samples per variant.",
+                INCONCLUSIVE,
                 F.col("power") * 100, F.floor(F.col("n_a") * 1.5),
             ),
         )
         .when(
             ~F.col("is_significant"),
-            "NO SIGNIFICANT DIFFERENCE: Variants perform similarly. "
-            "Choose based on other factors (cost, complexity, etc.)",
+            NO_DIFFERENCE,
         )
         .when(
             effect < min_effect,
-            F.format_string(
-                "SIGNIFICANT BUT SMALL EFFECT: Difference is statistically significant but effect size (%.4f) "
-                f"is below minimum threshold ({min_effect}). Consider practical significance.",
-                F.col("effect_size"),
-            ),
+            F.format_string(SMALL_EFFECT.replace("{min_effect}", str(min_effect)), F.col("effect_size")),
         )
         .otherwise(
-            F.format_string(
-                "SIGNIFICANT IMPROVEMENT: Variant %s is significantly better (effect size: %.4f). "
-                "RECOMMEND deploying variant %s.",
-                better, effect, better,
-            )
+            F.format_string(IMPROVEMENT, better, effect, better)
         )
     )
 
@@ -618,8 +633,7 @@ def best_variant(df: DataFrame, variant: str = "variant_id", quality: str = "f1_
     return _join_on(winner, p95, [variant], "left").withColumn(
         "rationale",
         F.format_string(
-            "%s is recommended based on the following:\n  - Best F1 Score: %.4f\n"
-            "  - Latency: %.2fms (p95: %.2fms)\n  - Statistically significant improvements in key metrics",
+            RATIONALE,
             F.col(variant), F.col("quality"), F.col("latency"), F.col("p95"),
         ),
     )

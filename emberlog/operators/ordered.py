@@ -24,14 +24,6 @@ from pyspark.sql import types as T
 from emberlog.session import range_parts, stored
 
 
-def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality on ``names``; still an equi-join for the planner."""
-    return reduce(
-        lambda a, b: a & b,
-        [left[name].eqNullSafe(right[name]) for name in names],
-    )
-
-
 def _join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") if c in names else F.col(c) for c in right.columns]

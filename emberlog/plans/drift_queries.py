@@ -177,6 +177,7 @@ def histogram_quantiles(spark, sf_dir):
     return out.select("event_type", *[F.round(p, 6).alias(p) for p in points])
 
 
+# Alert, severity and team names.
 RULES = (
     mx.Rule("HighErrorRate", "error_rate", ">", 0.5, 7200, "critical", "ml-ops"),
     mx.Rule("HighErrorRate", "error_rate", ">", 0.3, 3600, "warning", "ml-ops"),

@@ -354,7 +354,7 @@ def achieved_power(spark, sf_dir):
     "best_variant",
     f"""WITH {EXPERIMENT}, s AS (SELECT variant_id, avg(f1_score) AS q, avg(latency_ms) AS l, quantile_cont(latency_ms, 0.95) AS p95 FROM exp GROUP BY 1)
 SELECT variant_id, round(q, 5) AS quality, round(l, 5) AS latency, round(q * 100 - l * 0.1, 5) AS score, round(p95, 5) AS p95,
-  printf('%s is recommended based on the following:\n  - Best F1 Score: %.4f\n  - Latency: %.2fms (p95: %.2fms)\n  - Statistically significant improvements in key metrics', variant_id, q, l, p95) AS rationale
+  printf('{ex.RATIONALE}', variant_id, q, l, p95) AS rationale
 FROM s ORDER BY q * 100 - l * 0.1 DESC, variant_id LIMIT 1""",
 )
 def best_variant(spark, sf_dir):
@@ -362,6 +362,30 @@ def best_variant(spark, sf_dir):
     return out.withColumns({c: F.round(c, 5) for c in ("quality", "latency", "score", "p95")})
 
 
+@query(
+    "experiment_report",
+    f"""WITH {EXPERIMENT}, s AS (SELECT variant_id, avg(f1_score) * 100 - avg(latency_ms) * 0.1 AS score FROM exp GROUP BY 1)
+SELECT 'variant_summary' AS part, variant_id, NULL::VARCHAR AS other, metric, n, round(mean, 5) AS value FROM mom
+UNION ALL SELECT 'pairwise_tests', variant_a, variant_b, metric, n_a + n_b, round(difference, 5) FROM pairs
+UNION ALL SELECT 'recommendation', variant_id, NULL, NULL, NULL, round(score, 5) FROM (SELECT * FROM s ORDER BY score DESC, variant_id LIMIT 1)""",
+)
+def experiment_report(spark, sf_dir):
+    """The three tables of the full report, one below the other."""
+    report = ex.experiment_report(rows(spark, sf_dir))
+    none = lambda kind: F.lit(None).cast(kind)
+    row = lambda part, variant, other, metric, n, value: (
+        F.lit(part).alias("part"), variant.alias("variant_id"), other.alias("other"), metric.alias("metric"),
+        n.alias("n"), F.round(value, 5).alias("value"),
+    )
+    c = F.col
+    summary = report["variant_summary"].select(*row("variant_summary", c("variant_id"), none("string"), c("metric"), c("n"), c("mean")))
+    tests = report["pairwise_tests"].select(
+        *row("pairwise_tests", c("variant_a"), c("variant_b"), c("metric"), c("n_a") + c("n_b"), c("difference"))
+    )
+    best = report["recommendation"].select(*row("recommendation", c("variant_id"), none("string"), none("string"), none("long"), c("score")))
+    return summary.unionAll(tests).unionAll(best)
+
+
 @query(
     "gauge_winner",
     f"""WITH {EXPERIMENT}, g AS (SELECT variant_id, avg(success) AS g FROM exp GROUP BY 1)

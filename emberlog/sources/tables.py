@@ -64,7 +64,7 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EXPERIMENT_NAME = "model_comparison"
 
-# share of traffic per variant: the five-way split of the experiment parameters
+# Share of traffic per variant, the five-way split of the experiment parameters.
 VARIANT_WEIGHTS = {
     "control": 0.30,
     "catboost": 0.25,
