@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     hub costs no more than its tasks; rounds go through written tables.
     """
     left = written(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = left.select(F.col("a").alias("node")).unionAll(left.select(F.col("b").alias("node"))).distinct()
     owner = written(nodes.select("node", F.col("node").alias("at")), "owner")
     round_ = 0
     while not left.isEmpty():

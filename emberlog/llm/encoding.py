@@ -48,7 +48,7 @@ def _first_split(spec: dict) -> str:
 class PieceEncoder:
     """Ids of texts, as arrays of ``dtype``."""
 
-    def __init__(self, path: str, max_entries: int = 700_000):
+    def __init__(self, path: str, max_entries: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -173,7 +173,7 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def parts(texts: pa.Array, most: int = 4_000_000):
+def parts(texts: pa.Array, most: int = 3_000_000):
     """(first, last) row ranges of at most ``most`` bytes, or of one text."""
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
     first, held = 0, 0

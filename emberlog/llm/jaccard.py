@@ -29,26 +29,27 @@ def cells(rows: DataFrame, keys: list[str], node: str, cell_rows: int) -> DataFr
     return dealt.select("*", F.explode(each).alias("cell")).select("cell.*", *rows.columns)
 
 
-def _joined(sets: list[set[int]], left: list[int], right: list[int], threshold: float) -> np.ndarray:
-    """Labels of the components of pairs (left x right) whose Jaccard reaches the threshold.
-    Pairs that others have joined already are not compared."""
-    labels = np.arange(len(sets))
-    others = np.array(right, np.int64)
-    for x in left:
-        passed = np.zeros(len(sets), bool)
-        while True:
-            hit = -1
-            for y in others[(labels[others] != labels[x]) & ~passed[others]].tolist():
-                a, b = sets[x], sets[y]
-                passed[y] = True
-                if min(len(a), len(b)) >= threshold * max(len(a), len(b)):
-                    both = len(a & b)
-                    if both >= threshold * (len(a) + len(b) - both):
-                        hit = y
-                        break
-            if hit < 0:
-                break
-            join_labels(labels, np.array([x]), np.array([hit]))
+def joined(values: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """Labels of the components of row pairs (left x right) whose sets, the values between
+    two offsets, reach the threshold. A row is compared with all others at once, by counts
+    of its values in theirs, and only if some of them are not joined to it yet."""
+    n = len(offsets) - 1
+    names, ids = np.unique(values[offsets[0] : offsets[-1]], return_inverse=True)
+    row = np.repeat(np.arange(n), np.diff(offsets))
+    cells_ = np.unique(row * np.int64(len(names) + 1) + ids)
+    row, ids = cells_ // (len(names) + 1), cells_ % (len(names) + 1)
+    size = np.bincount(row, minlength=n)
+    starts = np.cumsum(size) - size
+    labels, marked = np.arange(n), np.zeros(len(names) + 1, bool)
+    for x in left.tolist():
+        if (labels[right] == labels[x]).all():
+            continue
+        own = ids[starts[x] : starts[x] + size[x]]
+        marked[own] = True
+        both = np.bincount(row[marked[ids]], minlength=n)
+        marked[own] = False
+        near = right[both[right] >= threshold * (size[x] + size[right] - both[right])]
+        join_labels(labels, np.full(len(near), x), near)
     return labels
 
 
@@ -57,16 +58,14 @@ def jaccard_edges(dealt: DataFrame, group: str, node: str, threshold: float) ->
     of int) whose sets are similar enough, as a star for each component in a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, (group, "i", "j"), rows=4096):
+        for table, starts in whole_groups(batches, (group, "i", "j"), rows=2048):
             nodes, side = table.column(node).to_numpy(), table.column("side").to_numpy()
             shingles = pa.concat_arrays(table.column("shingles").chunks)
             values, offsets = shingles.values.to_numpy(), shingles.offsets.to_numpy()
             out_a, out_b = [], []
             for a, b in zip(starts[:-1], starts[1:], strict=True):
-                sets = [set(values[offsets[r] : offsets[r + 1]].tolist()) for r in range(a, b)]
-                left = [r - a for r in range(a, b) if side[r] != 1]
-                right = [r - a for r in range(a, b) if side[r] != 0]
-                labels = _joined(sets, left, right, threshold)
+                left, right = np.flatnonzero(side[a:b] != 1), np.flatnonzero(side[a:b] != 0)
+                labels = joined(values, offsets[a : b + 1], left, right, threshold)
                 moved = np.flatnonzero(labels != np.arange(b - a))
                 out_a.append(nodes[a + moved])
                 out_b.append(nodes[a + labels[moved]])

@@ -198,7 +198,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def _chunks(batch: pa.RecordBatch, most: int = 1 << 20):
+def _chunks(batch: pa.RecordBatch, most: int = 1 << 19):
     texts, at = batch.column("text").to_pylist(), 0
     while at < len(texts):
         last, held = at, 0

@@ -124,19 +124,32 @@ def _beyond(counters: list[np.ndarray], over: np.ndarray, radius: int) -> np.nda
     return over
 
 
-def close_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int, block: int = 1 << 16):
+def close_pairs(
+    fps: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int, block: int = 1 << 13, labels: np.ndarray | None = None
+):
     """Yields (row, other) arrays: every other row in [low, high) of a row within the radius.
-    ``fps`` has a row of 64-bit words for each fingerprint (or one word each)."""
+    ``fps`` has a row of 64-bit words for each fingerprint (or one word each). The first
+    words of all rows are compared first, then the second ones, and so on. With ``labels``,
+    which the caller keeps up to date, words whose rows all have the row's label already are
+    passed over: a tight group costs about one word for each row instead of all pairs."""
     fps = fps.reshape(len(low), -1)
     planes = np.concatenate([planes_of(fps[:, w]) for w in range(fps.shape[1])], 1)
     first, last = low // 64, np.where(high > low, (high - 1) // 64 + 1, low // 64)
     n_words = last - first
-    ends = np.cumsum(n_words)
-    total = int(ends[-1]) if len(ends) else 0
-    for at in range(0, total, block):
-        pair = np.arange(at, min(at + block, total))
-        row = np.searchsorted(ends, pair, "right")
-        word = first[row] + pair - (ends[row] - n_words[row])
+    most = int(n_words.max()) if len(n_words) else 0
+    padded = np.arange(len(planes) * 64) if labels is not None else None
+    for turn, at in ((k, at) for k in range(most) for at in range(0, len(low), block)):
+        row = at + np.flatnonzero(n_words[at : at + block] > turn)
+        word = first[row] + turn
+        if labels is not None and len(row):
+            padded[: len(labels)] = labels
+            lanes = padded.reshape(-1, 64)
+            least = lanes.min(1)
+            even = least == lanes.max(1)
+            needed = ~(even[word] & (least[word] == labels[row]))
+            row, word = row[needed], word[needed]
+        if not len(row):
+            continue
         base = word * 64
         bits = lambda n: np.where(n >= 64, FULL, (np.uint64(1) << np.minimum(n, 63).astype(np.uint64)) - np.uint64(1))
         valid = bits(np.clip(high[row] - base, 0, 64)) & ~bits(np.clip(low[row] - base, 0, 64))
@@ -158,16 +171,17 @@ def close_pairs(fps: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int,
                 if not len(row):
                     break
         if len(row):
-            hits = np.unpackbits((~beyond).view(np.uint8), bitorder="little").reshape(-1, 64)
-            which, lane = np.nonzero(hits)
-            yield row[which], word[which] * 64 + lane
+            for part in range(0, len(row), 4096):
+                hits = np.unpackbits((~beyond[part : part + 4096]).view(np.uint8), bitorder="little").reshape(-1, 64)
+                which, lane = np.nonzero(hits)
+                yield row[part + which], word[part + which] * 64 + lane
 
 
 def _links(radius: int, words: tuple[str, ...]):
     """Links of sorted cells as stars."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, starts in whole_groups(batches, ("tab", "key", "i", "j")):
+        for table, starts in whole_groups(batches, ("tab", "key", "i", "j"), rows=20_000):
             fps = np.stack([table.column(w).to_numpy().view(np.uint64) for w in words], 1)
             reps, side = table.column("rep").to_numpy(), table.column("side").to_numpy()
             sizes = np.diff(starts)
@@ -176,10 +190,15 @@ def _links(radius: int, words: tuple[str, ...]):
             low = np.where(side == 2, np.arange(len(fps)) + 1, seconds)
             high = np.where(side == 1, low, end)
             labels = np.arange(len(fps))
-            for a, b in close_pairs(fps, low, high, radius):
+            for a, b in close_pairs(fps, low, high, radius, labels=labels):
                 join_labels(labels, a, b)
-            moved = np.flatnonzero(labels != np.arange(len(fps)))
-            yield pa.RecordBatch.from_arrays([pa.array(reps[moved]), pa.array(reps[labels[moved]])], ["a", "b"])
+            # the smallest document is the star's centre, so that cells with the same
+            # documents give the same edges
+            centre = reps.copy()
+            np.minimum.at(centre, labels, reps)
+            centre = centre[labels]
+            moved = centre != reps
+            yield pa.RecordBatch.from_arrays([pa.array(reps[moved]), pa.array(centre[moved])], ["a", "b"])
 
     return run
 
