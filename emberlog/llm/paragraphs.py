@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
@@ -180,8 +180,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """Sampled windows that also stand in a document with a smaller id: doc_id, text_hash,
-    start, end and kept_doc_id. Rows of one key pass in order, and only the first document
-    is remembered, so a window that a third of all documents share needs no memory."""
+    start, end and kept_doc_id. Rows of one key pass in order of doc_id with a running
+    minimum, which Spark spills, so a window that a third of all documents share fits."""
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,26 +200,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                 )
                 at = last
 
-    def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key = held_doc = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
-            new = np.append(True, key[1:] != key[:-1])
-            first = np.flatnonzero(new)
-            kept = doc[first]
-            if key[0] == held_key:
-                kept = np.append(held_doc, kept[1:])
-            kept = np.repeat(kept, np.diff(np.append(first, len(key))))
-            held_key, held_doc = key[-1], kept[-1]
-            gone = pa.array(doc != kept)
-            columns = [batch.column(c) for c in ("doc_id", "text_hash", "start", "end")]
-            names = ["doc_id", "text_hash", "start", "end", "kept_doc_id"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept)], names).filter(gone)
-
-    dealt = _texts(docs).mapInArrow(sample, WINDOWS).repartition("key").sortWithinPartitions("key", "doc_id")
-    return dealt.mapInArrow(later, "doc_id long, text_hash long, start int, end int, kept_doc_id long")
+    sampled = _texts(docs).mapInArrow(sample, WINDOWS)
+    kept = F.min("doc_id").over(Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    return sampled.select("*", kept.alias("kept_doc_id")).where("doc_id != kept_doc_id").drop("key")
 
 
 def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> DataFrame:
