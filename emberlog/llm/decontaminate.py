@@ -6,7 +6,8 @@ map of the benchmark's window hashes thins out the documents' windows inside the
 rest meets the benchmark's windows in a hash join. A document holds an item if, along one
 alignment (small shifts allowed), at least ``share`` of the item's windows occur, with
 enough literal words, and its slots are consistent: one value of the item always stands for
-one value in the document. Re-parameterised questions are caught, texts that merely share
+one value in the document. Slots are read from one match for each window of the item, so a
+stretch that also matches itself shifted is no contradiction. Re-parameterised questions are caught, texts that merely share
 phrases are not.
 
 Tokens: runs of letters, or of digits with points and commas inside; a number word is a
@@ -213,33 +214,62 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_li
     by_offset = met.groupBy("doc_id", "item_id", "offset").agg(F.countDistinct("item_place").alias("n"))
     best = by_offset.groupBy("doc_id", "item_id").agg(F.max_by("offset", F.struct("n", -F.col("offset"))).alias("best"))
     near = met.join(best, ["doc_id", "item_id"]).where(F.abs(F.col("offset") - F.col("best")) <= slack)
-    sums = near.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("item_place").alias("n_windows"), F.max("item_windows").alias("item_windows"),
-        F.min("start").alias("start"), F.max("end").alias("end"), F.max("literal").alias("most_literal"),
-        F.countDistinct(F.when(F.col("literal") > 0, F.col("place"))).alias("literal_windows"),
-    )
-    hits = sums.where(
-        (F.col("n_windows") >= share * F.col("item_windows"))
-        & (F.least(F.lit(min_literal), F.col("most_literal") + F.col("literal_windows") - 1) >= F.least(F.lit(min_literal), "item_windows"))
-    )
-    slots = near.select("doc_id", "item_id", F.explode(F.arrays_zip("slots", "item_slots")).alias("x")).select(
-        "doc_id", "item_id", F.col("x.item_slots.at").alias("at"), F.col("x.item_slots.value").alias("given"),
-        F.col("x.slots.value").alias("taken"),
-    ).distinct()
-    values = slots.groupBy("doc_id", "item_id", "given").agg(F.countDistinct("taken").alias("n_taken"), F.countDistinct("at").alias("n_at"),
-                                                          F.max((F.col("given") != F.col("taken")).cast("int")).alias("changed"))
-    told = values.groupBy("doc_id", "item_id").agg(
-        F.max("n_taken").alias("most_taken"), F.sum("n_at").alias("n_slots"), F.sum(F.col("changed") * F.col("n_at")).alias("n_changed")
+    # at most 2 * slack + 1 matches of each window of the item
+    match = F.struct("item_place", "place", "offset", "start", "end", "literal", "slots", "item_slots")
+    along = near.groupBy("doc_id", "item_id", "best").agg(F.max("item_windows").alias("item_windows"), F.collect_list(match).alias("met"))
+    literal_windows = F.size(F.array_distinct(F.filter("met", lambda m: m["literal"] > 0)["place"]))
+    hits = along.where(
+        (F.size(F.array_distinct("met.item_place")) >= share * F.col("item_windows"))
+        & (F.least(F.lit(min_literal), F.array_max("met.literal") + literal_windows - 1) >= F.least(F.lit(min_literal), "item_windows"))
     )
-    zero = F.lit(0).cast("long")
-    return (
-        hits.join(told, ["doc_id", "item_id"], "left")
-        .where("coalesce(most_taken, 1) = 1")
-        .select(
-            "doc_id", "item_id", "n_windows", F.col("item_windows").cast("long").alias("item_windows"), "start", "end",
-            F.coalesce("n_slots", zero).alias("n_slots"), F.coalesce("n_changed", zero).alias("n_changed"),
-        )
-    )
+    return hits.mapInArrow(_told, LEAKS)
+
+
+LEAKS = "doc_id long, item_id long, n_windows long, item_windows long, start int, end int, n_slots long, n_changed long"
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The alignments whose slots are consistent, with their passage and slots."""
+    names = [x.split()[0] for x in LEAKS.split(", ")]
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            path = _path(row["met"], row["best"])
+            taken, at = {}, {}
+            for m in path:
+                for given, here in zip(m["item_slots"], m["slots"], strict=True):
+                    taken.setdefault(given["value"], set()).add(here["value"])
+                    at.setdefault(given["value"], set()).add(given["at"])
+            if any(len(x) > 1 for x in taken.values()):
+                continue
+            changed = sum(len(at[v]) for v, x in taken.items() if x != {v})
+            start, end = min(m["start"] for m in path), max(m["end"] for m in path)
+            out.append((row["doc_id"], row["item_id"], len(path), row["item_windows"], start, end, sum(map(len, at.values())), changed))
+        kinds = [pa.int32() if n in ("start", "end") else pa.int64() for n in names]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
+
+
+def _path(met: list[dict], centre: int) -> list[dict]:
+    """One match for each place of the item: the way through the item with the least change
+    of offset, and of those the nearest to ``centre``. A stretch that repeats itself also
+    matches itself shifted; such matches are not on the way."""
+    every: list[tuple[int, int, int, int]] = []  # changes, distance, number of the match, way before
+    ways: list[int] = []
+    last = None
+    for k in sorted(range(len(met)), key=lambda k: (met[k]["item_place"], met[k]["offset"])):
+        if met[k]["item_place"] != last:
+            last, before, ways = met[k]["item_place"], ways, []
+        offset = met[k]["offset"]
+        far = abs(offset - centre)
+        steps = ((every[w][0] + abs(offset - met[every[w][2]]["offset"]), every[w][1] + far, w) for w in before)
+        changes, distance, w = min(steps, default=(0, far, -1))
+        every.append((changes, distance, k, w))
+        ways.append(len(every) - 1)
+    at, path = min(ways, key=lambda w: every[w][:2]), []
+    while at >= 0:
+        path.append(met[every[at][2]])
+        at = every[at][3]
+    return path[::-1]
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8) -> DataFrame:

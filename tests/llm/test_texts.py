@@ -191,6 +191,23 @@ def test_templates_and_slots(spark):
     assert decontaminate.find_leaks(frame, bench.limit(0)).count() == 0
 
 
+LISTS = [
+    "Add up the numbers 3, 7, 8, 12, 15, 20 and 31 in the list and write down the total of them all.",
+    "The sensor in the hall was read on 2024-01-15 12:30:45 by the man on duty, who wrote it into the book.",
+    "She mixed 3 kg 7 g 4 kg 9 g 5 kg 2 g of the flour with water until the dough was smooth and soft.",
+]
+
+
+def test_items_that_match_themselves_shifted(spark):
+    changed = LISTS[0].replace("3, 7, 8, 12, 15, 20 and 31", "4, 9, 1, 22, 75, 30 and 61")
+    moved = LISTS[0].replace("Add up the", "Add up all the").replace("list and", "long list and")
+    docs = [(k, f"Some words before it. {text} Some words after it.") for k, text in enumerate([*LISTS, changed, moved])]
+    bench = spark.createDataFrame(list(enumerate(LISTS)), "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench, share=0.5).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_changed) for r in found) == [(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 0, 7), (4, 0, 0)]
+    assert all(r.start == 22 for r in found if r.doc_id < 4)
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
