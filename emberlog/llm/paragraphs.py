@@ -11,9 +11,12 @@ form a class, whose first paragraph by document and place stays and whose others
 
 A passage set into other text fills no line, so its line is no near-copy of another. For
 those, windows of ``PASSAGE`` words are sampled min-wise from the whole text (the smallest
-hash of each ``PICK`` in a row), which finds every run of PASSAGE + PICK - 1 = 50 words that
-two documents share; the windows of all documents but the first go, where no removed
-paragraph covers them.
+hash of each ``PICK`` in a row), which meets every run of PASSAGE + PICK - 1 = 50 words that
+two documents share. The sampled windows that repeat are seeds: in all documents that hold
+one, every window that starts less than PICK words from it is looked up as well. Each word
+of a shared run of 50 words or more stands in such a window, so the run is found from its
+first word to its last; it goes from all documents but the first, where no removed
+paragraph covers it.
 
 Cases: a null or empty text, or one of short lines, has no paragraph; a null id takes no
 part; rows with the same id and text are one document, rows with the same id and another
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 from emberlog.llm.components import components
 from emberlog.llm.jaccard import cells, jaccard_edges
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import whole_groups, written
+from emberlog.llm.work import forget, whole_groups, written
 
 SHINGLE = 5
 PASSAGE, PICK = 25, 26
@@ -44,7 +47,7 @@ PARAGRAPHS = (
 _tables: dict[str, np.ndarray] = {}
 
 
-WINDOWS = "key long, doc_id long, text_hash long, start int, end int"
+WINDOWS = "key long, doc_id long, text_hash long, start int, end int, seed boolean"
 
 
 def _word_hashes(texts: list[str]):
@@ -59,27 +62,38 @@ def _word_hashes(texts: list[str]):
     return code, start, end, _mixed(_hashes(_tables["low"][code].astype(np.uint64), start, end)), sizes
 
 
-def _passages(texts: list[str]):
-    """Sampled windows: text number, start, end and key."""
+def _passages(texts: list[str], seeds: list[list[int]] | None = None):
+    """Sampled windows: text number, start, end, key and whether it is a seed; with
+    ``seeds``, the starts of each text's seeds, the windows around those instead."""
     _, start, end, word, sizes = _word_hashes(texts)
     bounds = np.cumsum(sizes)
     text = np.searchsorted(bounds, start, "right")
     n = len(word) - PASSAGE + 1
-    if n < PICK:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+    if n < 1 or (seeds is None and n < PICK):
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, bool))
     at = np.arange(n)
     key = _mixed(_hashes(word, at, at + PASSAGE))
-    ranked = (key & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64)
-    blocks = np.full(-(-(n + PICK) // PICK) * PICK, np.uint64(0xFFFFFFFFFFFFFFFF))
-    blocks[:n] = ranked
-    blocks = blocks.reshape(-1, PICK)
-    before = np.minimum.accumulate(blocks, 1).ravel()
-    after = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
-    row = at[: n - PICK + 1]
-    row = row[text[row] == text[row + PICK + PASSAGE - 2]]
-    chosen = np.unique((np.minimum(after[row], before[row + PICK - 1]) & np.uint64((1 << 24) - 1)).astype(np.int64))
+    if seeds is None:
+        ranked = (key & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64)
+        blocks = np.full(-(-(n + PICK) // PICK) * PICK, np.uint64(0xFFFFFFFFFFFFFFFF))
+        blocks[:n] = ranked
+        blocks = blocks.reshape(-1, PICK)
+        before = np.minimum.accumulate(blocks, 1).ravel()
+        after = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
+        row = at[: n - PICK + 1]
+        row = row[text[row] == text[row + PICK + PASSAGE - 2]]
+        chosen = np.unique((np.minimum(after[row], before[row + PICK - 1]) & np.uint64((1 << 24) - 1)).astype(np.int64))
+        seed = np.ones(len(chosen), bool)
+    else:
+        places = np.repeat(bounds - sizes, [len(x) for x in seeds]) + np.array([x for own in seeds for x in own], np.int64)
+        places = np.searchsorted(start, places)
+        near = np.zeros(n + 1, np.int64)
+        np.add.at(near, np.maximum(places - PICK + 1, 0), 1)
+        np.add.at(near, np.minimum(places + PICK, n), -1)
+        chosen = np.flatnonzero((np.cumsum(near)[:n] > 0) & (text[:n] == text[PASSAGE - 1 :]))
+        seed = np.isin(chosen, places)
     begin = (bounds - sizes)[text[chosen]]
-    return text[chosen], start[chosen] - begin, end[chosen + PASSAGE - 1] - begin, key[chosen]
+    return text[chosen], start[chosen] - begin, end[chosen + PASSAGE - 1] - begin, key[chosen], seed
 
 
 def bands_for(threshold: float, hashes: int, recall: float) -> tuple[int, int]:
@@ -178,31 +192,43 @@ def _texts(docs: DataFrame) -> DataFrame:
     ).where("doc_id is not null and text is not null")
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """Sampled windows that also stand in a document with a smaller id: doc_id, text_hash,
-    start, end and kept_doc_id. Rows of one key pass in order of doc_id with a running
-    minimum, which Spark spills, so a window that a third of all documents share fits."""
-
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, at = batch.column("text").to_pylist(), 0
-            ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
-            while at < len(texts):
-                last, held = at, 0
-                while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 19):
-                    held += len(texts[last])
-                    last += 1
-                text, start, end, key = _passages(texts[at:last])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(ids[at + text]), pa.array(hashes[at + text]),
-                     pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))],
-                    [x.split()[0] for x in WINDOWS.split(", ")],
-                )
-                at = last
-
-    sampled = _texts(docs).mapInArrow(sample, WINDOWS)
-    kept = F.min("doc_id").over(Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    return sampled.select("*", kept.alias("kept_doc_id")).where("doc_id != kept_doc_id").drop("key")
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, at = batch.column("text").to_pylist(), 0
+        ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
+        seeds = batch.column("seeds").to_pylist() if "seeds" in batch.schema.names else None
+        while at < len(texts):
+            last, held = at, 0
+            while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 19):
+                held += len(texts[last])
+                last += 1
+            text, start, end, key, seed = _passages(texts[at:last], seeds and seeds[at:last])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key.view(np.int64)), pa.array(ids[at + text]), pa.array(hashes[at + text]),
+                 pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(seed)],
+                [x.split()[0] for x in WINDOWS.split(", ")],
+            )
+            at = last
+
+
+def _repeated(windows: DataFrame) -> DataFrame:
+    """Windows whose key stands in two documents at least, with the smallest id as
+    ``kept_doc_id``. Spark spills the rows of one key, so a window that a third of all
+    documents share fits."""
+    own = Window.partitionBy("key")
+    ids = windows.select("*", F.min("doc_id").over(own).alias("kept_doc_id"), F.max("doc_id").over(own).alias("last"))
+    return ids.where("kept_doc_id != last").drop("last")
+
+
+def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """Windows in and around the sampled ones that also stand in a document with a smaller
+    id: key, doc_id, text_hash, start, end, seed and kept_doc_id. Sampled windows inside the
+    removed ``lines`` are no seeds."""
+    shared = written(_repeated(_texts(docs).mapInArrow(_windows, WINDOWS)), "shared-windows")
+    asked = _by_text(shared.where("doc_id != kept_doc_id"), lines).mapInArrow(_uncovered, "key long").distinct()
+    spots = shared.join(asked, "key").groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("seeds"))
+    around = _texts(docs).join(spots, ["doc_id", "text_hash"]).mapInArrow(_windows, WINDOWS)
+    return _repeated(around).where("doc_id != kept_doc_id")
 
 
 def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> DataFrame:
@@ -239,40 +265,74 @@ def repeated_paragraphs(
         "doc_id", "text_hash", F.lit("paragraph").alias("unit"), "place", "start", "end",
         F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.place").alias("kept_place"), "class_size",
     )
+    lines = written(lines, "lines")
+    forget(found)
+    forget(named)
+    return _by_text(repeated_windows(docs, lines), lines).mapInArrow(_runs, lines.schema)
+
+
+def _by_text(windows: DataFrame, lines: DataFrame) -> DataFrame:
+    """Removed lines and windows of each text together, by start."""
     none = lambda kind: F.lit(None).cast(kind)
-    windows = repeated_windows(docs).select(
-        "doc_id", "text_hash", F.lit("passage").alias("unit"), none("int").alias("place"), "start", "end",
-        "kept_doc_id", none("int").alias("kept_place"), none("long").alias("class_size"),
+    both = lines.select("*", none("boolean").alias("seed"), none("long").alias("key")).unionAll(
+        windows.select(
+            "doc_id", "text_hash", F.lit("passage").alias("unit"), none("int").alias("place"), "start", "end",
+            "kept_doc_id", none("int").alias("kept_place"), none("long").alias("class_size"), "seed", "key",
+        )
     )
-    both = lines.unionAll(windows).repartition("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "start", "unit", "end")
-    return both.mapInArrow(_runs, both.schema)
+    return both.repartition("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash", "start", "unit", "end")
+
+
+def _axis(table: pa.Table, starts: np.ndarray):
+    """Which rows are removed lines; start and end with each text on an axis of its own;
+    text of each row and the axis' width."""
+    start, end = table.column("start").to_numpy(), table.column("end").to_numpy()
+    line = np.array(table.column("unit").to_pylist()) == "paragraph"
+    group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    width = np.int64(int(end.max()) + 2)
+    return line, start + group * width, end + group * width, group, width
+
+
+def _uncovered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of the windows that lie in no removed line as a whole."""
+    for table, starts in whole_groups(batches, ("doc_id", "text_hash"), rows=20_000):
+        line, a, b, _, _ = _axis(table, starts)
+        # lines of one text do not overlap, so only the last that starts no later can cover
+        before = np.searchsorted(a[line], a, "right")
+        covered = line.copy()
+        some = before > 0
+        covered[some] |= b[line][before[some] - 1] >= b[some]
+        yield from table.select(["key"]).filter(pa.array(~covered)).to_batches()
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by text and start: paragraphs as they are, windows that overlap none of
-    them joined to maximal runs. A run keeps the first window's kept_doc_id."""
+    """Rows sorted by text and start: paragraphs as they are; windows that overlap joined to
+    maximal runs, of which those with a seed stay, less what the paragraphs cover. A run
+    keeps the first window's kept_doc_id."""
     for table, starts in whole_groups(batches, ("doc_id", "text_hash"), rows=20_000):
-        start, end = table.column("start").to_numpy(), table.column("end").to_numpy()
-        line = np.array(table.column("unit").to_pylist()) == "paragraph"
-        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        # spans of one text on an axis of their own
-        width = int(end.max()) + 2
-        a, b = start + group * np.int64(width), end + group * np.int64(width)
-        line_a, line_b = a[line], np.maximum.accumulate(b[line]) if line.any() else b[line]
-        before = np.searchsorted(line_a, b, "left")
-        covered = ~line & (before > 0)
-        covered[covered] = line_b[before[covered] - 1] > a[covered]
-        rows = np.flatnonzero(~line & ~covered)
+        line, a, b, group, width = _axis(table, starts)
+        rows = np.flatnonzero(~line)
         far = np.maximum.accumulate(b[rows]) if len(rows) else b[rows]
-        first = np.append(True, a[rows][1:] > far[:-1] + 1)[: len(rows)]
-        lead = rows[first]
-        run_end = end.copy()
-        if len(lead):
-            run_end[lead] = np.maximum.reduceat(b[rows], np.flatnonzero(first)) - group[lead] * np.int64(width)
-        keep = np.sort(np.concatenate((np.flatnonzero(line), lead)))
-        out = table.take(pa.array(keep))
-        at = table.column_names.index("end")
-        out = out.set_column(at, "end", pa.array(run_end[keep].astype(np.int32)))
+        first = np.flatnonzero(np.append(True, a[rows][1:] >= far[:-1])[: len(rows)])
+        out_row, out_a, out_b = [np.flatnonzero(line)], [a[line]], [b[line]]
+        if len(first):
+            seed = np.array(table.column("seed").to_pylist())[rows].astype(bool)
+            seeded = np.logical_or.reduceat(seed, first)
+            lead, run_a, run_b = rows[first][seeded], a[rows[first]][seeded], np.maximum.reduceat(b[rows], first)[seeded]
+            line_a, line_b = np.unique(a[line]), np.unique(b[line])
+            lo, hi = np.searchsorted(line_b, run_a, "right"), np.searchsorted(line_a, run_b, "left")
+            for k, (x, y, i, j) in enumerate(zip(run_a, run_b, lo, hi, strict=True)):
+                cuts = [x, *np.column_stack((line_a[i:j], line_b[i:j])).ravel(), y]
+                pieces = [(p, q) for p, q in zip(cuts[::2], cuts[1::2], strict=True) if q > p + (i < j)]
+                out_row.append(np.full(len(pieces), lead[k], np.int64))
+                out_a.append(np.array([p for p, _ in pieces], np.int64))
+                out_b.append(np.array([q for _, q in pieces], np.int64))
+        row, out_a, out_b = np.concatenate(out_row), np.concatenate(out_a), np.concatenate(out_b)
+        order = np.lexsort((out_a, group[row]))
+        row, base = row[order], group[row[order]] * width
+        out = table.take(pa.array(row)).drop_columns(["seed", "key"])
+        for name, values in (("start", out_a[order] - base), ("end", out_b[order] - base)):
+            out = out.set_column(out.column_names.index(name), name, pa.array(values.astype(np.int32)))
         yield from out.to_batches()
 
 

@@ -164,6 +164,26 @@ def test_passages_inside_other_text(spark):
     assert [i for i in texts if passage in cut[i]] == [0] and all(short in cut[i] for i in range(12))
 
 
+def test_passages_go_from_the_first_word_to_the_last(spark):
+    rng = np.random.default_rng(16)
+    draw = lambda n: " ".join(f"t{x}" for x in rng.integers(0, 10**9, n))
+    fifty, long, tail = draw(50), draw(173), draw(60)
+    line = draw(40)
+    docs = [(i, f"{draw(20 + i)} {fifty} {draw(30)} {long} {draw(9)}") for i in range(6)]
+    # each half of the run is shared with another document
+    docs += [(10, f"{draw(30)} {tail} {draw(30)}"), (11, f"{draw(9)} {long} {tail} {draw(9)}")]
+    # a passage that begins inside a repeated line
+    docs += [(20 + i, f"{draw(5)}\n{line}\n{tail[: len(tail) // 2]} {draw(40)}") for i in range(2)]
+    texts, frame = dict(docs), spark.createDataFrame(docs, "doc_id long, text string")
+    found = {(r.doc_id, r.unit, texts[r.doc_id][r.start : r.end].strip()) for r in paragraphs.repeated_paragraphs(frame).collect()}
+    assert {f for f in found if f[0] < 10} == {(i, "passage", p) for i in range(1, 6) for p in (fifty, long)}
+    assert "".join(sorted(t for d, _, t in found if d == 11)).replace(" ", "") in {(x + y).replace(" ", "") for x, y in ((long, tail), (tail, long))}
+    cut = {r.doc_id: r.text for r in paragraphs.without_repeats(frame).collect()}
+    for i in range(1, 6):
+        assert not set(cut[i].split()) & set(f"{fifty} {long}".split())
+    assert (21, "paragraph", line) in found and line.split()[-1] not in cut[21]
+
+
 def test_paragraphs_near_copies_and_hot_groups(spark):
     rng = np.random.default_rng(8)
     words = [f"v{i}" for i in range(60)]
