@@ -3,7 +3,7 @@
 Texts become token sequences in which numbers, names and units are typed placeholders; the
 placeholders' values are kept as slots. Windows of five tokens are hashed. A fixed-size bit
 map of the benchmark's window hashes thins out the documents' windows inside the scan; the
-rest meets the benchmark's windows in a hash join. A document holds an item if, along one
+rest meets the benchmark's windows in a hash join. A document holds an item if, along any
 alignment (small shifts allowed), at least ``share`` of the item's windows occur, with
 enough literal words, and its slots are consistent: one value of the item always stands for
 one value in the document. Slots are read from one match for each window of the item, so a
@@ -212,17 +212,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_li
         "met-windows",
     )
     by_offset = met.groupBy("doc_id", "item_id", "offset").agg(F.countDistinct("item_place").alias("n"))
-    best = by_offset.groupBy("doc_id", "item_id").agg(F.max_by("offset", F.struct("n", -F.col("offset"))).alias("best"))
-    near = met.join(best, ["doc_id", "item_id"]).where(F.abs(F.col("offset") - F.col("best")) <= slack)
+    # every offset is an alignment of its own: a sibling of the item may match as well or better
+    enough = met.groupBy("doc_id", "item_id").agg(F.countDistinct("item_place").alias("all"), F.max("item_windows").alias("of"))
+    pairs = enough.where(F.col("all") >= share * F.col("of")).select("doc_id", "item_id")
+    centres = by_offset.join(pairs, ["doc_id", "item_id"]).withColumnRenamed("offset", "best").withColumnRenamed("n", "n_best")
+    around = met.withColumn("best", F.explode(F.sequence(F.col("offset") - slack, F.col("offset") + slack)))
+    near = around.join(centres, ["doc_id", "item_id", "best"])
     # at most 2 * slack + 1 matches of each window of the item
     match = F.struct("item_place", "place", "offset", "start", "end", "literal", "slots", "item_slots")
-    along = near.groupBy("doc_id", "item_id", "best").agg(F.max("item_windows").alias("item_windows"), F.collect_list(match).alias("met"))
+    along = near.groupBy("doc_id", "item_id", "best", "n_best").agg(F.max("item_windows").alias("item_windows"), F.collect_list(match).alias("met"))
     literal_windows = F.size(F.array_distinct(F.filter("met", lambda m: m["literal"] > 0)["place"]))
     hits = along.where(
         (F.size(F.array_distinct("met.item_place")) >= share * F.col("item_windows"))
         & (F.least(F.lit(min_literal), F.array_max("met.literal") + literal_windows - 1) >= F.least(F.lit(min_literal), "item_windows"))
     )
-    return hits.mapInArrow(_told, LEAKS)
+    told = hits.mapInArrow(_told, f"{LEAKS}, best int, n_best long")
+    names = [x.split()[0] for x in LEAKS.split(", ")]
+    one = F.max_by(F.struct(*names), F.struct("n_best", -F.col("best"))).alias("one")
+    return told.groupBy("doc_id", "item_id").agg(one).select("one.*")
 
 
 LEAKS = "doc_id long, item_id long, n_windows long, item_windows long, start int, end int, n_slots long, n_changed long"
@@ -230,7 +237,7 @@ LEAKS = "doc_id long, item_id long, n_windows long, item_windows long, start int
 
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The alignments whose slots are consistent, with their passage and slots."""
-    names = [x.split()[0] for x in LEAKS.split(", ")]
+    names = [x.split()[0] for x in LEAKS.split(", ")] + ["best", "n_best"]
     for batch in batches:
         out = []
         for row in batch.to_pylist():
@@ -244,8 +251,8 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             changed = sum(len(at[v]) for v, x in taken.items() if x != {v})
             start, end = min(m["start"] for m in path), max(m["end"] for m in path)
-            out.append((row["doc_id"], row["item_id"], len(path), row["item_windows"], start, end, sum(map(len, at.values())), changed))
-        kinds = [pa.int32() if n in ("start", "end") else pa.int64() for n in names]
+            out.append((row["doc_id"], row["item_id"], len(path), row["item_windows"], start, end, sum(map(len, at.values())), changed, row["best"], row["n_best"]))
+        kinds = [pa.int32() if n in ("start", "end", "best") else pa.int64() for n in names]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
 

@@ -208,6 +208,15 @@ def test_items_that_match_themselves_shifted(spark):
     assert all(r.start == 22 for r in found if r.doc_id < 4)
 
 
+def test_siblings_do_not_hide_the_item(spark):
+    sibling = QUESTION.replace("45 pears", "46 pears")
+    docs = [(1, f"{sibling} Then: {QUESTION}"), (2, f"{QUESTION} Then: {sibling}"), (3, f"{sibling} Then: {sibling}")]
+    bench = spark.createDataFrame([(10, QUESTION)], "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_changed) for r in found) == [(1, 10, 0), (2, 10, 0)]
+    assert {r.doc_id: r.start for r in found} == {1: len(sibling) + 7, 2: 0}
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
