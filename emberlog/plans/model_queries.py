@@ -17,9 +17,7 @@ from emberlog.plans.registry import query
 from emberlog.session import stored
 from emberlog.sources.tables import spread, table
 
-# rounds kept small so that the checks stay quick; the defaults are in operators/models.py
-QUICK = md.BoosterParams(max_depth=4, rounds=5)
-QUICK_B = md.BoosterParams(max_depth=4, step_size=0.05, rounds=5)
+TRIALS, FOLDS = 30, 3
 
 
 def training_table(spark, sf_dir):
@@ -39,7 +37,7 @@ def booster_comparison(spark, sf_dir):
     data, _ = training_table(spark, sf_dir)
     train, test = data.where("split = 'train'"), data.where("split = 'test'")
     fitting = data.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    models = {"booster_a": md.fit_booster(train, QUICK), "booster_b": md.fit_booster(fitting, QUICK_B, validation="is_val")}
+    models = {"booster_a": md.fit_booster(train, md.BOOSTER_A), "booster_b": md.fit_booster(fitting, md.BOOSTER_B, validation="is_val")}
     return md.compare_models(models, test)
 
 
@@ -47,15 +45,14 @@ def booster_comparison(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     data, names = training_table(spark, sf_dir)
     weighted = md.class_weights(data.where("split = 'train'"))
-    return md.top_features(md.feature_importance(spark, md.fit_booster(weighted, QUICK, weight="weight"), names))
+    return md.top_features(md.feature_importance(spark, md.fit_booster(weighted, md.BOOSTER_A, weight="weight"), names))
 
 
 @query("parameter_search")
 def parameter_search(spark, sf_dir):
     data, _ = training_table(spark, sf_dir)
-    trials = [md.BoosterParams(max_depth=2, rounds=2), md.BoosterParams(max_depth=3, rounds=2, step_size=0.3)]
-    found = md.search(data.where("split <> 'test'").drop("split"), trials, folds=2)
-    return md.experiment_variants(found, 2)
+    found = md.search(data.where("split <> 'test'").drop("split"), md.sample_trials(TRIALS), folds=FOLDS)
+    return md.experiment_variants(found)
 
 
 def numeric_points(spark, sf_dir):
