@@ -6,8 +6,9 @@ role or class word) are set aside. For each root-to-leaf tag path the text lengt
 punctuation of its nodes are added up and divided by their number; both ratios are smoothed
 along the page, fused to their geometric mean in units of their spread, and paths whose
 mean is under ``threshold`` spreads are dropped. The nodes that remain choose the content:
-the deepest element, above single text blocks, that holds most of their text. All its text
-is returned, short paragraphs and headings with it.
+the article or main elements that hold any of them, if these together hold most of their
+text, else the deepest element, above single text blocks, that holds them all. All text of
+what is chosen is returned, short paragraphs and headings with it.
 
 Cases: null or empty html, or a page without text, gives an empty text; a broken page is
 read as browsers do where that is clear (unclosed tags, bare ampersands); a null id or url
@@ -17,6 +18,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -157,23 +159,18 @@ def main_text(html: str, threshold: float = 0.8) -> str:
     if not blocks:
         return ""
     keep = _chosen([p for p, _, _ in blocks], [t for _, _, t in blocks], threshold)
-    mass: dict[int, int] = {}
-    for (_, elements, text), k in zip(blocks, keep, strict=True):
-        if k:
-            for n in elements:
-                mass[n] = mass.get(n, 0) + len(text)
-    total = sum(len(t) for (_, _, t), k in zip(blocks, keep, strict=True) if k)
-    most, depth = (), -1
-    for (_, elements, _), k in zip(blocks, keep, strict=True):
-        if k:
-            at = 0
-            while at < len(elements) and 2 * mass[elements[at]] > total and page.tags[elements[at]] not in LEAF:
-                at += 1
-                if page.tags[elements[at - 1]] in ("article", "main"):
-                    break
-            if at > depth:
-                most, depth = elements[:at], at
-    return " ".join(t for _, e, t in blocks if e[:depth] == most)
+    kept = [(elements, len(text)) for (_, elements, text), k in zip(blocks, keep, strict=True) if k]
+    articles: dict[int, int] = {}
+    for elements, size in kept:
+        for n in elements:
+            if page.tags[n] in ("article", "main"):
+                articles[n] = articles.get(n, 0) + size
+                break
+    if 2 * sum(articles.values()) > sum(size for _, size in kept):
+        return " ".join(t for _, e, t in blocks if not articles.keys().isdisjoint(e))
+    common = os.path.commonprefix([e for e, _ in kept])
+    depth = next((i for i, n in enumerate(common) if page.tags[n] in LEAF), len(common))
+    return " ".join(t for _, e, t in blocks if e[:depth] == common[:depth])
 
 
 def extract(pages: DataFrame, threshold: float = 0.8) -> DataFrame:

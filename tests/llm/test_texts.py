@@ -145,6 +145,15 @@ def test_page_text_without_article_element():
     assert tag_paths.main_text("<nav>menu</nav>") == tag_paths.main_text("") == ""
 
 
+def test_page_text_in_several_elements():
+    part = lambda n: "<p>" + "Some words here, which make a sentence. " * n + "</p>"
+    text = " ".join(["Some words here, which make a sentence."] * 10)
+    split = f"<body><div id=content><h1>Title</h1><div class=part>{part(6)}</div><div class=part>{part(4)}</div></div></body>"
+    assert tag_paths.main_text(split) == f"Title {text}"
+    articles = f"<body><div>x</div><article>{part(6)}</article><article><h2>Next</h2>{part(4)}</article></body>"
+    assert tag_paths.main_text(articles).replace("Next ", "") == text and "Next" in tag_paths.main_text(articles)
+
+
 def test_page_hard_cases(spark):
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>text", "y"), (2, None, "", None), (3, "v", "<p>" + "word, " * 50_000, "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
