@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm import (
     decontaminate,
+    hard_negatives,
     imatch,
     packing,
     paragraphs,
@@ -114,6 +115,14 @@ def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprint_with_edits(table(spark, sf_dir, "documents"))
 
 
+@_query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh id are moved on by one first, as the query's contract has it."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
+
+
 #: DuckDB SQL of the queries that SQL can express. The others rest on tokenizers, hashes or
 #: fitted models that it lacks, and are held against brute force in tests/llm.
 ORACLES: dict[str, str] = {
@@ -133,5 +142,25 @@ SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGIN
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
 FROM d LEFT JOIN t ON t.doc_id = d.doc_id
+""",
+    "op11_hard_negatives": """
+WITH r AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.id <> r.id WHERE a.id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id
+  WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
 }
