@@ -10,6 +10,7 @@ from emberlog.llm import (
     decontaminate,
     hard_negatives,
     imatch,
+    licenses,
     packing,
     paragraphs,
     quality_mil,
@@ -123,6 +124,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")))
 
 
+@_query("op12_licenses")
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
+
+
 #: DuckDB SQL of the queries that SQL can express. The others rest on tokenizers, hashes or
 #: fitted models that it lacks, and are held against brute force in tests/llm.
 ORACLES: dict[str, str] = {
