@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.llm import (
+    conversation_trie,
     decontaminate,
     hard_negatives,
     imatch,
@@ -129,6 +130,16 @@ def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(licenses.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+@_query("op13_conversation_trie")
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that begin with turns of the first one of their hundred, as many as
+    the id's checksum says."""
+    turns = conversation_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    shared = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return conversation_trie.prefix_nodes(conversation_trie.rebuilt(turns, base, shared, most_shared=5))
+
+
 #: DuckDB SQL of the queries that SQL can express. The others rest on tokenizers, hashes or
 #: fitted models that it lacks, and are held against brute force in tests/llm.
 ORACLES: dict[str, str] = {
