@@ -179,5 +179,35 @@ n AS (
   FROM p JOIN s ON s.anchor_id = p.anchor_id
   WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+""",
+    "op13_conversation_trie": """
+WITH t AS (
+  SELECT conv_id, {'r': coalesce(role, ''), 'x': coalesce(text, '')} AS turn,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS b,
+         -- CRC-32 of the decimal id: a character is mixed in, then eight shifts
+         xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda s: [CAST(ascii(s) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END)) % 6 AS h
+  FROM n),
+u AS (SELECT c.*, least(h, coalesce(n.n, 0)) AS used FROM c LEFT JOIN n ON n.conv_id = c.b),
+r AS (
+  SELECT conv_id, used + k - h AS depth, turn FROM u JOIN t USING (conv_id) WHERE k > h
+  UNION ALL SELECT u.conv_id, k, turn FROM u JOIN t ON t.conv_id = u.b WHERE k <= h),
+s AS (SELECT u.conv_id, coalesce(list(turn ORDER BY depth) FILTER (turn IS NOT NULL), []) AS s FROM u LEFT JOIN r USING (conv_id) GROUP BY u.conv_id),
+m AS (SELECT conv_id, d, s[1:d] AS key, s[1:d - 1] AS up, len(s) AS n FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM s)),
+v AS (
+  SELECT key, any_value(CASE WHEN d > 0 THEN up END) AS up, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM m GROUP BY key),
+k AS (SELECT up AS key, count(*) AS n_children FROM v WHERE depth > 0 GROUP BY up),
+w AS (SELECT v.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * length(key[depth].x) ELSE 0 END AS own FROM v LEFT JOIN k USING (key)),
+a AS (SELECT key[1:i] AS key, sum(own) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS i FROM w) GROUP BY 1)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, a.n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM w JOIN a USING (key) LEFT JOIN v AS p ON w.depth > 0 AND p.key = w.up
 """,
 }
