@@ -22,7 +22,9 @@ handled one by one; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,42 +70,47 @@ def _redone(tree: list[int], n_leaves: int, first: int, counts: list[int]) -> li
     return tree
 
 
-def edited(text: str, leaf_sizes: list[int], tree: list[int], start: int, n_deleted: int, inserted: str, count, leaf_chars: int):
-    """One edit: the new text, leaf sizes and tree, and how many code points were counted.
-
-    ``count`` gives the token counts of a list of leaves."""
-    start = min(max(start, 0), len(text))
-    end = min(start + max(n_deleted, 0), len(text))
-    new = text[:start] + inserted + text[end:]
-    grown = len(new) - len(text)
-    # the leaves touched, with those that meet the edit at its ends
-    first = last = at = 0
-    begin, places = 0, []
-    for size in leaf_sizes:
-        places.append(at)
-        at += size
-    places.append(at)
-    n = len(leaf_sizes)
-    while first < n and places[first + 1] < start:
-        first += 1
-    last = first
-    while last < n and places[last] <= end:
-        last += 1
-    first = min(first, n)
-    # widen until both ends are boundaries of the new text
-    while first > 0 and not BOUNDARY.match(new, places[first]):
-        first -= 1
-    while last < n and not BOUNDARY.match(new, places[last] + grown):
-        last += 1
-    begin, stop = places[first] if n else 0, (places[last] if n else 0) + grown
-    leaves = cut(new[begin:stop], leaf_chars)
-    counts = count(leaves)
-    sizes = leaf_sizes[:first] + [len(x) for x in leaves] + leaf_sizes[last:]
-    if len(leaves) == last - first:
-        tree = _redone(tree, n, first, counts)
-    else:
-        tree = summed(tree[:first] + counts + tree[last:n])
-    return new, sizes, tree, stop - begin
+class Edited:
+    """A document's text, leaf sizes and tree while edits are applied one after another. An
+    edit is begun here and gives the leaves to count; their counts end it."""
+
+    __slots__ = ("leaf_chars", "pending", "recounted", "sizes", "text", "tree")
+
+    def __init__(self, text: str, sizes: list[int], tree: list[int], leaf_chars: int):
+        self.text, self.sizes, self.tree, self.leaf_chars = text, sizes, tree, leaf_chars
+        self.recounted, self.pending = 0, None
+
+    def begin(self, start: int, n_deleted: int, inserted: str) -> list[str]:
+        """The new text, and the leaves of its changed stretch."""
+        text = self.text
+        start = min(max(start, 0), len(text))
+        end = min(start + max(n_deleted, 0), len(text))
+        new = text[:start] + inserted + text[end:]
+        grown = len(new) - len(text)
+        places = list(accumulate(self.sizes, initial=0))
+        n = len(self.sizes)
+        # the leaves touched, with those that meet the edit at its ends
+        first = min(max(bisect_left(places, start) - 1, 0), n)
+        last = min(bisect_right(places, end), n)
+        # widen until both ends are boundaries of the new text
+        while first > 0 and not BOUNDARY.match(new, places[first]):
+            first -= 1
+        while last < n and not BOUNDARY.match(new, places[last] + grown):
+            last += 1
+        begin, stop = places[first], places[last] + grown
+        leaves = cut(new[begin:stop], self.leaf_chars)
+        self.text, self.pending = new, (first, last, [len(x) for x in leaves])
+        self.recounted += stop - begin
+        return leaves
+
+    def end(self, counts: list[int]) -> None:
+        first, last, sizes = self.pending
+        n = len(self.sizes)
+        self.sizes = self.sizes[:first] + sizes + self.sizes[last:]
+        if len(counts) == last - first:
+            self.tree = _redone(self.tree, n, first, counts)
+        else:
+            self.tree = summed(self.tree[:first] + counts + self.tree[last:n])
 
 
 def _counter(tokenizer: str):
@@ -156,20 +163,32 @@ def apply_edits(state: DataFrame, tokenizer: str, leaf_chars: int = 512) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            held = [batch.column(c).to_pylist() for c in ("text", "leaf_chars", "tree", "edits")]
-            out = []
-            for doc_id, text, sizes, tree, edits in zip(ids, *held, strict=True):
-                recounted, before = 0, tree[-1] if tree else 0
-                todo = sorted(((x["start"] or 0, x["n_deleted"] or 0, x["inserted"] or "") for x in edits or [] if x), reverse=True)
-                for start, n_deleted, inserted in todo:
-                    text, sizes, tree, n = edited(text, sizes, tree, start, n_deleted, inserted, count, leaf_chars)
-                    recounted += n
-                out.append((doc_id, text, sizes, tree, tree[-1] if tree else 0, before, recounted, len(todo)))
-            columns = list(zip(*out, strict=True)) or [[]] * 8
-            kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.int64()] * 4]
-            names = ["doc_id", "text", "leaf_chars", "tree", "n_tokens", "tokens_before", "recounted_chars", "n_edits"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            for first, last in parts(batch.column("text")):
+                yield changed(batch.slice(first, last - first), count)
+
+    def changed(batch: pa.RecordBatch, count) -> pa.RecordBatch:
+        """A round for the k-th edits of all documents: their leaves are counted together."""
+        held = [batch.column(c).to_pylist() for c in ("text", "leaf_chars", "tree", "edits")]
+        docs = [Edited(text, sizes, tree, leaf_chars) for text, sizes, tree, _ in zip(*held, strict=True)]
+        before = [d.tree[-1] if d.tree else 0 for d in docs]
+        todo = [
+            sorted(((x["start"] or 0, x["n_deleted"] or 0, x["inserted"] or "") for x in edits or [] if x), reverse=True)
+            for edits in held[3]
+        ]
+        for k in range(max(map(len, todo), default=0)):
+            now = [(d, d.begin(*edits[k])) for d, edits in zip(docs, todo, strict=True) if k < len(edits)]
+            counts = count([x for _, leaves in now for x in leaves])
+            at = 0
+            for d, leaves in now:
+                d.end(counts[at : at + len(leaves)])
+                at += len(leaves)
+        columns = [
+            batch.column("doc_id").to_pylist(), [d.text for d in docs], [d.sizes for d in docs], [d.tree for d in docs],
+            [d.tree[-1] if d.tree else 0 for d in docs], before, [d.recounted for d in docs], [len(x) for x in todo],
+        ]
+        kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.int64()] * 4]
+        names = ["doc_id", "text", "leaf_chars", "tree", "n_tokens", "tokens_before", "recounted_chars", "n_edits"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     columns = [F.col(c) for c in ("doc_id", "text", "leaf_chars", "tree")]
     return state.select(*columns, F.col("edits").cast(EDITS).alias("edits")).mapInArrow(

@@ -143,7 +143,10 @@ def test_random_edits_keep_trees_right():
         sizes, tree = [len(x) for x in leaves], token_trees.summed(count(leaves))
         for _ in range(3):
             start, gone, new = int(rng.integers(0, 210)), int(rng.integers(0, 40)), "".join(rng.choice(letters, rng.integers(0, 30)))
-            text, sizes, tree, _ = token_trees.edited(text, sizes, tree, start, gone, new, count, 16)
+            doc = token_trees.Edited(text, sizes, tree, 16)
+            doc.end(count(doc.begin(start, gone, new)))
+            assert doc.text == text[:start] + new + text[start + gone :]
+            text, sizes, tree = doc.text, doc.sizes, doc.tree
             assert sum(sizes) == len(text) and (tree[-1] if tree else 0) == len(encode(text))
             assert tree == token_trees.summed(tree[: len(sizes)])
 
