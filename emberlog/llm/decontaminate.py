@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import written
+from emberlog.llm.work import lean, small, written
 
 SIZE = 5
 MAP_BITS = 24
@@ -150,7 +150,7 @@ def _windows(table: DataFrame, id_column: str, bits: np.ndarray | None) -> DataF
     shift = np.uint64(64 - MAP_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids, texts = batch.column("id").to_pylist(), batch.column("text").to_pylist()
             at = 0
             while at < len(texts):
@@ -186,7 +186,7 @@ def _windows(table: DataFrame, id_column: str, bits: np.ndarray | None) -> DataF
                 at = last
 
     rows = table.select(F.col(id_column).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).where("id is not null")
-    return rows.mapInArrow(run, ROWS)
+    return rows.mapInArrow(lean(run), ROWS)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_literal: int = 5, slack: int = 3) -> DataFrame:
@@ -226,7 +226,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_li
         (F.size(F.array_distinct("met.item_place")) >= share * F.col("item_windows"))
         & (F.least(F.lit(min_literal), F.array_max("met.literal") + literal_windows - 1) >= F.least(F.lit(min_literal), "item_windows"))
     )
-    told = hits.mapInArrow(_told, f"{LEAKS}, best int, n_best long")
+    told = hits.mapInArrow(lean(_told), f"{LEAKS}, best int, n_best long")
     names = [x.split()[0] for x in LEAKS.split(", ")]
     one = F.max_by(F.struct(*names), F.struct("n_best", -F.col("best"))).alias("one")
     return told.groupBy("doc_id", "item_id").agg(one).select("one.*")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.work import join_labels, whole_groups
+from emberlog.llm.work import join_labels, lean, whole_groups
 
 
 def cells(rows: DataFrame, keys: list[str], node: str, cell_rows: int) -> DataFrame:
@@ -72,4 +72,4 @@ def jaccard_edges(dealt: DataFrame, group: str, node: str, threshold: float) ->
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
 
     ordered = dealt.select(group, "i", "j", "side", node, "shingles").repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(lean(run), "a long, b long").distinct()

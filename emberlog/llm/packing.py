@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.llm.work import lean, small
+
 from emberlog.llm.encoding import encoder, parts
 
 SCHEMA = (
@@ -170,7 +172,7 @@ def pack(
             columns = list(zip(*packer.taken(), strict=True)) or [[] for _ in kinds]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-        for batch in batches:
+        for batch in small(batches):
             ids, texts, prompts = batch.column("doc_id").to_pylist(), batch.column("text"), batch.column("prompt").to_pylist()
             for first, last in parts(texts):
                 found, ends = words.encode(texts.slice(first, last - first))
@@ -180,4 +182,4 @@ def pack(
         packer.pack(0)
         yield made()
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

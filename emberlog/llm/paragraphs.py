@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from emberlog.llm.components import components
 from emberlog.llm.jaccard import cells, jaccard_edges
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import forget, whole_groups, written
+from emberlog.llm.work import forget, lean, small, whole_groups, written
 
 SHINGLE = 5
 PASSAGE, PICK = 25, 26
@@ -162,7 +162,7 @@ def _paragraphs(texts: list[str], min_words: int, bands: int, rows: int):
 
 def paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts, at = batch.column("text").to_pylist(), 0
             ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
             while at < len(texts):
@@ -183,7 +183,7 @@ def paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFr
                 )
                 at = last
 
-    return _texts(docs).mapInArrow(run, PARAGRAPHS)
+    return _texts(docs).mapInArrow(lean(run), PARAGRAPHS)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         texts, at = batch.column("text").to_pylist(), 0
         ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
         seeds = batch.column("seeds").to_pylist() if "seeds" in batch.schema.names else None
@@ -224,10 +224,10 @@ def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Windows in and around the sampled ones that also stand in a document with a smaller
     id: key, doc_id, text_hash, start, end, seed and kept_doc_id. Sampled windows inside the
     removed ``lines`` are no seeds."""
-    shared = written(_repeated(_texts(docs).mapInArrow(_windows, WINDOWS)), "shared-windows")
-    asked = _by_text(shared.where("doc_id != kept_doc_id"), lines).mapInArrow(_uncovered, "key long").distinct()
+    shared = written(_repeated(_texts(docs).mapInArrow(lean(_windows), WINDOWS)), "shared-windows")
+    asked = _by_text(shared.where("doc_id != kept_doc_id"), lines).mapInArrow(lean(_uncovered), "key long").distinct()
     spots = shared.join(asked, "key").groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("seeds"))
-    around = _texts(docs).join(spots, ["doc_id", "text_hash"]).mapInArrow(_windows, WINDOWS)
+    around = _texts(docs).join(spots, ["doc_id", "text_hash"]).mapInArrow(lean(_windows), WINDOWS)
     return _repeated(around).where("doc_id != kept_doc_id")
 
 
@@ -268,7 +268,7 @@ def repeated_paragraphs(
     lines = written(lines, "lines")
     forget(found)
     forget(named)
-    return _by_text(repeated_windows(docs, lines), lines).mapInArrow(_runs, lines.schema)
+    return _by_text(repeated_windows(docs, lines), lines).mapInArrow(lean(_runs), lines.schema)
 
 
 def _by_text(windows: DataFrame, lines: DataFrame) -> DataFrame:
@@ -348,7 +348,7 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     rows = docs.alias("d").join(keys, on, "left").select(*[F.col(f"d.`{c}`") for c in names], "__cut")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for text, cut in zip(batch.column(names.index("text")).to_pylist(), batch.column("__cut").to_pylist(), strict=True):
                 if cut:
@@ -371,4 +371,4 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
                 columns[i] = pc.if_else(pa.array(cut), sizes, columns[i])
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(lean(run), docs.schema)

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberlog.llm.work import lean, small
+
 PASSAGE, LEAST, SHAPES = 64, 16, 64
 FEATURES = 16 + SHAPES
 SPACE, LOWER, UPPER, DIGIT, MARK, SYMBOL = range(6)
@@ -199,14 +201,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def _chunks(batch: pa.RecordBatch, most: int = 1 << 19):
-    texts, at = batch.column("text").to_pylist(), 0
-    while at < len(texts):
-        last, held = at, 0
-        while last < len(texts) and (last == at or held + len(texts[last]) <= most):
-            held += len(texts[last])
-            last += 1
-        yield at, texts[at:last]
-        at = last
+    at = 0
+    for part in small([batch], "text", most):
+        yield at, part.column("text").to_pylist()
+        at += part.num_rows
 
 
 def _texts(docs: DataFrame, *more: Column) -> DataFrame:
@@ -232,7 +230,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", max_
                 )
 
     rows = docs.join(F.broadcast(given), F.col("doc_id").cast("long") == F.col("labelled"))
-    bags = _texts(rows, F.col("y")).mapInArrow(run, "doc_id long, y double, x binary").toArrow().sort_by("doc_id")
+    bags = _texts(rows, F.col("y")).mapInArrow(lean(run), "doc_id long, y double, x binary").toArrow().sort_by("doc_id")
     x = np.frombuffer(b"".join(bags.column("x").to_pylist()), np.float32).reshape(-1, FEATURES)
     sizes = np.array([len(v) // (4 * FEATURES) for v in bags.column("x").to_pylist()], np.int64)
     return GatedAttention.fit(x, sizes, bags.column("y").to_numpy())
@@ -247,7 +245,7 @@ def score_quality(docs: DataFrame, model: GatedAttention) -> DataFrame:
                 scores = np.clip(model.score(*passages(texts)), 0.0, 1.0)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pa.array(scores)], ["doc_id", "score"])
 
-    return _texts(docs).mapInArrow(run, "doc_id long, score double").select("doc_id", held_out().alias("held_out"), "score")
+    return _texts(docs).mapInArrow(lean(run), "doc_id long, score double").select("doc_id", held_out().alias("held_out"), "score")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -262,4 +260,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Dat
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
 from emberlog.llm.jaccard import cells, jaccard_edges
-from emberlog.llm.work import join_labels, whole_groups, written
+from emberlog.llm.work import join_labels, lean, small, whole_groups, written
 
 SEED = 42
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, size: int = 4, wide: bool = False) -> DataFram
     names = ["doc_id", "fp", "fp2"] if wide else ["doc_id", "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [shingle_hashes(x, size) for x in batch.column("text").to_pylist()]
             found = [np.unique(h) for h in found] if wide else found
             columns = [np.array([majority(h) for h in found], np.uint64).view(np.int64)]
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, size: int = 4, wide: bool = False) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns)], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return rows.mapInArrow(lean(run), ", ".join(f"{n} long" for n in names))
 
 
 def _buckets(blocks: int, radius: int) -> F.Column:
@@ -206,7 +206,7 @@ def _links(radius: int, words: tuple[str, ...]):
 def _bucket_edges(spread: DataFrame, words: tuple[str, ...], radius: int, cell_rows: int) -> DataFrame:
     dealt = cells(spread, ["tab", "key"], "rep", cell_rows)
     dealt = dealt.repartition("tab", "key", "i", "j").sortWithinPartitions("tab", "key", "i", "j", "side")
-    return dealt.mapInArrow(_links(radius, words), "a long, b long").distinct()
+    return dealt.mapInArrow(lean(_links(radius, words)), "a long, b long").distinct()
 
 
 def link_edges(reps: DataFrame, radius: int = 4, blocks: int = 6, cell_rows: int = 4096) -> DataFrame:
@@ -268,18 +268,18 @@ def similar_groups(
     exact Jaccard inside the groups decides. Equal fingerprints are links by themselves."""
     prints = written(fingerprints(docs, size, wide=True).where("doc_id is not null"), "fingerprints")
     reps = written(prints.groupBy("fp", "fp2").agg(F.min("doc_id").alias("rep")), "reps")
-    spread = reps.mapInArrow(_sampled_keys(tables, bits), "tab int, key long, fp long, fp2 long, rep long")
+    spread = reps.mapInArrow(lean(_sampled_keys(tables, bits)), "tab int, key long, fp long, fp2 long, rep long")
     near = written(components(_bucket_edges(spread, ("fp", "fp2"), radius, 4096)), "near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             sets = [np.unique(shingle_hashes(x, size) >> np.uint64(32)).astype(np.uint32).view(np.int32) for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("component"), batch.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["component", "node", "shingles"]
             )
 
     asked = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(near, "node")
-    sets = asked.select("component", "node", "text").mapInArrow(run, "component long, node long, shingles array<int>")
+    sets = asked.select("component", "node", "text").mapInArrow(lean(run), "component long, node long, shingles array<int>")
     same = components(jaccard_edges(cells(sets, ["component"], "node", cell_rows), "component", "node", threshold))
     owner = reps.join(same, reps["rep"] == same["node"], "left").select("fp", "fp2", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(owner, ["fp", "fp2"]).select("doc_id", "component_id")

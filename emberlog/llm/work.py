@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import math
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from emberlog.session import shared_folder
@@ -39,6 +43,36 @@ def shuffle_parts(spark: SparkSession) -> int:
     return max(1, math.ceil(float(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``most`` bytes of a text column, or of one text, so
+    that what a pass holds as Python objects stays small."""
+    for batch in batches:
+        ends = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def lean(run: Callable) -> Callable:
+    """A pass that gives its memory back to the system when it ends. Worker processes stay
+    for later passes, and what each leaves unused in the allocators would add up."""
+
+    @functools.wraps(run)
+    def passed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return passed
+
+
 def whole_groups(batches, keys: tuple[str, ...], rows: int = 50_000):
     """From batches sorted by ``keys``: (table, starts) with whole groups only, about
     ``rows`` rows at a time. ``starts`` has each group's first row, and the end."""
