@@ -1,10 +1,10 @@
-"""Detector training, scoring and search on Spark ML."""
+"""Detectors on Spark ML, fitted on all rows. Boosters on a bounded sample, many at a time,
+are in ``boosting``; the search is in ``tuning``."""
 
 from __future__ import annotations
 
-import random
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlog.operators.evaluate import evaluate_models
-from emberlog.operators.splits import stratified_folds
 
 
 @dataclass(frozen=True)
@@ -94,84 +93,6 @@ def compare_models(models: Mapping[str, object], test: DataFrame) -> DataFrame:
     return evaluate_models(reduce(lambda a, b: a.unionByName(b), parts))
 
 
-# ---------------------------------------------------------------- search
-
-
-def sample_trials(n: int, seed: int = 42, max_rounds: int = 1000) -> list[BoosterParams]:
-    """Seeded random draws from the search space (log scale for step size and gain)."""
-    rng = random.Random(seed)
-    return [
-        BoosterParams(
-            max_depth=rng.randint(3, 12),
-            step_size=0.01 * (0.3 / 0.01) ** rng.random(),
-            rounds=min(max_rounds, 100 * rng.randint(1, 10)),
-            subsample=rng.uniform(0.5, 1.0),
-            column_share=rng.uniform(0.5, 1.0),
-            min_rows=rng.randint(1, 10),
-            min_gain=1e-8 * (1.0 / 1e-8) ** rng.random(),
-            seed=seed,
-        )
-        for _ in range(n)
-    ]
-
-
-def search(
-    df: DataFrame, trials: Sequence[BoosterParams], id_column: str = "id", label: str = "label",
-    folds: int = 3, metric: str = "f1_score", fold_column: str | None = None,
-) -> DataFrame:
-    """Cross-validated trials with all metrics from the same predictions.
-
-    The fits run one after another on the whole cluster; their held-out predictions are
-    scored together in one grouped aggregation per (trial, fold).
-    """
-    spark = df.sparkSession
-    if fold_column is None:
-        df, fold_column = stratified_folds(df, id_column, label, folds), "fold"
-    scored = []
-    for number, params in enumerate(trials):
-        for k in range(folds):
-            model = fit_booster(df.where(F.col(fold_column) != k), params, label=label)
-            held = predict(model, df.where(F.col(fold_column) == k), keep=[label])
-            scored.append(held.select(F.lit(number).alias("number"), F.lit(k).alias("fold"), F.col(label).alias("label"), "prediction", "score"))
-    per_fold = evaluate_models(reduce(lambda a, b: a.unionByName(b), scored), ["number", "fold"])
-    objectives = ("f1_score", "auc_roc")
-    params_rows = [(i, {k: str(v) for k, v in asdict(p).items()}) for i, p in enumerate(trials)]
-    params_table = spark.createDataFrame(params_rows, "number int, params map<string,string>")
-    summary = per_fold.groupBy("number").agg(
-        *[F.avg(m).alias(f"mean_{m}") for m in objectives],
-        *[F.stddev_pop(m).alias(f"std_{m}") for m in objectives],
-    )
-    return summary.withColumn("value", F.col(f"mean_{metric}")).join(params_table, "number")
-
-
 def top_trials(trials: DataFrame, n: int = 3) -> DataFrame:
     """Best trials with equal traffic weights."""
     return trials.orderBy(F.desc("value"), "number").limit(n).withColumn("weight", F.lit(1.0 / n))
-
-
-def experiment_variants(trials: DataFrame, n: int = 3, prefix: str = "xgb_optimized_v") -> DataFrame:
-    """Variant rows for the experiment from the best trials, each with its own parameters."""
-    best = top_trials(trials, n)
-    place = F.row_number().over(_place())
-    return best.withColumn("place", place).select(
-        F.concat(F.lit(prefix), "place").alias("variant_id"),
-        F.concat(F.lit("Optimized Variant "), "place").alias("name"),
-        "weight", F.col("value").alias("score"), F.col("std_f1_score").alias("std"), "params",
-    )
-
-
-def _place():
-    from pyspark.sql import Window
-
-    # at most ``n`` rows reach this window
-    return Window.orderBy(F.desc("value"), "number")
-
-
-def fit_variants(df: DataFrame, variants: DataFrame, label: str = "label") -> dict[str, GBTClassificationModel]:
-    """Fit every variant with its own trial parameters."""
-    kinds = {k: type(v) for k, v in asdict(BoosterParams()).items()}
-    fitted = {}
-    for row in variants.select("variant_id", "params").collect():  # a handful of variants
-        params = BoosterParams(**{k: kinds[k](v) for k, v in row["params"].items()})
-        fitted[row["variant_id"]] = fit_booster(df, params, label=label)
-    return fitted

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from emberlog.functions.binning import finite_or_zero
+from emberlog.operators import boosting as bo
 from emberlog.operators import chunks as ch
 from emberlog.operators import features as ft
 from emberlog.operators import iforest as fo
 from emberlog.operators import models as md
 from emberlog.operators import splits as sp
+from emberlog.operators import tuning as tu
 from emberlog.operators import vectors as ve
+from emberlog.operators.evaluate import evaluate_models
 from emberlog.operators.labels import confidence_tier
 from emberlog.plans.log_queries import labelled
 from emberlog.plans.registry import query
@@ -18,6 +23,9 @@ from emberlog.session import stored
 from emberlog.sources.tables import spread, table
 
 TRIALS, FOLDS = 30, 3
+#: Labelled rows that boosters are fitted on at most: a documented bound. Cut points, scores
+#: and metrics are of all rows.
+FIT_ROWS, SEARCH_ROWS = 50_000, 20_000
 
 
 def training_table(spark, sf_dir):
@@ -34,25 +42,35 @@ def training_table(spark, sf_dir):
 
 @query("booster_comparison")
 def booster_comparison(spark, sf_dir):
+    """Both boosters from one job over at most ``FIT_ROWS`` rows, judged on the whole test split."""
     data, _ = training_table(spark, sf_dir)
-    train, test = data.where("split = 'train'"), data.where("split = 'test'")
-    fitting = data.where("split <> 'test'").withColumn("is_val", F.col("split") == "val")
-    models = {"booster_a": md.fit_booster(train, md.BOOSTER_A), "booster_b": md.fit_booster(fitting, md.BOOSTER_B, validation="is_val")}
-    return md.compare_models(models, test)
+    fitting = data.where("split <> 'test'")
+    binned = bo.bin_rows(fitting, group=(F.col("split") == "val").cast("int"), max_rows=FIT_ROWS)
+    a, b = bo.fit_models(spark, binned, [(bo.TREES_A, 1), (bo.TREES_B, 1)])
+    test = data.where("split = 'test'")
+    return evaluate_models(a.predict(test, "booster_a").unionByName(b.predict(test, "booster_b")))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     data, names = training_table(spark, sf_dir)
     weighted = md.class_weights(data.where("split = 'train'"))
-    return md.top_features(md.feature_importance(spark, md.fit_booster(weighted, md.BOOSTER_A, weight="weight"), names))
+    (model,) = bo.fit_models(spark, bo.bin_rows(weighted, weight="weight", max_rows=FIT_ROWS), [(bo.TREES_A, None)])
+    rows = [(n, float(v)) for n, v in zip(names, model.importance(), strict=True)]
+    return md.top_features(spark.createDataFrame(rows, "feature string, importance double"))
 
 
 @query("parameter_search")
 def parameter_search(spark, sf_dir):
+    """30 trials on three folds, the best three fitted anew and judged on the test split."""
     data, _ = training_table(spark, sf_dir)
-    found = md.search(data.where("split <> 'test'").drop("split"), md.sample_trials(TRIALS), folds=FOLDS)
-    return md.experiment_variants(found)
+    trials, binned = tu.search(data.where("split <> 'test'").drop("split"), TRIALS, FOLDS, max_rows=SEARCH_ROWS)
+    variants = stored(tu.best_variants(tu.trials_table(spark, trials)))
+    test = data.where("split = 'test'")
+    fitted = [model.predict(test, name) for name, model in tu.fit_variants(spark, variants, binned).items()]
+    judged = evaluate_models(reduce(lambda x, y: x.unionByName(y), fitted))
+    judged = judged.select(F.col("model").alias("variant_id"), F.col("f1_score").alias("test_f1"), F.col("auc_roc").alias("test_auc"))
+    return variants.join(judged, "variant_id")
 
 
 def numeric_points(spark, sf_dir):

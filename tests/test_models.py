@@ -35,36 +35,6 @@ def test_booster_fit_predict_reload(spark, matrix, tmp_path):
     assert md.top_features(md.feature_importance(spark, model, list("abcde")), 1).first().feature == "a"
 
 
-def test_search_and_variants(matrix):
-    trials = [QUICK, md.BoosterParams(max_depth=1, rounds=1)]
-    found = md.search(matrix, trials, folds=2)
-    rows = found.orderBy("number").collect()
-    assert [r.number for r in rows] == [0, 1] and all(0 <= r.value <= 1 for r in rows)
-    variants = md.experiment_variants(found, 2).orderBy("variant_id").collect()
-    assert [v.variant_id for v in variants] == ["xgb_optimized_v1", "xgb_optimized_v2"]
-    assert variants[0].params["max_depth"] in {"1", "3"} and sum(v.weight for v in variants) == 1.0
-
-
-def test_trials_are_seeded():
-    assert md.sample_trials(5) == md.sample_trials(5)
-    assert all(3 <= t.max_depth <= 12 and 0.01 <= t.step_size <= 0.3 for t in md.sample_trials(50))
-
-
-def test_model_queries_run_the_whole_job(spark, matrix, monkeypatch):
-    from emberlog.plans import REGISTRY, model_queries
-
-    fits, searches = [], []
-    data = matrix.withColumn("split", F.lit("train"))
-    monkeypatch.setattr(model_queries, "training_table", lambda spark, sf_dir: (data, list("abcde")))
-    monkeypatch.setattr(md, "fit_booster", lambda df, params=md.BOOSTER_A, **options: fits.append(params))
-    monkeypatch.setattr(md, "search", lambda df, trials, folds=3: searches.append((trials, folds)))
-    for name in ("compare_models", "feature_importance", "top_features", "experiment_variants"):
-        monkeypatch.setattr(md, name, lambda *given: None)
-    for name in ("booster_comparison", "feature_importance", "parameter_search"):
-        REGISTRY[name].build(spark, "")
-    assert fits == [md.BOOSTER_A, md.BOOSTER_B, md.BOOSTER_A] and searches == [(md.sample_trials(30), 3)]
-
-
 def test_class_weights(matrix):
     weighted = md.class_weights(matrix).groupBy("label").agg(F.max("weight").alias("w")).collect()
     assert {r.label: r.w for r in weighted} == {0: 5.0, 1: 95.0}

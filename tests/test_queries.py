@@ -6,16 +6,13 @@ from check_queries import compare, duck
 import __spark_entry__ as entry
 from emberlog.plans import REGISTRY
 
-SLOW = {"booster_comparison", "feature_importance", "parameter_search"}  # covered in test_models.py
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return duck(sf_dir)
 
 
 # the training-data queries are tested in tests/llm
-@pytest.mark.parametrize("name", [n for n in REGISTRY if n not in SLOW])
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, con, sf_dir, name):
     ok, note = compare(spark, con, name, sf_dir)
     if not ok and note.startswith("0 rows"):
