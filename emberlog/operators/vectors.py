@@ -14,45 +14,21 @@ QUERY_BLOCK = 4096
 CORPUS_BLOCK = 32768
 
 
-def cosine_top_k(
-    queries: DataFrame, corpus: DataFrame, k: int = 5, threshold: float = 0.7, query_id: str = "query_id",
-    item_id: str = "item_id", vector: str = "vector", skip_same: bool = False,
-    query_block: int = QUERY_BLOCK, corpus_block: int = CORPUS_BLOCK,
-) -> DataFrame:
-    """The ``k`` most similar items per query with a score of at least ``threshold``.
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm == 0, 1.0, norm)
 
-    Exact search on a grid: queries and items are hashed into blocks of bounded size,
-    each (query block, item block) cell is one matrix product in its own group, and a
-    cell returns at most ``k`` rows per query. Neither side has to fit anywhere; a
-    single query block costs one pass over the items. Scores are rounded to nine digits
-    before ranking, so ties fall to the smaller id however the sums were ordered.
-    """
-    rows = max(1, -(-queries.count() // query_block))
-    columns = max(1, -(-corpus.count() // corpus_block))
 
-    def pick(name: str, of: int) -> Column:
-        return F.pmod(F.xxhash64(name), F.lit(of)).cast("int")
+def hit_schema(query_id: str, query: T.StructField, item_id: str, item: T.StructField) -> T.StructType:
+    fields = [T.StructField(query_id, query.dataType), T.StructField(item_id, item.dataType)]
+    return T.StructType([*fields, T.StructField("score", T.DoubleType())])
 
-    left = queries.select(
-        pick(query_id, rows).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("c"),
-        F.col(query_id).alias("q"), F.col(vector).cast("array<float>").alias("v"),
-    )
-    right = corpus.select(
-        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("r"), pick(item_id, columns).alias("c"),
-        F.col(item_id).alias("i"), F.col(vector).cast("array<float>").alias("v"),
-    )
-    schema = T.StructType(
-        [
-            T.StructField(query_id, queries.schema[query_id].dataType),
-            T.StructField(item_id, corpus.schema[item_id].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
+
+def block_search(query_id: str, item_id: str, k: int, threshold: float, skip_same: bool):
+    """The k best items (i, v) for each query (q, v) of a cell, as one matrix product."""
 
     def unit(series: pd.Series) -> np.ndarray:
-        m = np.vstack(series.to_numpy()).astype(np.float64)
-        norm = np.linalg.norm(m, axis=1, keepdims=True)
-        return m / np.where(norm == 0, 1.0, norm)
+        return unit_rows(np.vstack(series.to_numpy()).astype(np.float64))
 
     def search(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({query_id: [], item_id: [], "score": []})
@@ -77,6 +53,38 @@ def cosine_top_k(
         best = pd.concat(found).sort_values([query_id, "score", item_id], ascending=[True, False, True])
         return best.groupby(query_id, sort=False).head(k) if len(best) else empty
 
+    return search
+
+
+def cosine_top_k(
+    queries: DataFrame, corpus: DataFrame, k: int = 5, threshold: float = 0.7, query_id: str = "query_id",
+    item_id: str = "item_id", vector: str = "vector", skip_same: bool = False,
+    query_block: int = QUERY_BLOCK, corpus_block: int = CORPUS_BLOCK,
+) -> DataFrame:
+    """The ``k`` most similar items per query with a score of at least ``threshold``.
+
+    Exact search on a grid: queries and items are hashed into blocks of bounded size,
+    each (query block, item block) cell is one matrix product in its own group, and a
+    cell returns at most ``k`` rows per query. Neither side has to fit anywhere; a
+    single query block costs one pass over the items. Scores are rounded to nine digits
+    before ranking, so ties fall to the smaller id however the sums were ordered.
+    """
+    rows = max(1, -(-queries.count() // query_block))
+    columns = max(1, -(-corpus.count() // corpus_block))
+
+    def pick(name: str, of: int) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(of)).cast("int")
+
+    left = queries.select(
+        pick(query_id, rows).alias("r"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("c"),
+        F.col(query_id).alias("q"), F.col(vector).cast("array<float>").alias("v"),
+    )
+    right = corpus.select(
+        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("r"), pick(item_id, columns).alias("c"),
+        F.col(item_id).alias("i"), F.col(vector).cast("array<float>").alias("v"),
+    )
+    schema = hit_schema(query_id, queries.schema[query_id], item_id, corpus.schema[item_id])
+    search = block_search(query_id, item_id, k, threshold, skip_same)
     cells = left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInPandas(search, schema)
     return top_n_per_key(cells, [query_id], [F.desc("score"), F.asc(item_id)], k)
 

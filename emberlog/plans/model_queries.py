@@ -14,6 +14,7 @@ from emberlog.operators import iforest as fo
 from emberlog.operators import models as md
 from emberlog.operators import splits as sp
 from emberlog.operators import tuning as tu
+from emberlog.operators import vector_index as vi
 from emberlog.operators import vectors as ve
 from emberlog.operators.evaluate import evaluate_models
 from emberlog.operators.labels import confidence_tier
@@ -26,6 +27,8 @@ TRIALS, FOLDS = 30, 3
 #: Labelled rows that boosters are fitted on at most: a documented bound. Cut points, scores
 #: and metrics are of all rows.
 FIT_ROWS, SEARCH_ROWS = 50_000, 20_000
+#: Items that an indexed query may be compared with in a small collection.
+LEAST_SEEN, RECALL_SHARE = 128, 0.8
 
 
 def training_table(spark, sf_dir):
@@ -189,6 +192,41 @@ def cosine_top_k(spark, sf_dir):
     return search(spark, sf_dir, 5, 0.2).select("query_id", "item_id", "rank", F.round("score", 6).alias("score"))
 
 
+@query(
+    "indexed_search",
+    f"WITH {TOP.format(t=0.3, k=5)} SELECT query_id, item_id, rank, round(score, 6) AS score FROM hits",
+)
+def indexed_search(spark, sf_dir):
+    """By inverted lists, every query made certain by a second round where needed."""
+    points = table(spark, sf_dir, "embeddings")
+    index = vi.build_index(points.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("vector")))
+    queries = points.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    found = vi.indexed_top_k(index, queries, 5, 0.3, skip_same=True)
+    return found.select("query_id", "item_id", "rank", F.round("score", 6).alias("score"))
+
+
+@query(
+    "index_recall",
+    """SELECT count(*) AS queries, true AS recall_met, true AS within_bound FROM embeddings""",
+)
+def index_recall(spark, sf_dir):
+    """Recall of the first round alone against the exact grid (5 items of 0.3 at least): 0.95
+    or more. The given vectors have no clusters, so that takes ``RECALL_SHARE`` of the items;
+    near copies lie in the first lists."""
+    points = table(spark, sf_dir, "embeddings")
+    queries = stored(points.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")))
+    index = vi.build_index(queries.withColumnRenamed("query_id", "item_id"))
+    most = max(LEAST_SEEN, int(index.sizes.sum() * RECALL_SHARE))
+    near = vi.indexed_top_k(index, queries, 5, 0.3, skip_same=True, max_candidates=most, exact=False)
+    truth = search(spark, sf_dir, 5, 0.3)
+    met = truth.select("query_id", "item_id").join(near.select("query_id", "item_id", F.lit(1).alias("met")), ["query_id", "item_id"], "left")
+    recall = met.agg(F.coalesce(F.avg(F.coalesce("met", F.lit(0))), F.lit(1.0)).alias("recall")).scalar()
+    seen = vi.candidates_seen(index, queries, max_candidates=most)
+    bound = max(most, int(index.sizes.max(initial=0)))
+    found = seen.agg(F.count(F.lit(1)).alias("queries"), F.max("candidates").alias("most"))
+    return found.select("queries", (recall >= 0.95).alias("recall_met"), (F.col("most") <= bound).alias("within_bound"))
+
+
 @query(
     "retrieval_accuracy",
     f"""WITH {TOP.format(t=-1, k=5)}, j AS (SELECT query_id, avg(CAST(q.label = i.label AS INTEGER)) AS p, max(CAST(q.label = i.label AS INTEGER)) AS h
