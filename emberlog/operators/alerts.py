@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberlog.operators.ordered import _join_on
+from emberlog.session import stored
+
 REPEAT_SECONDS = 12 * 3600
 
 
@@ -75,35 +77,47 @@ def inhibit(alerts: DataFrame, equal: Sequence[str] = ("alertname", "instance"),
     return keyed.join(renamed, condition, "left_anti").drop("_is_target")
 
 
+def next_ticks(ticks: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """For each tick (``keys``, ``_t``) the first one of its group after ``_t + gap``, as ``_to``.
+
+    A group is cut into stretches of a sixteenth of the gap. The answer lies in the stretch
+    of ``_t + gap``, or is the first tick of a later one; of the latter there is a row for
+    each stretch only."""
+    width = max(1, gap // 16)
+    stretch = lambda c: F.floor(c / width).cast("long")
+    t = F.col("_t")
+    asks = ticks.select(*keys, stretch(t + gap).alias("_s"), (t + gap).alias("_at"), t.alias("_asker"), F.lit(None).cast("long").alias("_tick"))
+    known = ticks.select(*keys, stretch(t).alias("_s"), t.alias("_at"), F.lit(None).cast("long").alias("_asker"), t.alias("_tick"))
+    # from the end of a stretch: an ask comes before a tick of the same instant
+    later = Window.partitionBy(*keys, "_s").orderBy(F.desc("_at"), F.asc_nulls_last("_asker")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = asks.unionByName(known).withColumn("_near", F.min("_tick").over(later)).where("_asker IS NOT NULL")
+    firsts = asks.unionByName(known).groupBy(*keys, "_s").agg(F.min("_tick").alias("_first"))
+    beyond = Window.partitionBy(*keys).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select(*keys, "_s", F.min("_first").over(beyond).alias("_far"))
+    found = _join_on(inside, firsts, [*keys, "_s"], "left")
+    return found.select(*keys, F.col("_asker").alias("_t"), F.coalesce("_near", "_far").alias("_to"))
+
+
 def suppress_repeats(
     alerts: DataFrame, keys: Sequence[str] = ("alertname", "severity"), ts: str = "ts", repeat_seconds: int = REPEAT_SECONDS
 ) -> DataFrame:
     """Notification times per alert group: the first, then one per repeat interval.
 
-    What is sent depends on what was sent before, so a group is folded in time order.
-    Alerts are collapsed to distinct evaluation times per group first (with map-side
-    combine), which bounds a group by the number of evaluations, and the fold streams
-    over the sorted partition keeping one timestamp.
+    What is sent depends on what was sent before: a chain through the group, from each tick
+    to the first one past the interval. Pointers are doubled round by round, and a round
+    marks as many ticks of the chain again as are known, so that the rounds grow with the
+    logarithm of the notifications and a group's ticks are spread over all tasks.
     """
     keys = list(keys)
-    micros = F.unix_micros(ts)
-    ticks = alerts.groupBy(*keys, micros.alias("_t")).agg(F.count(F.lit(1)).alias("alerts"))
-    ordered = ticks.repartition(*keys).sortWithinPartitions(*keys, "_t")
-    gap = repeat_seconds * 1_000_000
-
-    def fold(batches):
-        group, sent = None, None
-        for batch in batches:
-            keep = []
-            for name, t in zip(zip(*[batch[k] for k in keys]), batch["_t"]):
-                if name != group or t - sent > gap:
-                    group, sent = name, t
-                    keep.append(True)
-                else:
-                    keep.append(False)
-            yield batch[pd.Series(keep, index=batch.index, dtype=bool)]
-
-    kept = ordered.mapInPandas(fold, ordered.schema)
+    ticks = stored(alerts.groupBy(*keys, F.unix_micros(ts).alias("_t")).agg(F.count(F.lit(1)).alias("alerts")).where("_t IS NOT NULL"))
+    jumps = stored(next_ticks(ticks, keys, repeat_seconds * 1_000_000).where("_to IS NOT NULL"))
+    sent = ticks.groupBy(*keys).agg(F.min("_t").alias("_t"))
+    while not jumps.isEmpty():
+        more = _join_on(sent, jumps, [*keys, "_t"]).select(*keys, F.col("_to").alias("_t"))
+        sent = stored(sent.unionByName(more))
+        ahead = jumps.select(*keys, F.col("_t").alias("_to"), F.col("_to").alias("_then"))
+        jumps = stored(_join_on(jumps, ahead, [*keys, "_to"]).select(*keys, "_t", F.col("_then").alias("_to")))
+    kept = _join_on(ticks, sent, [*keys, "_t"])
     return kept.select(*keys, F.timestamp_micros("_t").alias(ts), "alerts")
 
 

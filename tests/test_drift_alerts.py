@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,25 @@ def test_repeats(spark):
     assert [(r.alertname, round((r.ts - START).total_seconds() / 3600, 1)) for r in got] == [("A", 0.0), ("A", 12.1), ("A", 24.2), ("B", 1.0)]
 
 
+def test_repeats_against_a_plain_fold(spark):
+    rng = np.random.default_rng(4)
+    rows = [("hot", "warning", float(t)) for t in rng.integers(0, 400_000, 600)]
+    rows += [(n, None, float(t)) for n in ("x", None) for t in rng.integers(0, 90_000, 15)]
+    rows += [("edge", "critical", float(t)) for t in (0, 3600, 3601, 7201, 7202, 7202)] + [("none", "info", None)]
+    df = spark.createDataFrame(rows, "alertname string, severity string, s double").withColumn("ts", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")))
+    got = al.suppress_repeats(df, repeat_seconds=3600).select("alertname", "severity", (F.unix_micros("ts") / 1_000_000).alias("s"), "alerts").collect()
+    want = []
+    for name, severity in {(a, b) for a, b, _ in rows}:
+        times, sent = [t for a, b, t in rows if (a, b) == (name, severity) and t is not None], None
+        for t in sorted(set(times)):
+            if sent is None or t - sent > 3600:
+                sent = t
+                want.append((name, severity, t, times.count(t)))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    nodes = al.suppress_repeats(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in nodes and "Arrow" not in nodes and "MapInPandas" not in nodes
+
+
 def test_routes(spark):
     rows = [("HighErrorRate", "critical"), ("DataDriftDetected", "warning"), ("DataDriftDetected", "info"), ("X", "info")]
     df = spark.createDataFrame(rows, "alertname string, severity string")
