@@ -1,13 +1,18 @@
 """Paragraph deduplication by MinHash banding.
 
-Paragraphs (lines) of at least ``min_words`` words get a content key, the hashes of their
-five-word shingles and a MinHash signature cut into bands. Bands are chosen for recall: the
+A paragraph is a block of lines between blank lines, of five words or more; wrapped lines are
+one block. Inside a block of several lines each line of ``min_words`` words is a paragraph
+as well (shorter lines there, a licence or a contact line, say, go only with their block, or
+as part of a passage; a smaller ``min_words`` takes them too). Paragraphs get a content key
+and a MinHash signature of their five-word shingles, cut into bands. Bands are chosen for recall: the
 widest that still find a pair at the threshold with the wanted probability. Band values
 with two different contents at least are bucketed; inside a bucket exact Jaccard of the
 shingle sets decides, and pairs already joined by others are not compared again, so a
 bucket of near-copies costs one comparison each. Buckets over ``cell_rows`` contents are
 dealt out as cells of chunk pairs. Links leave a cell as a star; contents joined by links
-form a class, whose first paragraph by document and place stays and whose others go.
+form a class, whose first paragraph by document and place stays and whose others go; a line
+of a block that goes is not listed again. Shingles are kept for no paragraph; those that met
+another are found in a second scan by a bit map of fixed size.
 
 A passage set into other text fills no line, so its line is no near-copy of another. For
 those, windows of ``PASSAGE`` words are sampled min-wise from the whole text (the smallest
@@ -18,7 +23,7 @@ of a shared run of 50 words or more stands in such a window, so the run is found
 first word to its last; it goes from all documents but the first, where no removed
 paragraph covers it.
 
-Cases: a null or empty text, or one of short lines, has no paragraph; a null id takes no
+Cases: a null or empty text, or one under five words, has no paragraph; a null id takes no
 part; rows with the same id and text are one document, rows with the same id and another
 text are told apart by the text's hash and ordered by it; repeated paragraphs inside one
 document count like others; an empty table gives no rows; other columns are not read.
@@ -42,8 +47,11 @@ from emberlog.llm.work import forget, lean, small, whole_groups, written
 SHINGLE = 5
 PASSAGE, PICK = 25, 26
 PARAGRAPHS = (
-    "doc_id long, text_hash long, place int, start int, end int, n_words int, content long, bands array<long>, shingles array<int>"
+    "doc_id long, text_hash long, place int, n_lines int, block int, start int, end int, n_words int, content long, bands array<long>"
 )
+SETS = "content long, shingles array<int>"
+#: Bits of the map that thins out a second scan.
+MAP_BITS = 24
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -121,151 +129,210 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def _paragraphs(texts: list[str], min_words: int, bands: int, rows: int):
-    """Arrays over the paragraphs of all texts: text number, place, start, end, words,
-    content key, bands (2-d), and the shingles with their offsets."""
-    code, start, end, word, sizes = _word_hashes(texts)
-    bounds = np.cumsum(sizes)
-    lines = np.flatnonzero(code == 10)
-    line = np.searchsorted(lines, start)
-    first = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.zeros(0, int)
-    n_words = np.diff(np.append(first, len(line)))
-    long = n_words >= max(min_words, SHINGLE)
-    first, n_words = first[long], n_words[long]
-    last = first + n_words - 1
-    content = _mixed(_hashes(word, first, last + 1) + n_words.astype(np.uint64)) if len(first) else np.zeros(0, np.uint64)
-    text = np.searchsorted(bounds, start[first], "right")
-    begin = bounds[text] - sizes[text]
-    # a paragraph's place is its line's number in the text
-    place = line[first] - np.searchsorted(lines, begin)
-    n_shingles = n_words - SHINGLE + 1
-    ends = np.cumsum(n_shingles)
-    at = np.repeat(first - (ends - n_shingles), n_shingles) + np.arange(ends[-1] if len(ends) else 0)
-    shingle = np.zeros(len(at), np.uint64)
-    for k in range(SHINGLE):
-        shingle = (shingle ^ word[at + k]) * MULTIPLIER
-        shingle ^= shingle >> np.uint64(32)
-    signature = np.empty((len(first), bands * rows), np.uint64)
-    draws = np.random.default_rng(11).integers(1, 1 << 63, (bands * rows, 2), dtype=np.uint64) | np.uint64(1)
-    if len(first):
-        for k, (a, b) in enumerate(draws):
-            signature[:, k] = np.minimum.reduceat((shingle * a + b) >> np.uint64(32), ends - n_shingles)
-    banded = np.empty((len(first), bands), np.uint64)
-    for band in range(bands):
-        value = np.full(len(first), band + 1, np.uint64)
-        for k in range(rows):
-            value = _mixed(value * MULTIPLIER + signature[:, band * rows + k])
-        banded[:, band] = value
-    short = (shingle >> np.uint64(32)).astype(np.uint32)
-    return text, place, start[first] - begin, end[last] - begin, n_words, content, banded, short, np.append(0, ends)
+class _Units:
+    """The paragraphs of several texts, each with its text's number, place (first line),
+    lines, place of its block, start and end in its text, words and content key."""
+
+    def __init__(self, texts: list[str], min_words: int):
+        code, start, end, word, sizes = _word_hashes(texts)
+        bounds = np.cumsum(sizes)
+        breaks = np.flatnonzero(code == 10)
+        line = np.searchsorted(breaks, start)
+        first = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.zeros(0, np.int64)
+        number, words = line[first], np.diff(np.append(first, len(line)))
+        text = np.searchsorted(bounds, start[first], "right")
+        # a blank line or another text begins a block
+        fresh = np.append(True, (text[1:] != text[:-1]) | (np.diff(number) > 1))[: len(first)]
+        head = np.flatnonzero(fresh)
+        of = np.cumsum(fresh) - 1
+        block_words = np.add.reduceat(words, head) if len(head) else words
+        tail = np.append(head[1:], len(first))[: len(head)] - 1
+        lines = number[tail] - number[head] + 1
+        long = (words >= max(min_words, SHINGLE)) & (lines[of] > 1) if len(head) else np.zeros(0, bool)
+        whole = block_words >= SHINGLE
+        row = np.append(head[whole], np.flatnonzero(long))
+        self.n_lines = np.append(lines[whole], np.ones(long.sum(), np.int64))
+        self.n_words = np.append(block_words[whole], words[long])
+        order = np.lexsort((-self.n_lines, row))
+        row, self.n_lines, self.n_words = row[order], self.n_lines[order], self.n_words[order]
+        self.first, self.word = first[row], word
+        last = self.first + self.n_words - 1
+        self.content = _mixed(_hashes(word, self.first, last + 1) + self.n_words.astype(np.uint64)) if len(row) else np.zeros(0, np.uint64)
+        self.text = text[row]
+        begin = bounds[self.text] - sizes[self.text]
+        base = np.searchsorted(breaks, begin)
+        self.place, self.block = number[row] - base, number[head][of[row]] - base
+        self.start, self.end = start[self.first] - begin, end[last] - begin
+        n = max(0, len(word) - SHINGLE + 1)
+        self.shingle = np.zeros(n + 1, np.uint64)
+        for k in range(SHINGLE):
+            self.shingle[:-1] = (self.shingle[:-1] ^ word[k : k + n]) * MULTIPLIER
+            self.shingle ^= self.shingle >> np.uint64(32)
+
+    def bands(self, bands: int, rows: int) -> np.ndarray:
+        """Band values, a row for each paragraph."""
+        banded = np.empty((len(self.first), bands), np.uint64)
+        if not len(self.first):
+            return banded
+        # minima from each paragraph's first shingle to its last; what lies between is unused
+        spans = np.column_stack((self.first, self.first + self.n_words - SHINGLE + 1)).ravel()
+        draws = np.random.default_rng(11).integers(1, 1 << 63, (bands * rows, 2), dtype=np.uint64) | np.uint64(1)
+        for band in range(bands):
+            value = np.full(len(self.first), band + 1, np.uint64)
+            for a, b in draws[band * rows : (band + 1) * rows]:
+                least = np.minimum.reduceat((self.shingle * a + b) >> np.uint64(32), spans)[::2]
+                value = _mixed(value * MULTIPLIER + least)
+            banded[:, band] = value
+        return banded
+
+    def shingles(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Short hashes of the shingles of some paragraphs, and their offsets."""
+        n = self.n_words[at] - SHINGLE + 1
+        ends = np.cumsum(n)
+        place = np.repeat(self.first[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+        return (self.shingle[place] >> np.uint64(32)).astype(np.uint32), np.append(0, ends)
 
 
 def paragraphs(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            texts, at = batch.column("text").to_pylist(), 0
+        for batch in small(batches, most=1 << 19):
+            u = _Units(batch.column("text").to_pylist(), min_words)
             ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
-            while at < len(texts):
-                last, held = at, 0
-                while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 19):
-                    held += len(texts[last])
-                    last += 1
-                text, place, start, end, n, content, banded, shingle, offsets = _paragraphs(texts[at:last], min_words, bands, rows)
-                i32 = lambda x: pa.array(x.astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[at + text]), pa.array(hashes[at + text]), i32(place), i32(start), i32(end), i32(n),
-                        pa.array(content.view(np.int64)),
-                        pa.ListArray.from_arrays(i32(np.arange(len(text) + 1) * bands), pa.array(banded.ravel().view(np.int64))),
-                        pa.ListArray.from_arrays(i32(offsets), pa.array(shingle.view(np.int32))),
-                    ],
-                    [x.split()[0] for x in PARAGRAPHS.split(", ")],
-                )
-                at = last
+            i32 = lambda x: pa.array(x.astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids[u.text]), pa.array(hashes[u.text]), i32(u.place), i32(u.n_lines), i32(u.block), i32(u.start), i32(u.end),
+                    i32(u.n_words), pa.array(u.content.view(np.int64)),
+                    pa.ListArray.from_arrays(i32(np.arange(len(u.text) + 1) * bands), pa.array(u.bands(bands, rows).ravel().view(np.int64))),
+                ],
+                [x.split()[0] for x in PARAGRAPHS.split(", ")],
+            )
 
     return _texts(docs).mapInArrow(lean(run), PARAGRAPHS)
 
 
+def _bit_map(keys: DataFrame, key: str) -> np.ndarray:
+    """A map of ``2 ** MAP_BITS`` bits with those of all keys set; of that size whatever the
+    number of keys. It thins out a scan, what passes is still joined."""
+    word = F.shiftrightunsigned(key, 64 - MAP_BITS + 6).cast("int")
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({key}, {64 - MAP_BITS}) & 63 AS int))")
+    found = keys.select(word.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = keys >> np.uint64(64 - MAP_BITS)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _sets(docs: DataFrame, asked: DataFrame, min_words: int, seen_most: int = 200_000) -> DataFrame:
+    """Shingles of one paragraph of each content of ``asked``."""
+    bits = _bit_map(asked, "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in small(batches, most=1 << 19):
+            u = _Units(batch.column("text").to_pylist(), min_words)
+            at, new = np.unique(u.content, return_index=True)
+            new = new[_in_map(bits, at)]
+            new = np.array([i for i, c in zip(new.tolist(), u.content[new].tolist(), strict=True) if c not in seen], np.int64)
+            if len(seen) > seen_most:
+                seen.clear()
+            seen.update(u.content[new].tolist())
+            shingles, offsets = u.shingles(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u.content[new].view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(shingles.view(np.int32)))],
+                ["content", "shingles"],
+            )
+
+    found = _texts(docs).mapInArrow(lean(run), SETS)
+    return found.join(asked, "content", "left_semi").dropDuplicates(["content"])
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash")
     ).where("doc_id is not null and text is not null")
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small(batches):
-        texts, at = batch.column("text").to_pylist(), 0
-        ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
-        seeds = batch.column("seeds").to_pylist() if "seeds" in batch.schema.names else None
-        while at < len(texts):
-            last, held = at, 0
-            while last < len(texts) and (last == at or held + len(texts[last]) <= 1 << 19):
-                held += len(texts[last])
-                last += 1
-            text, start, end, key, seed = _passages(texts[at:last], seeds and seeds[at:last])
+def _windows(bits: np.ndarray | None = None):
+    """Windows of texts; with ``bits``, those whose key is in the map."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, most=1 << 19):
+            ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
+            seeds = batch.column("seeds").to_pylist() if "seeds" in batch.schema.names else None
+            text, start, end, key, seed = _passages(batch.column("text").to_pylist(), seeds)
+            if bits is not None:
+                kept = _in_map(bits, key)
+                text, start, end, key, seed = text[kept], start[kept], end[kept], key[kept], seed[kept]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(ids[at + text]), pa.array(hashes[at + text]),
+                [pa.array(key.view(np.int64)), pa.array(ids[text]), pa.array(hashes[text]),
                  pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(seed)],
                 [x.split()[0] for x in WINDOWS.split(", ")],
             )
-            at = last
+
+    return lean(run)
 
 
-def _repeated(windows: DataFrame) -> DataFrame:
-    """Windows whose key stands in two documents at least, with the smallest id as
-    ``kept_doc_id``. Spark spills the rows of one key, so a window that a third of all
-    documents share fits."""
-    own = Window.partitionBy("key")
-    ids = windows.select("*", F.min("doc_id").over(own).alias("kept_doc_id"), F.max("doc_id").over(own).alias("last"))
-    return ids.where("kept_doc_id != last").drop("last")
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Windows of ``rows`` whose key stands in two documents at least, with the smallest id
+    as ``kept_doc_id``. Keys are counted by partial sums, and the windows of repeated ones
+    joined in a second scan, where the keys that a third of all documents share can be split."""
+    keys = rows.mapInArrow(_windows(), WINDOWS).groupBy("key").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last"))
+    keys = written(keys.where("kept_doc_id != last").drop("last"), "window-keys")
+    return rows.mapInArrow(_windows(_bit_map(keys, "key")), WINDOWS).join(keys, "key")
 
 
 def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Windows in and around the sampled ones that also stand in a document with a smaller
     id: key, doc_id, text_hash, start, end, seed and kept_doc_id. Sampled windows inside the
     removed ``lines`` are no seeds."""
-    shared = written(_repeated(_texts(docs).mapInArrow(lean(_windows), WINDOWS)), "shared-windows")
+    shared = written(_repeated(_texts(docs)), "shared-windows")
     asked = _by_text(shared.where("doc_id != kept_doc_id"), lines).mapInArrow(lean(_uncovered), "key long").distinct()
     spots = shared.join(asked, "key").groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("seeds"))
-    around = _texts(docs).join(spots, ["doc_id", "text_hash"]).mapInArrow(lean(_windows), WINDOWS)
+    around = written(_texts(docs).join(spots, ["doc_id", "text_hash"]), "seeded-texts")
     return _repeated(around).where("doc_id != kept_doc_id")
 
 
-def link_edges(found: DataFrame, threshold: float, cell_rows: int = 2048) -> DataFrame:
-    """Edges between contents (a, b) whose components are those of all links."""
+def link_edges(docs: DataFrame, found: DataFrame, threshold: float, min_words: int, cell_rows: int = 1024) -> DataFrame:
+    """Edges between contents (a, b) of the paragraphs ``found`` in ``docs``, whose
+    components are those of all links."""
     banded = found.select("content", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo != hi").select("band")
     met = written(banded.join(shared, "band").distinct(), "met-bands")
-    # the shingles of one paragraph of each content that met another
-    asked = met.select("content").distinct()
-    first = F.min(F.struct("doc_id", "text_hash", "place")).alias("first")
-    one = found.join(asked, "content").groupBy("content").agg(first).select("content", "first.*")
-    sets = written(found.select("content", "doc_id", "text_hash", "place", "shingles").join(one, one.columns).dropDuplicates(["content"]), "sets")
-    dealt = cells(met, ["band"], "content", cell_rows).join(sets.select("content", "shingles"), "content")
+    sets = written(_sets(docs, met.select("content").distinct(), min_words), "sets")
+    dealt = cells(met, ["band"], "content", cell_rows).join(sets, "content")
     return jaccard_edges(dealt, "band", "content", threshold)
 
 
 def repeated_paragraphs(
     docs: DataFrame, threshold: float = 0.8, min_words: int = 25, hashes: int = 48, recall: float = 0.998
 ) -> DataFrame:
-    """What to remove: doc_id, text_hash, unit ("paragraph" or "passage"), place (line), start
-    and end (code points), kept_doc_id and kept_place (what stays) and class_size; place,
-    kept_place and class_size are null for passages, which are maximal runs of windows."""
+    """What to remove: doc_id, text_hash, unit ("paragraph" or "passage"), place (first line),
+    n_lines, start and end (code points), kept_doc_id and kept_place (what stays) and
+    class_size; place, n_lines, kept_place and class_size are null for passages, which are
+    maximal runs of windows."""
     found = written(paragraphs(docs, min_words, *bands_for(threshold, hashes, recall)), "paragraphs")
-    classes = components(link_edges(found, threshold))
-    spans = found.select("doc_id", "text_hash", "place", "start", "end", "n_words", "content").distinct()
+    classes = components(link_edges(docs, found, threshold, min_words))
+    spans = found.drop("bands", "n_words").distinct()
     named = spans.join(classes, spans["content"] == classes["node"], "left").select(
         *[c for c in spans.columns if c != "content"], F.coalesce("component", "content").alias("cluster")
     )
     named = written(named, "named")
-    first = F.min(F.struct("doc_id", "text_hash", "place")).alias("kept")
+    first = F.min(F.struct("doc_id", "text_hash", "place", "n_lines")).alias("kept")
     kept = named.groupBy("cluster").agg(first, F.count("*").alias("class_size")).where("class_size > 1")
-    here = F.struct("doc_id", "text_hash", "place")
-    lines = named.join(kept, "cluster").where(here != F.col("kept")).select(
-        "doc_id", "text_hash", F.lit("paragraph").alias("unit"), "place", "start", "end",
-        F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.place").alias("kept_place"), "class_size",
+    here = F.struct("doc_id", "text_hash", "place", "n_lines")
+    gone = named.join(kept, "cluster").where(here != F.col("kept")).select(
+        "doc_id", "text_hash", F.lit("paragraph").alias("unit"), "place", "n_lines", "start", "end",
+        F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.place").alias("kept_place"), "class_size", "block",
     )
-    lines = written(lines, "lines")
+    gone = written(gone, "gone")
+    blocks = gone.where("n_lines > 1").select("doc_id", "text_hash", "block").distinct()
+    within = gone.where("n_lines = 1").join(blocks, ["doc_id", "text_hash", "block"], "left_anti").select(gone.columns)
+    lines = written(gone.where("n_lines > 1").unionByName(within).drop("block"), "lines")
     forget(found)
     forget(named)
     return _by_text(repeated_windows(docs, lines), lines).mapInArrow(lean(_runs), lines.schema)
@@ -276,7 +343,7 @@ def _by_text(windows: DataFrame, lines: DataFrame) -> DataFrame:
     none = lambda kind: F.lit(None).cast(kind)
     both = lines.select("*", none("boolean").alias("seed"), none("long").alias("key")).unionAll(
         windows.select(
-            "doc_id", "text_hash", F.lit("passage").alias("unit"), none("int").alias("place"), "start", "end",
+            "doc_id", "text_hash", F.lit("passage").alias("unit"), none("int").alias("place"), none("int").alias("n_lines"), "start", "end",
             "kept_doc_id", none("int").alias("kept_place"), none("long").alias("class_size"), "seed", "key",
         )
     )

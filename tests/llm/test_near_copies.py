@@ -113,26 +113,38 @@ def test_similar_groups(spark):
     assert found == {d: d // 10 * 10 for d, _ in rows}
 
 
+def plain_units(text, min_words):
+    """(place, lines, block, words) of blocks between blank lines, and of long lines in them."""
+    lines, out, at = [x.lower().split() for x in (text or "").split("\n")], [], 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and lines[end]:
+            end += 1
+        words = [w for x in lines[at:end] for w in x]
+        if len(words) >= 5:
+            out.append((at, end - at, at, tuple(words)))
+        if end - at > 1:
+            out += [(k, 1, at, tuple(lines[k])) for k in range(at, end) if len(lines[k]) >= max(5, min_words)]
+        at = end + 1
+    return sorted(out)
+
+
 def plain_repeats(docs, min_words=25, threshold=0.8):
-    found = []
-    for doc_id, text in sorted(docs):
-        for place, line in enumerate((text or "").split("\n")):
-            words = line.lower().split()
-            if len(words) >= min_words:
-                found.append((doc_id, place, tuple(words), {tuple(words[i : i + 5]) for i in range(len(words) - 4)}))
+    found = [(doc_id, *u) for doc_id, text in sorted(docs) for u in plain_units(text, min_words)]
     nodes = {}
-    for _, _, words, shingles in found:
-        nodes.setdefault(words, (len(nodes), shingles))
+    for *_, words in found:
+        nodes.setdefault(words, (len(nodes), {tuple(words[i : i + 5]) for i in range(len(words) - 4)}))
     sets = [s for _, s in nodes.values()]
     links = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])]
-    label, first, out = grouped(range(len(sets)), links), {}, []
-    for doc_id, place, words, _ in found:
+    label, first, gone = grouped(range(len(sets)), links), {}, []
+    for doc_id, place, n, block, words in found:
         group = label[nodes[words][0]]
         if group in first:
-            out.append((doc_id, place, *first[group]))
+            gone.append((doc_id, place, n, block, *first[group]))
         else:
             first[group] = (doc_id, place)
-    return out
+    blocks = {(d, b) for d, _, n, b, *_ in gone if n > 1}
+    return [(d, p, kd, kp) for d, p, n, b, kd, kp in gone if n > 1 or (d, b) not in blocks]
 
 
 def test_paragraphs_query(spark, sf_dir, rows):
@@ -189,14 +201,33 @@ def test_paragraphs_near_copies_and_hot_groups(spark):
     words = [f"v{i}" for i in range(60)]
     docs = [(i, "\n".join([f"head {i}", " ".join(words[:i % 7] + ["z"] * (i % 3) + words[i % 7 + 1 :])])) for i in range(120)]
     docs += [(500 + i, " ".join(rng.choice([f"r{k}" for k in range(999)], 40))) for i in range(40)]
-    found = paragraphs.paragraphs(spark.createDataFrame(docs, "doc_id long, text string"), 25, 12, 4)
-    edges = paragraphs.link_edges(found, 0.8, cell_rows=4)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = paragraphs.paragraphs(frame, 25, 12, 4)
+    edges = paragraphs.link_edges(frame, found, 0.8, 25, cell_rows=4)
     label = grouped({r.content for r in found.collect()}, [tuple(r) for r in edges.collect()])
     got = defaultdict(set)
-    for r in found.collect():
+    for r in found.where("n_lines = 1").collect():
         got[label[r.content]].add(r.doc_id)
-    gone = plain_repeats(docs)
-    assert sorted(len(g) - 1 for g in got.values() if len(g) > 1) == sorted(Counter((k, p) for _, _, k, p in gone).values())
+    assert sorted(len(g) for g in got.values() if len(g) > 1) == [120]
+    gone = sorted((r.doc_id, r.place, r.kept_doc_id, r.kept_place) for r in paragraphs.repeated_paragraphs(frame).where("unit = 'paragraph'").collect())
+    assert gone == sorted(plain_repeats(docs))
+
+
+def test_blocks_of_wrapped_lines(spark):
+    rng = np.random.default_rng(9)
+    draw = lambda n: [f"t{x}" for x in rng.integers(0, 10**9, n)]
+    wrap = lambda words: "\n".join(" ".join(words[i : i + 12]) for i in range(0, len(words), 12))
+    body, short = draw(60), draw(24)
+    changed = [*body[:30], "other", *body[31:]]
+    docs = [(1, wrap(body)), (2, f"{wrap(draw(40))}\n\n{wrap(changed)}\n\n{wrap(draw(30))}"), (3, " ".join(body))]
+    docs += [(4, " ".join(short)), (5, f"{' '.join(draw(30))}\n \t\n{' '.join(short)}"), (6, "a b c d"), (7, "a b c d")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = paragraphs.repeated_paragraphs(frame).where("unit = 'paragraph'").collect()
+    texts = dict(docs)
+    assert {(r.doc_id, r.kept_doc_id, texts[r.doc_id][r.start : r.end]) for r in found} == {
+        (2, 1, wrap(changed)), (3, 1, " ".join(body)), (5, 4, " ".join(short)),
+    }
+    assert sorted((r.doc_id, r.place, r.kept_doc_id, r.kept_place) for r in found) == sorted(plain_repeats(docs))
 
 
 def test_paragraphs_hard_cases(spark, hard, nothing):

@@ -154,6 +154,65 @@ def test_page_text_in_several_elements():
     assert tag_paths.main_text(articles).replace("Next ", "") == text and "Next" in tag_paths.main_text(articles)
 
 
+def plain_means(paths, texts):
+    """The ratios of tag paths, one block at a time."""
+    size, marks, n = {}, {}, {}
+    for p, t in zip(paths, texts, strict=True):
+        size[p] = size.get(p, 0) + len(t)
+        marks[p] = marks.get(p, 0) + sum(c in ".,;:!?…。，、；：！？¿¡" for c in t)
+        n[p] = n.get(p, 0) + 1
+    fused = [1.0] * len(paths)
+    for total in (size, marks):
+        raw = [total[p] / n[p] for p in paths]
+        smooth = [(raw[max(i - 1, 0)] + 8 * raw[i] + raw[min(i + 1, len(raw) - 1)]) / 10 for i in range(len(raw))]
+        mean = sum(smooth) / len(smooth)
+        spread = (sum((v - mean) ** 2 for v in smooth) / len(smooth)) ** 0.5 or max(smooth) or 1.0
+        fused = [f * (v / spread + 0.1) for f, v in zip(fused, smooth, strict=True)]
+    fused = [f**0.5 for f in fused]
+    mean = sum(fused) / len(fused)
+    own = {p: [f for q, f in zip(paths, fused, strict=True) if q == p] for p in set(paths)}
+    return [sum(own[p]) / len(own[p]) for p in paths], (sum((f - mean) ** 2 for f in fused) / len(fused)) ** 0.5
+
+
+def test_path_ratios_against_a_plain_version():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        paths = rng.choice(["a/b", "a/c", "a/c/d", "e"], rng.integers(1, 30)).tolist()
+        texts = ["".join(rng.choice(list("abc .,!"), rng.integers(1, 60))) for _ in paths]
+        means, spread = tag_paths.path_means(paths, texts)
+        plain, plain_spread = plain_means(paths, texts)
+        assert np.allclose(means, plain) and np.isclose(spread, plain_spread)
+
+
+LONG = "This sentence, one of many, has some words; and it ends here. " * 4
+#: Pages without an article element or a telling name: (html, what is the article).
+NAMELESS = [
+    (f"<body><div class=a><span>x</span><div class=b>Unrelated teaser.</div></div><div class=c><h2>Head</h2><p>{LONG}</p><p>Short one.</p><p>{LONG}</p></div></body>", ["Head", LONG, "Short one.", LONG]),
+    (f"<body><table><tr><td><a>one</a></td><td><a>two</a></td></tr></table><div><div><p>{LONG}</p><div><b>inner note</b></div><p>{LONG}</p></div><div>More: this, that</div></div></body>", [LONG, "inner note", LONG]),
+    (f"<body><section><h1>Top</h1><section><p>{LONG}</p></section><section><p>{LONG}</p></section></section><div><div>a</div><div>b</div><div>c</div></div></body>", ["Top", LONG, LONG]),
+    (f"<body><div><div>go</div><div>on</div></div><p>{LONG}</p><h3>Next</h3><p>{LONG}</p><div><div>in</div><div>out</div></div></body>", [LONG, "Next", LONG]),
+]
+
+
+def test_ratios_choose_the_content_of_nameless_pages():
+    for page, parts in NAMELESS:
+        assert tag_paths.main_text(page) == " ".join(" ".join(parts).split())
+        everything = tag_paths.main_text(page, 0.0)
+        assert len(everything) > len(tag_paths.main_text(page)) and "".join(everything.split()) == "".join(re.sub(r"<[^>]*>", " ", page).split())
+
+
+def test_comments_and_articles_inside_articles():
+    comment = "Nice post, thanks a lot, really. I read it twice, and then again!"
+    for tag in (f'<article class="comment"><p>{comment}</p></article>', f"<article><article><p>{comment}</p></article><p>{LONG}</p></article>"):
+        page = f"<body><main><article><h1>T</h1><p>{LONG}</p></article>{tag}</main><div>Unrelated teaser.</div></body>"
+        found = tag_paths.main_text(page)
+        assert "Nice post" not in found and "teaser" not in found and found.startswith("T This sentence")
+    titled = f"<body><main>Stray words here<article><header><h1>T</h1></header><p>{LONG}</p></article></main></body>"
+    assert tag_paths.main_text(titled) == " ".join(f"T {LONG}".split())
+    deep = "<div>" * 3000 + "</x>" * 3000 + f"<p>{LONG}" + "</div>" * 3000
+    assert tag_paths.main_text(deep) == " ".join(LONG.split())
+
+
 def test_page_hard_cases(spark):
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>text", "y"), (2, None, "", None), (3, "v", "<p>" + "word, " * 50_000, "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
