@@ -23,10 +23,11 @@ import pyarrow.compute as pc
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Pieces of a tokenizer that joins one space to the word after it.
 JOINED = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Texts in which single spaces and line ends between words are not the only white space.
+#: Texts in which single spaces (one may come first) and line ends between words are not the
+#: only white space.
 ODD = (
     r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
-    r"|^[\n ]|[\n ]$|[\t\x0b-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\x01\x02]"
+    r"|^\n|^ $|[\n ]$|[\t\x0b-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\x01\x02]"
 )
 #: A letter or digit, one point or comma, white space: the mark is a token of its own.
 MARKED = r"([\p{L}\p{N}])([.,])([ \n]|$)"

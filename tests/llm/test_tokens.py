@@ -31,6 +31,7 @@ def crc(ids):
 ODD = [
     "", " ", "a  b", "\n\nx\t y ", "foo\x1cbar \x1c baz", "a b  c", "<|endoftext|> x<|endoftext|>y", "don't 's  it's",
     "x\x01y \x02 \x01", "Å J̌ ́x ΣΑΣ", "a \nb\n c", "a.b. c, d. \ne, f.", "x.\ny,\nz.", "A. B. É. 3. 4,5. _. (a). b", "The END. of, ...",
+    " one", " a b.", " .", " ,x", " \n", "  two", " 3.", " é ñ", " \u00a0x", " <|endoftext|>",
 ]
 
 
