@@ -39,6 +39,31 @@ pairs AS (SELECT a.metric, a.variant_id AS variant_a, b.variant_id AS variant_b,
   FROM mom a JOIN mom b ON a.metric = b.metric AND a.variant_id < b.variant_id)"""
 
 
+
+
+def _over_angles(term: str) -> str:
+    """DuckDB sum of ``term`` of s, the squared sine of an angle, over a double exponential rule."""
+    u, turn = "(-3.3e0 + 3e-2 * k)", "(pi() / 2 * sinh(-3.3e0 + 3e-2 * k))"
+    weight = f"pi() / 8 * cosh({u}) / cosh({turn}) ** 2 * 3e-2"
+    s = f"sin(pi() / 2 / (1 + exp(-2 * {turn}))) ** 2"
+    return f"list_sum(list_transform(range(0, 221), lambda k: {weight} * {term.replace('{s}', s)}))"
+
+
+def _t_p(t: str, df: str) -> str:
+    return f"least(1, 2 * {_over_angles(f'exp(-({df}) / 2 * ln(1 + ({t}) ** 2 / (({df}) * {{s}})))')})"
+
+
+def _phi(x: str) -> str:
+    tail = _over_angles(f"exp(0 - ({x}) ** 2 / (2 * {{s}}))")
+    return f"CASE WHEN {x} < 0 THEN {tail} ELSE 1 - {tail} END"
+
+
+def _t_limit(z: float, df: str) -> str:
+    """Quantile of t by its expansion in 1 / df."""
+    a, b, c = (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384
+    return f"({z!r}::DOUBLE + {a!r}::DOUBLE / ({df}) + {b!r}::DOUBLE / ({df}) ** 2 + {c!r}::DOUBLE / ({df}) ** 3)"
+
+
 def rows(spark, sf_dir):
     return experiment_rows(spark, sf_dir)
 
@@ -211,9 +236,41 @@ def t_test_welch(spark, sf_dir):
     )
 
 
-@query("t_test_report")
+_Z975 = special.normal_ppf(0.975)
+
+
+def _nct(limit: str) -> str:
+    """DuckDB noncentral t: the normal tail averaged over the scale's density."""
+    s = "(low + (high - low) * (j + 5e-1) / 400)"
+    density = f"exp((df - 1) * ln({s}) - df * ({s} ** 2 - 1) / 2)"
+    scales = "range(0, 400)"
+    inside = f"list_sum(list_transform({scales}, lambda j: {density} * ({_phi(f'({limit} * {s} - nc)')})))"
+    return f"{inside} / list_sum(list_transform({scales}, lambda j: {density}))"
+
+
+@query(
+    "t_test_report",
+    f"""WITH {EXPERIMENT},
+e AS (SELECT *, (n_a + n_b - 2)::DOUBLE AS df, pooled * sqrt(1.0 / n_a + 1.0 / n_b) AS se, difference / pooled AS effect FROM pairs),
+x AS (SELECT *, difference / se AS t, effect * sqrt(n_a::DOUBLE * n_b / (n_a + n_b)) AS nc, {_t_limit(_Z975, 'df')} AS critical,
+  greatest(1e-9, 1 - 12 / sqrt(2 * df)) AS low, 1 + 12 / sqrt(2 * df) AS high FROM e),
+r AS (SELECT *, {_t_p('t', 'df')} AS p, 1 - {_nct('critical')} AS power, {_nct('(-critical)')} AS lower FROM x)
+SELECT metric, variant_a, variant_b, n_a, n_b, df, round(t, 5) AS t, round(p, 6) AS p_value, round(critical, 6) AS critical,
+  round(power, 5) AS power, round(power + lower, 5) AS power_two_sided, round(effect, 6) AS effect_size,
+  round(difference - critical * se, 6) AS ci_low, round(difference + critical * se, 6) AS ci_high, p < 0.05 AS is_significant,
+  CASE WHEN p >= 0.05 AND power < 0.8 THEN printf('{ex.INCONCLUSIVE}', power * 100, CAST(floor(n_a * 1.5) AS BIGINT))
+    WHEN p >= 0.05 THEN '{ex.NO_DIFFERENCE}'
+    WHEN abs(effect) < 0.02 THEN printf('{ex.SMALL_EFFECT.replace("{min_effect}", "0.02")}', effect)
+    ELSE printf('{ex.IMPROVEMENT}', CASE WHEN difference > 0 THEN 'A' ELSE 'B' END, abs(effect), CASE WHEN difference > 0 THEN 'A' ELSE 'B' END)
+  END AS recommendation FROM r""",
+)
 def t_test_report(spark, sf_dir):
-    return ex.t_tests(long_rows(spark, sf_dir))
+    out = ex.t_tests(long_rows(spark, sf_dir))
+    return out.select(
+        "metric", "variant_a", "variant_b", "n_a", "n_b", "df", F.round("t", 5).alias("t"),
+        *[F.round(c, 6).alias(c) for c in ("p_value", "critical", "effect_size", "ci_low", "ci_high")],
+        F.round("power", 5).alias("power"), F.round("power_two_sided", 5).alias("power_two_sided"), "is_significant", "recommendation",
+    )
 
 
 @query(
@@ -251,9 +308,30 @@ def chi_square_success(spark, sf_dir):
     return out.select("variant_a", "variant_b", F.round("chi_square", 5).alias("chi_square"))
 
 
-@query("chi_square_report")
+_CELLS = f"""WITH {EXPERIMENT}, c AS (SELECT variant_id, status, count(*)::DOUBLE AS c FROM exp GROUP BY 1, 2),
+n AS (SELECT variant_id, sum(c) AS n FROM c GROUP BY 1), k AS (SELECT DISTINCT status FROM c),
+cells AS (SELECT a.variant_id AS va, b.variant_id AS vb, a.n AS na, b.n AS nb, k.status,
+    coalesce(ca.c, 0) AS ca, coalesce(cb.c, 0) AS cb
+  FROM n a JOIN n b ON a.variant_id < b.variant_id CROSS JOIN k
+  LEFT JOIN c ca ON ca.variant_id = a.variant_id AND ca.status = k.status
+  LEFT JOIN c cb ON cb.variant_id = b.variant_id AND cb.status = k.status)"""
+_TERM = """(ca - na * (ca + cb) / (na + nb)) ** 2 / (na * (ca + cb) / (na + nb)) + (cb - nb * (ca + cb) / (na + nb)) ** 2 / (nb * (ca + cb) / (na + nb))"""
+
+
+@query(
+    "chi_square_report",
+    f"""{_CELLS},
+x AS (SELECT va, vb, count(*) - 1 AS k, sum({_TERM}) AS chi, any_value(na + nb) AS n FROM cells WHERE ca + cb > 0 GROUP BY 1, 2),
+p AS (SELECT *, CASE WHEN k = 2 THEN exp(-chi / 2) WHEN k = 1 THEN 2 * (1 - ({_phi('sqrt(chi)')})) END AS p FROM x)
+SELECT va AS variant_a, vb AS variant_b, k AS degrees_of_freedom, round(chi, 5) AS chi_square, round(sqrt(chi / n), 6) AS cramers_v,
+  round(p, 6) AS p_value, p < 0.05 AS is_significant FROM p""",
+)
 def chi_square_report(spark, sf_dir):
-    return ex.chi_square_tests(rows(spark, sf_dir), "variant_id", "status")
+    out = ex.chi_square_tests(rows(spark, sf_dir), "variant_id", "status")
+    return out.select(
+        "variant_a", "variant_b", "degrees_of_freedom", F.round("chi_square", 5).alias("chi_square"),
+        F.round("cramers_v", 6).alias("cramers_v"), F.round("p_value", 6).alias("p_value"), "is_significant",
+    )
 
 
 @query(
@@ -308,9 +386,24 @@ def sequential_prefix_t(spark, sf_dir):
     )
 
 
-@query("sequential_report")
+@query(
+    "sequential_report",
+    f"""WITH {EXPERIMENT}, run AS (SELECT metric, variant_id, row_number() OVER w AS i, sum(value) OVER w AS s,
+    sum(value * value) OVER w AS ss, count(*) OVER (PARTITION BY metric, variant_id) AS n
+  FROM long WINDOW w AS (PARTITION BY metric, variant_id ORDER BY row_id)),
+st AS (SELECT metric, variant_id, i, n, s / i AS m, (ss - s * s / i) / (i - 1) AS v FROM run WHERE i >= 100 AND i < n),
+t AS (SELECT a.metric, a.variant_id AS variant_a, b.variant_id AS variant_b, a.i, least(a.n, b.n) AS n, (a.m - b.m) / sqrt((a.v + b.v) / a.i) AS t
+  FROM st a JOIN st b ON a.metric = b.metric AND a.i = b.i AND a.variant_id < b.variant_id AND a.i < least(a.n, b.n)),
+d AS (SELECT metric, variant_a, variant_b, min(i) FILTER (abs(t) >= {_t_limit(special.normal_ppf(1 - 0.025 / 2), '2e0 * i - 2')}) AS stop_at, any_value(n) AS n
+  FROM t GROUP BY 1, 2, 3),
+p AS (SELECT d.*, {_t_p('t.t', '2e0 * t.i - 2')} AS p FROM d JOIN t USING (metric, variant_a, variant_b) WHERE t.i = coalesce(d.stop_at, d.n - 1))
+SELECT pairs.metric, pairs.variant_a, pairs.variant_b, coalesce(stop_at, least(n_a, n_b)) AS sample_size, round(p, 6) AS p_value,
+  stop_at IS NOT NULL AS stop, CASE WHEN stop_at IS NOT NULL THEN 'Significant difference detected' ELSE 'Need more data' END AS reason
+FROM pairs LEFT JOIN p USING (metric, variant_a, variant_b)""",
+)
 def sequential_report(spark, sf_dir):
-    return ex.sequential_tests(long_rows(spark, sf_dir), "row_id")
+    out = ex.sequential_tests(long_rows(spark, sf_dir), "row_id")
+    return out.withColumn("p_value", F.round("p_value", 6))
 
 
 _Z80 = repr(special.normal_ppf(0.975) + special.normal_ppf(0.8))
@@ -344,10 +437,16 @@ def power_grid(spark, sf_dir):
     return ex.power_grid(rates, "p").drop("p")
 
 
-@query("achieved_power")
+@query(
+    "achieved_power",
+    f"""WITH {EXPERIMENT}, r AS (SELECT segment, count(*) AS n, avg(success) AS rate FROM exp GROUP BY 1),
+z AS (SELECT *, {_Z975!r}::DOUBLE - abs(rate * 1.1::DOUBLE - rate) / sqrt(2 * ((rate + rate * 1.1::DOUBLE) / 2) * (1 - (rate + rate * 1.1::DOUBLE) / 2) / n) AS x FROM r)
+SELECT segment, n, round(rate, 6) AS rate, round(1 - ({_phi('x')}), 6) AS power FROM z""",
+)
 def achieved_power(spark, sf_dir):
     rates = rows(spark, sf_dir).groupBy("segment").agg(F.count("success").alias("n"), F.avg("success").alias("rate"))
-    return ex.achieved_power(rates, "n", "rate", 0.1)
+    out = ex.achieved_power(rates, "n", "rate", 0.1)
+    return out.select("segment", "n", F.round("rate", 6).alias("rate"), F.round("power", 6).alias("power"))
 
 
 @query(
