@@ -90,7 +90,8 @@ def canary_ramp(
 
 
 def split_check(df: DataFrame, weights: Mapping[str, float], variant: str = "variant_id") -> DataFrame:
-    """Observed against expected share per variant, with the chi-square fit of the whole."""
+    """Observed against expected share per variant, with its term of the chi-square fit;
+    ``split_fit`` adds them up."""
     counts = df.groupBy(variant).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n").alias("t")).scalar()
     weight = None
@@ -102,6 +103,19 @@ def split_check(df: DataFrame, weights: Mapping[str, float], variant: str = "var
     return out.withColumn("chi_term", (F.col("n") - expected) * (F.col("n") - expected) / expected).drop("_total")
 
 
+def split_fit(check: DataFrame, weights: Mapping[str, float], alpha: float = 0.05) -> DataFrame:
+    """One row on a ``split_check``: chi-square of the whole split, degrees of freedom,
+    p-value, and whether the split fits its weights. A variant without rows counts with all
+    of its expected rows; rows of a variant without a weight are not judged."""
+    total = F.sum(F.when(F.col("expected_share").isNotNull(), F.col("n") / F.nullif(F.col("share"), F.lit(0.0))))
+    seen = F.count("expected_share")
+    missing = F.coalesce(total / F.nullif(seen, F.lit(0)) * (1 - F.sum("expected_share")), F.lit(0.0))
+    degrees = len(weights) - 1
+    out = check.agg((F.sum("chi_term") + missing).alias("chi_square")).withColumn("degrees_of_freedom", F.lit(degrees))
+    p = dist.chi2_sf(F.col("chi_square"), F.col("degrees_of_freedom").cast("double"))
+    return out.withColumn("p_value", p).withColumn("fits", F.col("p_value") >= alpha)
+
+
 # ---------------------------------------------------------------- mean tests
 
 
@@ -224,12 +238,9 @@ def t_tests(
 # ---------------------------------------------------------------- counts
 
 
-def chi_square_pairs(df: DataFrame, variant: str, category: str) -> DataFrame:
-    """Chi-square statistic, degrees of freedom and Cramer's V for every variant pair.
-
-    Works on the (variant, category) counts. Categories empty in both arms are left out;
-    2x2 tables get the continuity correction.
-    """
+def _pair_cells(df: DataFrame, variant: str, category: str) -> DataFrame:
+    """Counts ``c_a`` and ``c_b`` of each category (``_k``) for every variant pair, from the
+    (variant, category) counts. Categories empty in both arms are left out."""
     counts = (
         df.select(F.col(variant).alias("_v"), F.col(category).alias("_k"))
         .where(F.col("_k").isNotNull())
@@ -243,7 +254,7 @@ def chi_square_pairs(df: DataFrame, variant: str, category: str) -> DataFrame:
         .agg(F.map_from_entries(F.collect_list(F.struct("_v", "_c"))).alias("m"))
         .withColumn("arms", arms)
     )
-    cells = (
+    return (
         per_category.select("_k", "m", "arms", F.posexplode("arms").alias("i", "a"))
         .select("_k", "m", "a", F.explode(F.slice("arms", F.col("i") + 2, F.size("arms"))).alias("b"))
         .select(
@@ -255,6 +266,22 @@ def chi_square_pairs(df: DataFrame, variant: str, category: str) -> DataFrame:
         )
         .where(F.col("c_a") + F.col("c_b") > 0)
     )
+
+
+def contingency(df: DataFrame, variant: str, category: str) -> DataFrame:
+    """The table behind the chi-square of every variant pair: observed and expected counts."""
+    cells = _pair_cells(df, variant, category)
+    share = (F.col("c_a") + F.col("c_b")) / (F.col("n_a") + F.col("n_b"))
+    return cells.select(
+        "variant_a", "variant_b", F.col("_k").alias(category), F.col("c_a").alias("observed_a"), F.col("c_b").alias("observed_b"),
+        (F.col("n_a") * share).alias("expected_a"), (F.col("n_b") * share).alias("expected_b"),
+    )
+
+
+def chi_square_pairs(df: DataFrame, variant: str, category: str) -> DataFrame:
+    """Chi-square statistic, degrees of freedom and Cramer's V for every variant pair; 2x2
+    tables get the continuity correction."""
+    cells = _pair_cells(df, variant, category)
     sizes = cells.groupBy("variant_a", "variant_b").agg(F.count(F.lit(1)).alias("categories"))
     n = F.col("n_a") + F.col("n_b")
     column_total = F.col("c_a") + F.col("c_b")

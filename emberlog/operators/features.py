@@ -74,6 +74,16 @@ def level_features(df: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:
     return df.withColumns({**dummies, "log_severity": lookup(level, SEVERITY, 2)})
 
 
+def occurring_levels(df: DataFrame, column: str = "log_level", most: int = 100) -> list[str]:
+    """The fixed levels, then by name the others among the ``most`` frequent values: with
+    these, ``level_features`` has a column for each level that occurs. Column names do not
+    tell upper from lower case, so of spellings that differ in case alone the first has one."""
+    names = {v.upper(): v for v in LEVELS}
+    for v in sorted(vocabulary(df, column, most)):
+        names.setdefault(v.upper(), v)
+    return list(names.values())
+
+
 def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str | None = None) -> DataFrame:
     prefix = column if prefix is None else prefix
     return df.withColumns({f"{prefix}_{v}": flag(F.col(column) == v) for v in values})

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from emberlog.operators import alerts as al
 from emberlog.operators import drift as dr
+from emberlog.operators import drift_sketches as ds
 from emberlog.operators import metrics as mx
 from emberlog.operators import stats as st
 from emberlog.operators.ordered import with_position
 from emberlog.plans.quality_queries import PREDICTIONS
 from emberlog.plans.registry import query
-from emberlog.session import stored
+from emberlog.session import shared_folder, stored
 from emberlog.sources.tables import predictions, table
 
 _FEATURES = ("l_quantity", "l_extendedprice", "l_tax")
@@ -41,6 +44,29 @@ def drift_scores(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6) for c in ("psi", "kl_divergence")})
 
 
+@query(
+    "sketch_drift",
+    f"""WITH {HISTOGRAMS} SELECT feature, count(*) FILTER (base) AS n_base, count(*) FILTER (NOT base) AS n_now,
+  round(avg(value) FILTER (base), 4) AS baseline_mean, round(stddev_samp(value) FILTER (base), 4) AS baseline_std, true AS within_margin
+FROM long GROUP BY 1""",
+)
+def sketch_drift(spark, sf_dir):
+    """Scores from stored hourly sketches, held against the exact ones."""
+    lines = table(spark, sf_dir, "lineitem").select("l_shipdate", *_FEATURES)
+    late = F.col("l_shipdate") >= F.lit(_HALF).cast("timestamp")
+    lines = lines.withColumn("l_quantity", F.when(late, F.col("l_quantity") * 1.5).otherwise(F.col("l_quantity")))
+    long = st.metrics_long(lines, ["l_shipdate"], _FEATURES, "feature")
+    path = f"{shared_folder(spark)}/sketches-{uuid.uuid4().hex}"
+    ds.write_sketches(ds.hourly_sketches(long, "l_shipdate"), path, period="month")
+    base, now = ds.merged(ds.read_sketches(spark, path, last="1998-05-31")), ds.merged(ds.read_sketches(spark, path, first=_HALF))
+    exact = dr.drift_scores(*_sets(spark, sf_dir)).select("feature", F.col("psi").alias("exact"))
+    moments = base.select("feature", F.round("mean", 4).alias("baseline_mean"), F.round("std", 4).alias("baseline_std"))
+    scores = ds.sketch_drift(base, now).join(exact, "feature").join(moments, "feature")
+    return scores.select(
+        "feature", "n_base", "n_now", "baseline_mean", "baseline_std", (F.abs(F.col("psi") - F.col("exact")) <= F.col("psi_margin")).alias("within_margin")
+    )
+
+
 @query("drifting_features", f"""WITH {HISTOGRAMS} SELECT count(*) FILTER (psi > 0.3) AS drifting, count(*) AS features FROM scores""")
 def drifting_features(spark, sf_dir):
     return dr.drifting_features(dr.drift_scores(*_sets(spark, sf_dir)))

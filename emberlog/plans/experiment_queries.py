@@ -147,6 +147,19 @@ def split_check(spark, sf_dir):
     )
 
 
+@query(
+    "split_fit",
+    f"""WITH {EXPERIMENT}, w(variant_id, w) AS (VALUES ('control', 0.3::DOUBLE), ('catboost', 0.25), ('xgb_v1', 0.2), ('xgb_v2', 0.15), ('xgb_v3', 0.1)),
+c AS (SELECT variant_id, w, (SELECT count(*) FROM exp WHERE exp.variant_id = w.variant_id)::DOUBLE AS n, (SELECT count(*) FROM exp)::DOUBLE AS total FROM w),
+x AS (SELECT sum((n - w * total) ** 2 / (w * total)) AS chi FROM c)
+SELECT round(chi, 5) AS chi_square, 4 AS degrees_of_freedom, round(exp(0 - chi / 2) * (1 + chi / 2), 6) AS p_value,
+  exp(0 - chi / 2) * (1 + chi / 2) >= 0.05 AS fits FROM x""",
+)
+def split_fit(spark, sf_dir):
+    out = ex.split_fit(ex.split_check(rows(spark, sf_dir), VARIANT_WEIGHTS), VARIANT_WEIGHTS)
+    return out.withColumns({"chi_square": F.round("chi_square", 5), "p_value": F.round("p_value", 6)})
+
+
 @query(
     "variant_summary",
     f"""WITH {EXPERIMENT} SELECT metric, variant_id, count(value) AS n, round(avg(value), 5) AS mean, round(stddev_samp(value), 5) AS std,
@@ -318,6 +331,16 @@ cells AS (SELECT a.variant_id AS va, b.variant_id AS vb, a.n AS na, b.n AS nb, k
 _TERM = """(ca - na * (ca + cb) / (na + nb)) ** 2 / (na * (ca + cb) / (na + nb)) + (cb - nb * (ca + cb) / (na + nb)) ** 2 / (nb * (ca + cb) / (na + nb))"""
 
 
+@query(
+    "contingency_status",
+    f"""{_CELLS} SELECT va AS variant_a, vb AS variant_b, status, CAST(ca AS BIGINT) AS observed_a, CAST(cb AS BIGINT) AS observed_b,
+  round(na * (ca + cb) / (na + nb), 5) AS expected_a, round(nb * (ca + cb) / (na + nb), 5) AS expected_b FROM cells WHERE ca + cb > 0""",
+)
+def contingency_status(spark, sf_dir):
+    out = ex.contingency(rows(spark, sf_dir), "variant_id", "status")
+    return out.withColumns({c: F.round(c, 5) for c in ("expected_a", "expected_b")})
+
+
 @query(
     "chi_square_report",
     f"""{_CELLS},

@@ -191,6 +191,19 @@ def level_features(spark, sf_dir):
     )
 
 
+_OCCURRING = ("CLICK", "PURCHASE", "SIGNUP", "VIEW")
+
+
+@query(
+    "occurring_level_features",
+    f"""SELECT event_id, {', '.join(f"coalesce(upper(event_type) = '{v}', false) AS log_level_{v}" for v in (*ft.LEVELS, *_OCCURRING))} FROM events""",
+)
+def occurring_level_features(spark, sf_dir):
+    """Levels outside the fixed vocabulary get columns of their own."""
+    logs = table(spark, sf_dir, "events").select("event_id", F.upper("event_type").alias("log_level"))
+    return ft.level_features(logs, ft.occurring_levels(logs)).drop("log_level", "log_severity")
+
+
 @query(
     "error_features",
     f"""WITH {FEATURES} SELECT event_id, has_error, error_type_encoded, error_message_length FROM features""",
