@@ -56,6 +56,7 @@ _tables: dict[str, np.ndarray] = {}
 
 
 WINDOWS = "key long, doc_id long, text_hash long, start int, end int, seed boolean"
+SALTED = WINDOWS + ", salt int"
 
 
 def _word_hashes(texts: list[str]):
@@ -257,10 +258,19 @@ def _texts(docs: DataFrame) -> DataFrame:
     ).where("doc_id is not null and text is not null")
 
 
-def _windows(bits: np.ndarray | None = None):
-    """Windows of texts; with ``bits``, those whose key is in the map."""
+#: A window key is hot beyond this many rows, and beyond a share of 1 / HOT_KEYS of all: so
+#: there are at most HOT_KEYS of them, whatever the table.
+HOT_ROWS, HOT_KEYS = 2000, 2000
+
+
+def _windows(bits: np.ndarray | None = None, hot: dict[int, int] | None = None):
+    """Windows of texts; with ``bits``, those whose key is in the map, and ``salt``, which
+    deals the rows of each hot key out to as many parts as ``hot`` says."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in (WINDOWS if bits is None else SALTED).split(", ")]
+        hot_keys = np.array(sorted(hot or ()), np.int64)
+        hot_parts = np.array([(hot or {})[k] for k in hot_keys.tolist()], np.int64)
         for batch in small(batches, most=1 << 19):
             ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
             seeds = batch.column("seeds").to_pylist() if "seeds" in batch.schema.names else None
@@ -268,22 +278,38 @@ def _windows(bits: np.ndarray | None = None):
             if bits is not None:
                 kept = _in_map(bits, key)
                 text, start, end, key, seed = text[kept], start[kept], end[kept], key[kept], seed[kept]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(ids[text]), pa.array(hashes[text]),
-                 pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(seed)],
-                [x.split()[0] for x in WINDOWS.split(", ")],
-            )
+            key = key.view(np.int64)
+            columns = [pa.array(key), pa.array(ids[text]), pa.array(hashes[text]), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(seed)]
+            if bits is not None:
+                salt = np.zeros(len(key), np.int32)
+                if len(hot_keys):
+                    at = np.minimum(np.searchsorted(hot_keys, key), len(hot_keys) - 1)
+                    parts = np.where(hot_keys[at] == key, hot_parts[at], 1)
+                    salt = ((hashes[text].view(np.uint64) >> np.uint64(7)) % parts.astype(np.uint64)).astype(np.int32)
+                columns.append(pa.array(salt))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return lean(run)
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """Windows of ``rows`` whose key stands in two documents at least, with the smallest id
-    as ``kept_doc_id``. Keys are counted by partial sums, and the windows of repeated ones
-    joined in a second scan, where the keys that a third of all documents share can be split."""
-    keys = rows.mapInArrow(_windows(), WINDOWS).groupBy("key").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last"))
+    as ``kept_doc_id``. Keys are counted by partial sums. In a second scan the windows of
+    repeated keys meet their key's row in a running minimum; the rows of a hot key are dealt
+    out to parts, each with a copy of the key's row."""
+    keys = rows.mapInArrow(_windows(), WINDOWS).groupBy("key").agg(
+        F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")
+    )
     keys = written(keys.where("kept_doc_id != last").drop("last"), "window-keys")
-    return rows.mapInArrow(_windows(_bit_map(keys, "key")), WINDOWS).join(keys, "key")
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    most = max(HOT_ROWS, total // HOT_KEYS)
+    hot = {r["key"]: -(-r["n"] // most) for r in keys.where(F.col("n") > most).select("key", "n").collect()}
+    windows = rows.mapInArrow(_windows(_bit_map(keys, "key"), hot), SALTED).withColumn("kept_doc_id", F.lit(None).cast("long"))
+    salts = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("n") / most).cast("int") - 1)))
+    none = [F.lit(None).cast(k).alias(c) for c, k in (x.split() for x in WINDOWS.split(", ")) if c != "key"]
+    both = windows.unionByName(keys.select("key", *none, salts.alias("salt"), "kept_doc_id"))
+    met = both.withColumn("kept_doc_id", F.min("kept_doc_id").over(Window.partitionBy("key", "salt")))
+    return met.where("doc_id IS NOT NULL AND kept_doc_id IS NOT NULL").drop("salt")
 
 
 def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
