@@ -36,9 +36,9 @@ def test_a_new_day_leaves_the_others(spark, tmp_path):
     path = str(tmp_path / "sketches")
     ds.write_sketches(ds.hourly_sketches(values(spark, [1, 2], 3), "ts"), path)
     before = {r.day: r.n for r in ds.read_sketches(spark, path).groupBy("day").agg(F.sum("n").alias("n")).collect()}
-    files = set(spark.read.parquet(path).where("period = '2024-01-01'").inputFiles())
+    files = {f for f in spark.read.parquet(path).inputFiles() if '2024-01-01' in f}
     ds.write_sketches(ds.hourly_sketches(values(spark, [2], 4).where("value > 0 OR ts < '2024-01-02'").where("ts >= '2024-01-02'"), "ts"), path)
     after = {r.day: r.n for r in ds.read_sketches(spark, path).groupBy("day").agg(F.sum("n").alias("n")).collect()}
-    assert set(spark.read.parquet(path).where("period = '2024-01-01'").inputFiles()) == files
+    assert files and {f for f in spark.read.parquet(path).inputFiles() if '2024-01-01' in f} == files
     first, second = sorted(before)
     assert after[first] == before[first] and 0 < after[second] < before[second]
