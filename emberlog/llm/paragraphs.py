@@ -83,7 +83,9 @@ def _passages(texts: list[str], seeds: list[list[int]] | None = None):
     at = np.arange(n)
     key = _mixed(_hashes(word, at, at + PASSAGE))
     if seeds is None:
-        ranked = (key & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64)
+        # the low bits hold the place; a text of over 16 million words takes some more
+        low = np.uint64((1 << max(24, n.bit_length())) - 1)
+        ranked = (key & ~low) | at.astype(np.uint64)
         blocks = np.full(-(-(n + PICK) // PICK) * PICK, np.uint64(0xFFFFFFFFFFFFFFFF))
         blocks[:n] = ranked
         blocks = blocks.reshape(-1, PICK)
@@ -91,7 +93,7 @@ def _passages(texts: list[str], seeds: list[list[int]] | None = None):
         after = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
         row = at[: n - PICK + 1]
         row = row[text[row] == text[row + PICK + PASSAGE - 2]]
-        chosen = np.unique((np.minimum(after[row], before[row + PICK - 1]) & np.uint64((1 << 24) - 1)).astype(np.int64))
+        chosen = np.unique((np.minimum(after[row], before[row + PICK - 1]) & low).astype(np.int64))
         seed = np.ones(len(chosen), bool)
     else:
         places = np.repeat(bounds - sizes, [len(x) for x in seeds]) + np.array([x for own in seeds for x in own], np.int64)
