@@ -14,6 +14,7 @@ A list of any size is cut into blocks, and so are a list's queries.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators.stats import top_n_per_key
 from emberlog.operators.vectors import CORPUS_BLOCK, QUERY_BLOCK, block_search, hit_schema, unit_rows
-from emberlog.session import shared_folder
+from emberlog.session import shared_folder, stored
 
 MOST_LISTS = 4096
 SLACK = 1e-6
@@ -85,7 +86,7 @@ def build_index(items: DataFrame, lists: int | None = None, item_id: str = "item
                     [batch.column(0), batch.column(1), pa.array(near), pa.array(own.astype(np.int32))], [item_id, "vector", "near", "list"]
                 )
 
-    path = f"{shared_folder(spark)}/vector-lists-{np.random.default_rng().integers(1 << 62):x}"
+    path = f"{shared_folder(spark)}/vector-lists-{uuid.uuid4().hex}"
     placed = rows.mapInArrow(assign, f"`{item_id}` {kind}, vector array<float>, near double, list int")
     placed.hint("rebalance", "list").write.partitionBy("list").parquet(path)
     stored = spark.read.schema(placed.schema).parquet(path)
@@ -156,19 +157,13 @@ def indexed_top_k(
     first = _compared(index, _visits(index, asked, query_id, threshold, max_candidates, False), query_id, k, threshold, skip_same)
     if not exact:
         return top_n_per_key(first, [query_id], order, k)
-    best = _kept(top_n_per_key(first, [query_id], order, k).drop("rank"))
+    best = stored(top_n_per_key(first, [query_id], order, k).drop("rank"))
     least = best.groupBy(query_id).agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
     open_ = asked.join(least, query_id, "left").withColumn("least", F.when(F.col("n") >= k, F.col("low")).otherwise(-1.0))
     second = _compared(index, _visits(index, open_, query_id, threshold, max_candidates, True), query_id, k, threshold, skip_same)
     return top_n_per_key(best.unionByName(second), [query_id], order, k)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    from emberlog.session import stored
-
-    return stored(df)
-
-
 def candidates_seen(index: VectorIndex, queries: DataFrame, query_id: str = "query_id", vector: str = "vector", max_candidates: int = 4096) -> DataFrame:
     """How many items each query is compared with in the first round."""
     asked = queries.where(F.col(vector).isNotNull()).select(query_id, F.col(vector).cast("array<float>").alias("v"))
