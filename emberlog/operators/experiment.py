@@ -523,6 +523,10 @@ def prefix_tests(
     )
 
 
+# The two outcomes of a sequential test.
+STOPPED, GOES_ON = "Significant difference detected", "Need more data"
+
+
 def _t_expansion(z: float, df: Column) -> Column:
     """Quantile of t at the normal quantile ``z``, up to the third power of 1 / df."""
     a, b = (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96
@@ -565,7 +569,7 @@ def sequential_tests(
         F.coalesce("stop_at", F.least("n_a", "n_b")).alias("sample_size"),
         F.when(stop, p_at("_stop_t", F.col("stop_at"))).otherwise(p_at("_last_t", F.least("n_a", "n_b") - 1)).alias("p_value"),
         stop.alias("stop"),
-        F.when(stop, "Significant difference detected").otherwise("Need more data").alias("reason"),
+        F.when(stop, STOPPED).otherwise(GOES_ON).alias("reason"),
     )
 
 

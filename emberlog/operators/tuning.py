@@ -208,7 +208,11 @@ def trials_table(spark: SparkSession, trials: Sequence[Trial], seed: int = 42) -
     return spark.createDataFrame(rows, TRIALS)
 
 
-def best_variants(trials: DataFrame, n: int = 3, prefix: str = "xgb_optimized_v") -> DataFrame:
+# Ids and names of the variants that come from a search.
+VARIANT_ID, VARIANT_NAME = "xgb_optimized_v", "Optimized Variant "
+
+
+def best_variants(trials: DataFrame, n: int = 3, prefix: str = VARIANT_ID) -> DataFrame:
     """Variants of an experiment with equal weights from the best whole trials."""
     from pyspark.sql import Window
 
@@ -216,7 +220,7 @@ def best_variants(trials: DataFrame, n: int = 3, prefix: str = "xgb_optimized_v"
     # at most ``n`` rows reach this window
     place = best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("value"), "number")))
     return place.select(
-        F.concat(F.lit(prefix), "place").alias("variant_id"), F.concat(F.lit("Optimized Variant "), "place").alias("name"),
+        F.concat(F.lit(prefix), "place").alias("variant_id"), F.concat(F.lit(VARIANT_NAME), "place").alias("name"),
         F.lit(1.0 / n).alias("weight"), F.col("value").alias("score"), "std", "params",
     )
 
