@@ -314,13 +314,31 @@ def _repeated(rows: DataFrame) -> DataFrame:
     return met.where("doc_id IS NOT NULL AND kept_doc_id IS NOT NULL").drop("salt")
 
 
+def _with_keys(windows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Windows whose key is one of ``keys``, by a maximum over the rows of a key; those of a
+    hot key are dealt out to parts, each with a copy of the key's row."""
+    counts = windows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.sum("n").alias("total"), F.max("n").alias("top")).first()
+    most = max(HOT_ROWS, (sizes["total"] or 0) // HOT_KEYS)
+    hot = [r["key"] for r in counts.where(F.col("n") > most).select("key").collect()]
+    parts = -(-(sizes["top"] or 1) // most)
+    part = F.pmod(F.col("text_hash"), F.lit(parts)).cast("int")
+    is_hot = F.col("key").isin(hot) if hot else F.lit(False)
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    rows = windows.select("*", F.when(is_hot, part).otherwise(0).alias("salt"), F.lit(False).alias("asked"))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in windows.schema if f.name != "key"]
+    named = keys.select("key", *none, F.explode(every).alias("salt"), F.lit(True).alias("asked"))
+    met = rows.unionByName(named).withColumn("asked", F.max("asked").over(Window.partitionBy("key", "salt")))
+    return met.where("asked AND doc_id IS NOT NULL").drop("salt", "asked")
+
+
 def repeated_windows(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """Windows in and around the sampled ones that also stand in a document with a smaller
     id: key, doc_id, text_hash, start, end, seed and kept_doc_id. Sampled windows inside the
     removed ``lines`` are no seeds."""
     shared = written(_repeated(_texts(docs)), "shared-windows")
     asked = _by_text(shared.where("doc_id != kept_doc_id"), lines).mapInArrow(lean(_uncovered), "key long").distinct()
-    spots = shared.join(asked, "key").groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("seeds"))
+    spots = _with_keys(shared, asked).groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("seeds"))
     around = written(_texts(docs).join(spots, ["doc_id", "text_hash"]), "seeded-texts")
     return _repeated(around).where("doc_id != kept_doc_id")
 
