@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog.operators.stats import top_n_per_key
 
-QUERY_BLOCK = 4096
-CORPUS_BLOCK = 32768
+#: Rows of a block at most, on either side: what a task holds.
+QUERY_BLOCK = 131072
+CORPUS_BLOCK = 131072
+#: Pairs that are worth a cell, cells for each core, and rows of one matrix product.
+CELL_PAIRS, CELLS_A_CORE, PRODUCT_ROWS = 1_000_000, 4, 4096
 
 
 def unit_rows(m: np.ndarray) -> np.ndarray:
@@ -24,34 +31,115 @@ def hit_schema(query_id: str, query: T.StructField, item_id: str, item: T.Struct
     return T.StructType([*fields, T.StructField("score", T.DoubleType())])
 
 
+def grid(spark: SparkSession, queries: int, items: int, query_block: int, corpus_block: int) -> tuple[int, int]:
+    """Blocks of queries and of items. Their number follows the cores, not the rows, so what
+    is copied grows as the rows do; only where a block would exceed its bound are there more."""
+    cells = CELLS_A_CORE * spark.sparkContext.defaultParallelism
+    cells = max(1, min(cells, -(-queries * items // CELL_PAIRS)))
+    rows = min(max(1, round(math.sqrt(cells * queries / max(items, 1)))), cells)
+    return max(rows, -(-queries // query_block)), max(-(-cells // rows), -(-items // corpus_block))
+
+
+def vector_rows(column: pa.ChunkedArray) -> np.ndarray:
+    lists = column.combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    if lists.null_count or (sizes != sizes[:1]).any():
+        raise ValueError("vectors must have one length and not be null")
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def _float_units(m: np.ndarray) -> np.ndarray:
+    out = np.empty(m.shape, np.float32)
+    for at in range(0, len(m), PRODUCT_ROWS):
+        out[at : at + PRODUCT_ROWS] = unit_rows(m[at : at + PRODUCT_ROWS].astype(np.float64))
+    return out
+
+
+def best_pairs(
+    ours: np.ndarray, theirs: np.ndarray, names: np.ndarray, ids: np.ndarray, place: np.ndarray, k: int,
+    least: np.ndarray, skip_same: bool, spans: Iterable[tuple[int, int, np.ndarray]],
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, item row, score) of the ``k`` best items for each query, of those that
+    score ``least`` or more; equal scores by ``place``. ``spans`` has ranges of item rows and
+    the query rows they are compared with. Products in single precision tell which pairs can
+    matter, by a bound on their error; these are scored in double precision."""
+    a, b = _float_units(ours), _float_units(theirs)
+    slack = 2.4e-7 * (ours.shape[1] + 8)
+    cut = least.astype(np.float64)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held, most = 0, 1_000_000 + 2 * k * len(ours)
+
+    def exact(q: np.ndarray, i: np.ndarray) -> np.ndarray:
+        out = np.empty(len(q))
+        for at in range(0, len(q), 65536):
+            to = slice(at, at + 65536)
+            out[to] = np.einsum("ij,ij->i", unit_rows(ours[q[to]].astype(np.float64)), unit_rows(theirs[i[to]].astype(np.float64)))
+        return np.round(out, 9)
+
+    def best() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, i, score = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        order = np.lexsort((place[i], -score, q))
+        q, i, score = q[order], i[order], score[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q, "left")
+        cut[q[rank == k - 1]] = score[rank == k - 1]
+        return q[rank < k], i[rank < k], score[rank < k]
+
+    for first, last, rows in spans:
+        for lo in range(first, last, PRODUCT_ROWS):
+            hi = min(lo + PRODUCT_ROWS, last)
+            for at in range(0, len(rows), PRODUCT_ROWS):
+                part = rows[at : at + PRODUCT_ROWS]
+                near = a[part] @ b[lo:hi].T
+                here = near >= (cut[part] - slack).astype(np.float32)[:, None]
+                if hi - lo > k and np.count_nonzero(here) > 4 * k * len(part):
+                    if skip_same:
+                        here &= names[part][:, None] != ids[None, lo:hi]
+                    near[~here] = -np.inf
+                    kth = np.partition(near, hi - lo - k, axis=1)[:, hi - lo - k]
+                    here &= near >= (kth - 2 * slack)[:, None]
+                q, i = np.nonzero(here)
+                q, i = part[q], i + lo
+                if skip_same:
+                    other = names[q] != ids[i]
+                    q, i = q[other], i[other]
+                score = exact(q, i)
+                keep = score >= cut[q]
+                found.append((q[keep], i[keep], score[keep]))
+                held += int(keep.sum())
+                if held > most:
+                    found = [best()]
+                    held = len(found[0][0])
+    return best()
+
+
+def hits_table(ours: pa.Table, theirs: pa.Table, found: tuple[np.ndarray, np.ndarray, np.ndarray], query_id: str, item_id: str) -> pa.Table:
+    q, i, score = found
+    return pa.table([ours.column("q").take(pa.array(q)), theirs.column("i").take(pa.array(i)), pa.array(score)], [query_id, item_id, "score"])
+
+
+def id_values(column: pa.ChunkedArray) -> np.ndarray:
+    return column.combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def places(column: pa.ChunkedArray) -> np.ndarray:
+    """Each row's place in ascending order of the column."""
+    out = np.empty(len(column), np.int64)
+    out[pc.sort_indices(column).to_numpy()] = np.arange(len(column))
+    return out
+
+
 def block_search(query_id: str, item_id: str, k: int, threshold: float, skip_same: bool):
-    """The k best items (i, v) for each query (q, v) of a cell, as one matrix product."""
-
-    def unit(series: pd.Series) -> np.ndarray:
-        return unit_rows(np.vstack(series.to_numpy()).astype(np.float64))
-
-    def search(ours: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({query_id: [], item_id: [], "score": []})
-        if len(ours) == 0 or len(theirs) == 0:
-            return empty
-        items = theirs.sort_values("i", ignore_index=True)
-        basis, ids = unit(items["v"]), items["i"].to_numpy()
-        found = []
-        for start in range(0, len(ours), 256):
-            part = ours.iloc[start : start + 256]
-            names = part["q"].to_numpy()
-            scores = np.round(unit(part["v"]) @ basis.T, 9)
-            if skip_same:
-                scores[names[:, None] == ids[None, :]] = -2.0
-            scores[scores < threshold] = -2.0
-            if scores.shape[1] > k:
-                # ids are sorted, so keeping the first of equal scores keeps the smallest
-                kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
-                scores[scores < kth[:, None]] = -2.0
-            q, i = np.nonzero(scores > -2.0)
-            found.append(pd.DataFrame({query_id: names[q], item_id: ids[i], "score": scores[q, i]}))
-        best = pd.concat(found).sort_values([query_id, "score", item_id], ascending=[True, False, True])
-        return best.groupby(query_id, sort=False).head(k) if len(best) else empty
+    """The k best items (i, v) for each query (q, v) of a cell."""
+
+    def search(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        found = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        if ours.num_rows and theirs.num_rows:
+            known = np.flatnonzero(ours.column("q").combine_chunks().is_valid().to_numpy(zero_copy_only=False))
+            found = best_pairs(
+                vector_rows(ours.column("v")), vector_rows(theirs.column("v")), id_values(ours.column("q")), id_values(theirs.column("i")),
+                places(theirs.column("i")), k, np.full(ours.num_rows, threshold), skip_same, [(0, theirs.num_rows, known)],
+            )
+        return hits_table(ours, theirs, found, query_id, item_id)
 
     return search
 
@@ -64,13 +152,12 @@ def cosine_top_k(
     """The ``k`` most similar items per query with a score of at least ``threshold``.
 
     Exact search on a grid: queries and items are hashed into blocks of bounded size,
-    each (query block, item block) cell is one matrix product in its own group, and a
-    cell returns at most ``k`` rows per query. Neither side has to fit anywhere; a
+    each (query block, item block) cell is searched by matrix products in its own group,
+    and a cell returns at most ``k`` rows per query. Neither side has to fit anywhere; a
     single query block costs one pass over the items. Scores are rounded to nine digits
     before ranking, so ties fall to the smaller id however the sums were ordered.
     """
-    rows = max(1, -(-queries.count() // query_block))
-    columns = max(1, -(-corpus.count() // corpus_block))
+    rows, columns = grid(queries.sparkSession, queries.count(), corpus.count(), query_block, corpus_block)
 
     def pick(name: str, of: int) -> Column:
         return F.pmod(F.xxhash64(name), F.lit(of)).cast("int")
@@ -85,7 +172,7 @@ def cosine_top_k(
     )
     schema = hit_schema(query_id, queries.schema[query_id], item_id, corpus.schema[item_id])
     search = block_search(query_id, item_id, k, threshold, skip_same)
-    cells = left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInPandas(search, schema)
+    cells = left.groupBy("r", "c").cogroup(right.groupBy("r", "c")).applyInArrow(search, schema)
     return top_n_per_key(cells, [query_id], [F.desc("score"), F.asc(item_id)], k)
 
 

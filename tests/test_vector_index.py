@@ -57,3 +57,27 @@ def test_nothing_to_search(spark):
     empty = spark.createDataFrame([], "item_id int, vector array<float>")
     index = vi.build_index(empty)
     assert vi.indexed_top_k(index, empty.withColumnRenamed("item_id", "query_id")).count() == 0
+
+
+def test_a_query_goes_to_a_shelf_once(spark):
+    df = points(spark, n=300, clusters=1, spread=1.0).where("vector IS NOT NULL")
+    index = vi.build_index(df.withColumnRenamed("id", "item_id"), lists=40)
+    shelves = vi._shelves(index.sizes, 100)
+    assert [i for first, after, _ in shelves for i in range(first, after)] == list(range(40)) and len(shelves) <= 8
+    asked = df.select("id", df.vector.cast("array<float>").alias("v"))
+    visits = vi._visits(index, asked, "id", 0.0, 300, False, shelves).toPandas()
+    # all 40 lists, and still a row for each shelf only
+    assert len(visits) == 300 * len(shelves) and not visits.duplicated(["q", "c"]).any()
+    assert sum(bin(x).count("1") for b in visits["bits"] for x in b) == 300 * int((index.sizes > 0).sum())
+
+
+def test_shelves_of_long_lists():
+    assert vi._shelves(np.array([3, 4, 0, 25, 2, 0, 9]), 10) == [(0, 3, 1), (3, 4, 3), (4, 6, 1), (6, 7, 1)]
+
+
+def test_seen_counts_come_with_each_query(spark):
+    df = points(spark)
+    index = vi.build_index(df.withColumnRenamed("id", "item_id"), lists=12)
+    twice = df.unionByName(df.where("id = 3")).withColumnRenamed("id", "query_id")
+    seen = vi.candidates_seen(index, twice, max_candidates=10_000).toPandas().set_index("query_id")
+    assert seen.loc[3, "candidates"] == 800 and (seen["candidates"].drop(3) == 400).all() and len(seen) == 400
