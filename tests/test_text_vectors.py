@@ -89,3 +89,31 @@ def test_text_vectors_find_the_same_text(spark):
     v = ch.embed(ch.fit_text_vectors(df), df).select("id", "vector")
     top = ve.cosine_top_k(v.withColumnRenamed("id", "query_id"), v.withColumnRenamed("id", "item_id"), 1, 0.0, skip_same=True)
     assert {r.query_id: r.item_id for r in top.where("query_id <> 1").collect()} == {0: 2, 2: 0}
+
+
+def test_copies_of_rows_follow_the_cores_not_the_table(spark):
+    copies = [sum(ve.grid(spark, n, n, ve.QUERY_BLOCK, ve.CORPUS_BLOCK)) for n in (10_000, 100_000, 600_000)]
+    assert len(set(copies)) == 1
+    rows, columns = ve.grid(spark, 50_000_000, 1000, ve.QUERY_BLOCK, ve.CORPUS_BLOCK)
+    assert rows * ve.QUERY_BLOCK >= 50_000_000 and columns == 1
+    assert ve.grid(spark, 0, 0, 10, 10) == (1, 1)
+
+
+@pytest.mark.parametrize("threshold", [-1.0, 0.3])
+def test_best_pairs_prunes_nothing_that_counts(threshold, monkeypatch):
+    monkeypatch.setattr(ve, "PRODUCT_ROWS", 32)
+    rng = np.random.default_rng(2)
+    m = rng.normal(size=(300, 8)).astype(np.float32)
+    m[40:90] = m[40]  # equal scores fall to the smaller id
+    m[7] = 0
+    m[9, 3] = np.nan
+    ids, everything = rng.permutation(300), np.arange(300)
+    place = np.argsort(np.argsort(ids))
+    found = ve.best_pairs(m, m, ids, ids, place, 4, np.full(300, threshold), True, [(0, 130, everything), (130, 300, everything)])
+    unit = ve.unit_rows(m.astype(float))
+    score = np.round(unit @ unit.T, 9)
+    want = set()
+    for q in range(300):
+        order = sorted((i for i in range(300) if i != q and score[q, i] >= threshold), key=lambda i: (-score[q, i], ids[i]))
+        want |= {(q, i) for i in order[:4]}
+    assert {(int(q), int(i)) for q, i in zip(*found[:2], strict=True)} == want and len(found[0]) == len(want)
