@@ -174,3 +174,32 @@ def test_search_to_experiment(spark, matrix, tmp_path, monkeypatch):
     config = json.loads(spark.read.text(place).first().value)
     assert config["type"] == "hyperparameter" and [v["id"] for v in config["variants"]] == [v.variant_id for v in variants]
     assert models["xgb_optimized_v1"].predict(matrix.where(F.col("id") < 5)).count() == 5
+
+
+def test_leaves_equal_a_walk_of_each_row():
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 32, (500, 5)).astype(np.uint8)
+    g, h = rng.normal(size=500), rng.uniform(0.05, 0.25, 500)
+    for depth in (0, 1, 5, 9):
+        tree = bo.grow_tree(x, g, h, np.arange(5), bo.TreeParams(max_depth=depth, min_child_weight=0.1))
+        want = []
+        for row in x:
+            at = 0
+            while tree.left[at]:
+                at = tree.left[at] + int(row[tree.feature[at]] > tree.cut[at])
+            want.append(at)
+        assert tree.leaves(x).tolist() == want and tree.leaves(x[:0]).tolist() == []
+        assert tree.leaves(np.asfortranarray(x)).tolist() == want
+
+
+def test_training_rows_and_scores_are_computed_once(spark, sf_dir, monkeypatch):
+    from emberlog.plans import model_queries as mq
+
+    written, scored = [], []
+    monkeypatch.setattr(mq, "stored", lambda df: written.append(df.columns) or df.cache())
+    monkeypatch.setattr(mq, "evaluate_models", lambda df: scored.append(df) or df)
+    monkeypatch.setattr(bo, "TREES_A", bo.TreeParams(rounds=2))
+    monkeypatch.setattr(bo, "TREES_B", bo.TreeParams(rounds=2))
+    assert mq.booster_comparison(spark, sf_dir).count() > 0
+    # before the split, after it, and the scores, which the evaluation reads twice
+    assert written[0] == ["id", "label", "features"] and "split" in written[1] and "score" in written[2] and len(scored) == 1
