@@ -29,6 +29,8 @@ ODD = (
     r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
     r"|^\n|^ $|[\n ]$|[\t\x0b-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\x01\x02]"
 )
+#: Pieces in one call of the tokenizer.
+ASKED = 2000
 #: A letter or digit, one point or comma, white space: the mark is a token of its own.
 MARKED = r"([\p{L}\p{N}])([.,])([ \n]|$)"
 #: Characters beyond Latin letters: composed forms may depend on the case.
@@ -69,6 +71,8 @@ class PieceEncoder:
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._known: dict[str, bytes] = {}
         self._max_entries = max_entries
+        # a line end before a word is a piece of its own to the tokenizer
+        self._line_end = self._ask(["\n"])[0] if self._split == "joined" else b""
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         """Each text on its own; added tokens' strings in a text are ordinary text."""
@@ -99,15 +103,17 @@ class PieceEncoder:
             tokenize, code = self._tokenizer.model.tokenize, self._code
             lead, more = ("", []) if self._split == "dropped" else ("\u0120", [])
             for x in new:
-                core = x[1:] if lead and x[:1] == " " else x
+                first = x[:1] if lead else ""
+                core = x[1:] if first == " " or first == "\n" else x
                 if core.isascii() and core.isalpha() and not (self._split == "dropped" and not core.islower()):
-                    asked = core if core is x else lead + core
-                    known[x] = array.array(code, [t.id for t in tokenize(asked)]).tobytes()
+                    asked = lead + core if first == " " else core
+                    ids = array.array(code, [t.id for t in tokenize(asked)]).tobytes()
+                    known[x] = self._line_end + ids if first == "\n" else ids
                 else:
                     more.append(x)
             new = more
-        for at in range(0, len(new), 500):
-            part = new[at : at + 500]
+        for at in range(0, len(new), ASKED):
+            part = new[at : at + ASKED]
             known.update(zip(part, self._ask_joined(part), strict=True))
         return list(map(known.__getitem__, pieces))
 
@@ -126,7 +132,8 @@ class PieceEncoder:
         even = pc.replace_substring_regex(even, MARKED, mark)
         lists = pc.split_pattern(pc.replace_substring(even, "\n", line_end), " ")
         offsets, coded = lists.offsets.to_numpy().astype(np.int64), lists.flatten().dictionary_encode()
-        codes, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        # through numpy: a list straight from Arrow makes a scalar object for each piece first
+        codes, pieces = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         offsets = offsets - offsets[0]
         if self._split == "dropped":
             return codes, offsets, self._values(pieces)

@@ -165,3 +165,13 @@ def test_token_counts_hard_cases(spark, hard, nothing):
     six = next(r for r in out if r.doc_id == 6)
     assert six.text.endswith(" end") and six.recounted_chars < len(six.text) / 20
     assert token_trees.build_trees(nothing, BYTE).count() == 0
+
+
+def test_words_after_a_line_end_need_no_whole_pass(monkeypatch):
+    words, encode = PieceEncoder(BYTE), plain(BYTE)
+    asked = []
+    monkeypatch.setattr(words, "_ask_joined", lambda texts: asked.extend(texts) or words._ask(texts))
+    texts = ["one\nTwo\nthree four\n", "\nfive", "a\n\nb", "\n", "x\nété\n9"]
+    ids, offsets = words.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [encode(x) for x in texts]
+    assert not {"\nTwo", "\nthree"} & set(asked) and "\nété" in asked
