@@ -53,6 +53,8 @@ SETS = "content long, shingles array<int>"
 #: Bits of the map that thins out a second scan.
 MAP_BITS = 24
 _tables: dict[str, np.ndarray] = {}
+#: Code points that are looked up at once.
+SLICE = 1 << 18
 
 
 WINDOWS = "key long, doc_id long, text_hash long, start int, end int, seed boolean"
@@ -66,9 +68,20 @@ def _word_hashes(texts: list[str]):
     joined = "\n".join(texts) + "\n"
     sizes = np.array([len(x) + 1 for x in texts])
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-    edge = np.diff((~_tables["space"][code]).astype(np.int8), prepend=0, append=0)
+    # one more place on each side, which no word holds
+    inside, low = np.zeros(len(code) + 2, np.int8), np.empty(len(code), np.uint64)
+    for at in range(0, len(code), SLICE):
+        part = code[at : at + SLICE].astype(np.intp)
+        np.take(_tables["word"], part, out=inside[at + 1 : at + 1 + len(part)], mode="clip")
+        np.take(_tables["low"], part, out=low[at : at + SLICE], mode="clip")
+    edge = np.diff(inside)
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return code, start, end, _mixed(_hashes(_tables["low"][code].astype(np.uint64), start, end)), sizes
+    return code, start, end, _mixed(_hashes(low, start, end)), sizes
+
+
+def _numbered(bounds: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``bounds`` each of the sorted starts has reached."""
+    return np.repeat(np.arange(len(bounds) + 1), np.diff(np.searchsorted(start, bounds), prepend=0, append=len(start)))
 
 
 def _passages(texts: list[str], seeds: list[list[int]] | None = None):
@@ -76,7 +89,7 @@ def _passages(texts: list[str], seeds: list[list[int]] | None = None):
     ``seeds``, the starts of each text's seeds, the windows around those instead."""
     _, start, end, word, sizes = _word_hashes(texts)
     bounds = np.cumsum(sizes)
-    text = np.searchsorted(bounds, start, "right")
+    text = _numbered(bounds, start)
     n = len(word) - PASSAGE + 1
     if n < 1 or (seeds is None and n < PICK):
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, bool))
@@ -118,13 +131,13 @@ def bands_for(threshold: float, hashes: int, recall: float) -> tuple[int, int]:
 
 def _load() -> None:
     if not _tables:
-        space, low = np.zeros(0x110000, bool), np.arange(0x110000, dtype=np.uint32)
+        word, low = np.ones(0x110000, np.int8), np.arange(0x110000, dtype=np.uint64)
         for code in range(0x30000):
             c = chr(code)
-            space[code] = c.isspace()
+            word[code] = not c.isspace()
             if len(c.lower()) == 1:
                 low[code] = ord(c.lower())
-        _tables.update(space=space, low=low)
+        _tables.update(word=word, low=low)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -140,7 +153,7 @@ class _Units:
         code, start, end, word, sizes = _word_hashes(texts)
         bounds = np.cumsum(sizes)
         breaks = np.flatnonzero(code == 10)
-        line = np.searchsorted(breaks, start)
+        line = _numbered(breaks, start)
         first = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.zeros(0, np.int64)
         number, words = line[first], np.diff(np.append(first, len(line)))
         text = np.searchsorted(bounds, start[first], "right")

@@ -276,3 +276,14 @@ def test_imatch_hard_cases(spark, hard, nothing):
     assert imatch.fingerprint_with_edits(nothing).count() == 0
     plan = imatch.fingerprint_with_edits(one)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_places_in_joined_texts_equal_a_search():
+    texts = ["", "A bb\n\n ccc", " ", "dÉ e", "\n", "x" * 5] * 40
+    code, start, end, _, sizes = paragraphs._word_hashes(texts)
+    joined = "\n".join(texts) + "\n"
+    assert [joined[a:b] for a, b in zip(start, end, strict=True)] == joined.split()
+    for bounds in (np.cumsum(sizes), np.flatnonzero(code == 10)):
+        assert paragraphs._numbered(bounds, start).tolist() == np.searchsorted(bounds, start, "right").tolist()
+    none = paragraphs._word_hashes([""])
+    assert len(none[1]) == 0 and len(paragraphs._numbered(np.cumsum(none[4]), none[1])) == 0
