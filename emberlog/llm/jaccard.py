@@ -12,11 +12,23 @@ from pyspark.sql import functions as F
 from emberlog.llm.work import join_labels, lean, whole_groups
 
 
-def cells(rows: DataFrame, keys: list[str], node: str, cell_rows: int) -> DataFrame:
-    """Rows of groups (``keys``) with two rows at least, as cells (keys, i, j, side). A group
-    over ``cell_rows`` is cut into chunks, and each pair of chunks is a cell of its own: side
-    0 is compared with side 1, side 2 with itself."""
-    sizes = rows.groupBy(*keys).count().where("count > 1")
+def once_each(rows: DataFrame, group: str, node: str) -> DataFrame:
+    """Groups of two nodes at least, with their ``count``; of groups that hold the same nodes,
+    one. ``rows`` (group, node) are distinct. The same nodes are told by the smallest, the
+    largest, their number and a 64-bit hash of all."""
+    told = rows.groupBy(group).agg(
+        F.count(F.lit(1)).alias("count"), F.min(node).alias("lo"), F.max(node).alias("hi"), F.bit_xor(F.xxhash64(node)).alias("mix")
+    )
+    return told.where("count > 1").groupBy("count", "lo", "hi", "mix").agg(F.min(group).alias(group)).select(group, "count")
+
+
+def cells(rows: DataFrame, keys: list[str], node: str, cell_rows: int, sizes: DataFrame | None = None) -> DataFrame:
+    """Rows of groups (``keys``) with two rows at least, or of those in ``sizes`` (keys,
+    count), as cells (keys, i, j, side). A group over ``cell_rows`` is cut into chunks, and
+    each pair of chunks is a cell of its own: side 0 is compared with side 1, side 2 with
+    itself."""
+    if sizes is None:
+        sizes = rows.groupBy(*keys).count().where("count > 1")
     dealt = rows.join(sizes, keys).withColumn("chunks", F.ceil(F.col("count") / cell_rows).cast("int")).drop("count")
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64(node), F.col("chunks")).cast("int"))
     each = F.transform(

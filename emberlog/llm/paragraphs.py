@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberlog.llm.components import components
-from emberlog.llm.jaccard import cells, jaccard_edges
+from emberlog.llm.jaccard import cells, jaccard_edges, once_each
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
 from emberlog.llm.work import forget, lean, small, whole_groups, written
 
@@ -94,7 +94,7 @@ def _passages(texts: list[str], seeds: list[list[int]] | None = None):
     if n < 1 or (seeds is None and n < PICK):
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, bool))
     at = np.arange(n)
-    key = _mixed(_hashes(word, at, at + PASSAGE))
+    key = _mixed(_hashes(word, slice(0, n), slice(PASSAGE, PASSAGE + n)))
     if seeds is None:
         # the low bits hold the place; a text of over 16 million words takes some more
         low = np.uint64((1 << max(24, n.bit_length())) - 1)
@@ -193,10 +193,13 @@ class _Units:
         # minima from each paragraph's first shingle to its last; what lies between is unused
         spans = np.column_stack((self.first, self.first + self.n_words - SHINGLE + 1)).ravel()
         draws = np.random.default_rng(11).integers(1, 1 << 63, (bands * rows, 2), dtype=np.uint64) | np.uint64(1)
+        drawn = np.empty_like(self.shingle)
         for band in range(bands):
             value = np.full(len(self.first), band + 1, np.uint64)
             for a, b in draws[band * rows : (band + 1) * rows]:
-                least = np.minimum.reduceat((self.shingle * a + b) >> np.uint64(32), spans)[::2]
+                np.multiply(self.shingle, a, out=drawn)
+                drawn += b
+                least = np.minimum.reduceat(drawn, spans)[::2] >> np.uint64(32)
                 value = _mixed(value * MULTIPLIER + least)
             banded[:, band] = value
         return banded
@@ -363,7 +366,8 @@ def link_edges(docs: DataFrame, found: DataFrame, threshold: float, min_words: i
     shared = banded.groupBy("band").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo != hi").select("band")
     met = written(banded.join(shared, "band").distinct(), "met-bands")
     sets = written(_sets(docs, met.select("content").distinct(), min_words), "sets")
-    dealt = cells(met, ["band"], "content", cell_rows).join(sets, "content")
+    # near-copies meet in most of their bands, often with nothing else there
+    dealt = cells(met, ["band"], "content", cell_rows, once_each(met, "band", "content")).join(sets, "content")
     return jaccard_edges(dealt, "band", "content", threshold)
 
 
@@ -413,7 +417,7 @@ def _axis(table: pa.Table, starts: np.ndarray):
     """Which rows are removed lines; start and end with each text on an axis of its own;
     text of each row and the axis' width."""
     start, end = table.column("start").to_numpy(), table.column("end").to_numpy()
-    line = np.array(table.column("unit").to_pylist()) == "paragraph"
+    line = pc.equal(table.column("unit"), "paragraph").to_numpy()
     group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     width = np.int64(int(end.max()) + 2)
     return line, start + group * width, end + group * width, group, width
@@ -442,7 +446,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.append(True, a[rows][1:] >= far[:-1])[: len(rows)])
         out_row, out_a, out_b = [np.flatnonzero(line)], [a[line]], [b[line]]
         if len(first):
-            seed = np.array(table.column("seed").to_pylist())[rows].astype(bool)
+            seed = pc.fill_null(table.column("seed"), False).to_numpy()[rows]
             seeded = np.logical_or.reduceat(seed, first)
             lead, run_a, run_b = rows[first][seeded], a[rows[first]][seeded], np.maximum.reduceat(b[rows], first)[seeded]
             line_a, line_b = np.unique(a[line]), np.unique(b[line])

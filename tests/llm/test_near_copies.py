@@ -196,6 +196,26 @@ def test_passages_go_from_the_first_word_to_the_last(spark):
     assert (21, "paragraph", line) in found and line.split()[-1] not in cut[21]
 
 
+def test_bands_that_hold_the_same_paragraphs_are_compared_once(spark, monkeypatch):
+    words = [f"v{i}" for i in range(60)]
+    texts = [" ".join(words[:i] + ["z"] * (i > 0) + words[i + 1 :]) for i in (0, 30, 59)] + [" ".join(f"r{i}" for i in range(40))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = paragraphs.paragraphs(frame, 25, 12, 4)
+    content = {r.doc_id: r.content for r in found.collect()}
+    label = grouped(content.values(), [tuple(r) for r in paragraphs.link_edges(frame, found, 0.8, 25).collect()])
+    assert len({label[content[i]] for i in range(3)}) == 1 and label[content[3]] == content[3]
+    monkeypatch.setattr(paragraphs, "jaccard_edges", lambda dealt, *_: dealt)
+    together, held = defaultdict(set), defaultdict(set)
+    for r in paragraphs.link_edges(frame, found, 0.8, 25).collect():
+        together[r.band].add(r.content)
+    for r in found.collect():
+        for band in r.bands:
+            held[band].add(r.content)
+    compared = sorted(tuple(sorted(c)) for c in together.values())
+    assert compared == sorted({tuple(sorted(c)) for c in held.values() if len(c) > 1})
+    assert len(compared) < sum(len(c) > 1 for c in held.values())
+
+
 def test_paragraphs_near_copies_and_hot_groups(spark):
     rng = np.random.default_rng(8)
     words = [f"v{i}" for i in range(60)]
