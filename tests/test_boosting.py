@@ -203,3 +203,49 @@ def test_training_rows_and_scores_are_computed_once(spark, sf_dir, monkeypatch):
     assert mq.booster_comparison(spark, sf_dir).count() > 0
     # before the split, after it, and the scores, which the evaluation reads twice
     assert written[0] == ["id", "label", "features"] and "split" in written[1] and "score" in written[2] and len(scored) == 1
+
+
+def _numbered(spark, n):
+    return ft.clean_vector(spark.range(n).selectExpr("id", "cast(id % 3 = 0 as int) as label", "cast(id as double) as x"), ["x"])
+
+
+def test_every_row_reaches_every_model(spark):
+    binned = bo.bin_rows(_numbered(spark, 60_000), group=F.col("id") % 5)
+    assert binned.n == 60_000
+
+    def work(rows, task):
+        return len(rows.y), float((rows.x[:, 0] * (np.arange(len(rows.y)) % 97)).sum() + rows.group.sum() + rows.y.sum()) * task
+
+    got = bo.run_tasks(spark, binned, work, [1, 2, 3], "task long, n long, sum double")
+    want = work(binned.arrays, 1)
+    assert [tuple(r) for r in got] == [(i, 60_000, want[1] * (i + 1)) for i in range(3)]
+    assert bo.run_tasks(spark, bo.bin_rows(_numbered(spark, 0)), lambda rows, task: (len(rows.y),), [0, 1], "task long, n long")[1].n == 0
+
+
+def test_parts_and_files_change_nothing(monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 32, (700, 5)).astype(np.uint8)
+    y = (x[:, 0] + rng.integers(0, 9, 700) > 20).astype(float)
+    p = bo.TreeParams(booster="dart", rounds=12, rate_drop=0.4)
+    whole = bo.fit_trees(x, y, np.ones(700), p)
+    for name, value in (("PART", 64), ("PART_BINS", 128), ("HELD", 0), ("SLICE", 50)):
+        monkeypatch.setattr(bo, name, value)
+    parts = bo.fit_trees(np.asfortranarray(x), y, np.ones(700), p)
+    assert np.allclose(bo.margins(whole, x), bo.margins(parts, x)) and len(parts) == 12
+
+
+def test_queries_set_no_limit_of_rows(spark, sf_dir, monkeypatch):
+    from emberlog.plans import model_queries as mq
+
+    monkeypatch.setattr(mq, "training_table", lambda *_: (spark.createDataFrame([(1, 0, "val"), (2, 1, "train")], "id int, label int, split string"), ["x"]))
+    asked = []
+
+    def stop(*_, **options):
+        asked.append(options)
+        raise StopIteration
+
+    monkeypatch.setattr(bo, "bin_rows", stop)
+    for query in (mq.booster_comparison, mq.feature_importance):
+        with pytest.raises(StopIteration):
+            query(spark, sf_dir)
+    assert len(asked) == 2 and all(o.get("max_rows") is None for o in asked)
