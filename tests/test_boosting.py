@@ -249,3 +249,10 @@ def test_queries_set_no_limit_of_rows(spark, sf_dir, monkeypatch):
         with pytest.raises(StopIteration):
             query(spark, sf_dir)
     assert len(asked) == 2 and all(o.get("max_rows") is None for o in asked)
+
+
+def test_search_takes_all_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(tu, "judge_folds", lambda _, binned, tasks: seen.append(binned.n) or [(0.5, 0.5)] * len(tasks))
+    trials, binned = tu.search(_numbered(spark, 21_000), n_trials=2, folds=2, startup=2)
+    assert seen == [21_000] and binned.n == 21_000 and len(trials) == 2
