@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import lean, small, written
+from emberlog.llm.work import lean, small, unsized, written
 
 SIZE = 5
 MAP_BITS = 24
@@ -217,7 +217,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, min_li
     pairs = enough.where(F.col("all") >= share * F.col("of")).select("doc_id", "item_id")
     centres = by_offset.join(pairs, ["doc_id", "item_id"]).withColumnRenamed("offset", "best").withColumnRenamed("n", "n_best")
     around = met.withColumn("best", F.explode(F.sequence(F.col("offset") - slack, F.col("offset") + slack)))
-    near = around.join(centres, ["doc_id", "item_id", "best"])
+    near = unsized(around).join(centres, ["doc_id", "item_id", "best"])
     # at most 2 * slack + 1 matches of each window of the item
     match = F.struct("item_place", "place", "offset", "start", "end", "literal", "slots", "item_slots")
     along = near.groupBy("doc_id", "item_id", "best", "n_best").agg(F.max("item_windows").alias("item_windows"), F.collect_list(match).alias("met"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.llm.work import join_labels, lean, whole_groups
+from emberlog.llm.work import join_labels, lean, unsized, whole_groups
 
 
 def once_each(rows: DataFrame, group: str, node: str) -> DataFrame:
@@ -29,7 +29,7 @@ def cells(rows: DataFrame, keys: list[str], node: str, cell_rows: int, sizes: Da
     itself."""
     if sizes is None:
         sizes = rows.groupBy(*keys).count().where("count > 1")
-    dealt = rows.join(sizes, keys).withColumn("chunks", F.ceil(F.col("count") / cell_rows).cast("int")).drop("count")
+    dealt = unsized(rows).join(sizes, keys).withColumn("chunks", F.ceil(F.col("count") / cell_rows).cast("int")).drop("count")
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64(node), F.col("chunks")).cast("int"))
     each = F.transform(
         F.sequence(F.lit(0), F.col("chunks") - 1),

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from emberlog.llm.components import components
 from emberlog.llm.jaccard import cells, jaccard_edges, once_each
 from emberlog.llm.quality_mil import MULTIPLIER, _hashes
-from emberlog.llm.work import forget, lean, small, whole_groups, written
+from emberlog.llm.work import forget, lean, small, unsized, whole_groups, written
 
 SHINGLE = 5
 PASSAGE, PICK = 25, 26
@@ -364,7 +364,7 @@ def link_edges(docs: DataFrame, found: DataFrame, threshold: float, min_words: i
     components are those of all links."""
     banded = found.select("content", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("content").alias("lo"), F.max("content").alias("hi")).where("lo != hi").select("band")
-    met = written(banded.join(shared, "band").distinct(), "met-bands")
+    met = written(unsized(banded).join(shared, "band").distinct(), "met-bands")
     sets = written(_sets(docs, met.select("content").distinct(), min_words), "sets")
     # near-copies meet in most of their bands, often with nothing else there
     dealt = cells(met, ["band"], "content", cell_rows, once_each(met, "band", "content")).join(sets, "content")

@@ -9,8 +9,10 @@ import pytest
 import xxhash
 
 import __spark_entry__ as entry
-from emberlog.llm import imatch, paragraphs, simhash
+from emberlog.llm import decontaminate, imatch, paragraphs, simhash
 from emberlog.llm.components import components
+from emberlog.llm.jaccard import cells
+from emberlog.llm.work import written
 
 
 def grouped(nodes, links):
@@ -307,3 +309,15 @@ def test_places_in_joined_texts_equal_a_search():
         assert paragraphs._numbered(bounds, start).tolist() == np.searchsorted(bounds, start, "right").tolist()
     none = paragraphs._word_hashes([""])
     assert len(none[1]) == 0 and len(paragraphs._numbered(np.cumsum(none[4]), none[1])) == 0
+
+
+def test_rows_of_a_pass_or_an_explode_are_not_broadcast(spark):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    reps = written(spark.range(50).selectExpr("id * 7919 as fp", "id as fp2", "id as rep"))
+    spread = reps.mapInArrow(simhash._sampled_keys(4, 3), "tab int, key long, fp long, fp2 long, rep long")
+    dealt = cells(spread, ["tab", "key"], "rep", 4)
+    assert "SortMergeJoin" in plan(dealt) and "BroadcastHashJoin" not in plan(dealt)
+    text = "a question of many plain words that asks how far the small red train goes"
+    docs = spark.createDataFrame([(i, f"{text} {i}") for i in range(9)], "doc_id long, text string")
+    leaks = decontaminate.find_leaks(docs, spark.createDataFrame([(1, text)], "item_id long, text string"))
+    assert re.search(r"SortMergeJoin \[doc_id#\w+, item_id#\w+, best#", plan(leaks)) and leaks.count() == 9
