@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.llm.work import shuffle_parts, written
+from emberlog.llm.work import shuffle_parts, unsized, written
 
 LARGEST = float(1 << 20)
 INDEX = "grp long, seq long, label long, n int, dim int, ids binary, sizes binary, vectors binary, orders binary"
@@ -265,12 +265,12 @@ def _passes(index: DataFrame, blocks: DataFrame, wanted, same: bool, focus: int,
     groups = index.select("grp", "label").distinct()
     if same:
         meet = blocks.select("block", F.explode("block_labels").alias("label")).join(groups, "label")
-        copies = meet.select("block", "grp").distinct().join(blocks, "block")
     else:
-        parts = shuffle_parts(index.sparkSession)
-        dealt = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-        by_part = groups.select("grp", F.pmod(F.xxhash64("grp"), F.lit(parts)).cast("int").alias("part")).distinct()
-        copies = dealt.join(by_part, "part")
+        meet = blocks.select("block").crossJoin(groups.select("grp").distinct())
+    # numbers meet first: copies of the vectors would be counted as one each, and broadcast;
+    # by a fixed number, or these few bytes would become one task that makes all copies
+    parts = shuffle_parts(index.sparkSession)
+    copies = unsized(meet.select("block", "grp").distinct().repartition(parts, "block")).join(blocks, "block")
     columns = ["grp", "kind", "seq", "label", "n", "dim", "ids", "labels", "vectors", "sizes", "orders", "positives"]
     empty = F.lit(None).cast("binary")
     ours = index.select("*", F.lit(0).alias("kind"), empty.alias("labels"), F.lit(None).cast(given or "int").alias("positives")).select(columns)
@@ -305,7 +305,6 @@ def _passes(index: DataFrame, blocks: DataFrame, wanted, same: bool, focus: int,
             columns = list(zip(*out, strict=True)) or [[]] * len(schema.split(","))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [x.split()[0] for x in schema.split(", ")])
 
-    parts = shuffle_parts(index.sparkSession)
     both = ours.unionByName(theirs).repartition(parts, "grp").sortWithinPartitions("grp", "kind", "seq")
     return both.mapInArrow(run, schema)
 
@@ -346,7 +345,7 @@ def mine(
     found = _passes(index, blocks, five, True, focus, "block long, place long, score long, other long")
     best = _first(found, ["block", "place"], positives, "score", "other").dropDuplicates(["block", "place", "score", "other"])
     by_block = best.groupBy("block").agg(F.collect_list(F.struct("place", "other", "score")).alias("positives"))
-    with_positives = written(blocks.join(by_block, "block"), "anchor-positives")
+    with_positives = written(unsized(blocks).join(by_block, "block"), "anchor-positives")
     given = "array<struct<place: long, other: long, score: long>>"
 
     def ten(anchors, pairs):

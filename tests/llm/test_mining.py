@@ -52,6 +52,20 @@ def test_negatives_against_brute_force(spark, spread, focus, bucket_rows, pack):
     assert len(want) > 200 and mined(found) == want
 
 
+def test_copies_of_anchor_blocks_are_not_broadcast(spark):
+    rows = [(i, i % 3, [float(i % 7), float(i % 5)]) for i in range(90)]
+    index = hn.build_index(hn._quantised(spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>"), 1.0, "embedding"), 8, 2)
+    anchors = hn._quantised(spark.createDataFrame(rows[::3], "vec_id long, label int, embedding array<float>"), 1.0, "embedding")
+    blocks = hn._blocks(anchors, 4)
+    n_groups = index.select("grp").distinct().count()
+    for same in (False, True):
+        found = hn._passes(index, blocks, lambda a, _: ([[(i,)] for i in range(len(a["ids"]))], [[hn._Best(2, -np.inf, np.inf)] for _ in a["ids"]]), same, 2, "block long, place long, score long, other long")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [block#" in plan and "explode(sequence" not in plan
+        # each anchor meets each group that can matter once: two of other labels or its own
+        assert 0 < found.count() <= 2 * 30 * n_groups
+
+
 def test_ranges_keep_every_row_and_drop_some():
     """Feasible ranges against the scores themselves."""
     rng = np.random.default_rng(5)
