@@ -8,6 +8,7 @@ import subprocess
 import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,3 +315,24 @@ def test_the_rest_stands_without_this_part(tmp_path, gone):
             shutil.copy(source, tmp_path / name)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and len(q) > 100 and e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+
+
+def test_the_map_of_windows_grows_with_them(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MAP_BITS", 8)
+    asked = spark.range(5000).selectExpr("id as doc_id", "id * 7919 as text_hash", "id % 97 as start")
+    bits = suffix_dedup._bit_map(asked)
+    # two bits of each of 5,000 windows; a map that is full picks every other window as well
+    assert 0.03 < np.unpackbits(bits).mean() < 0.1
+    monkeypatch.setattr(suffix_dedup, "MOST_BITS", 9)
+    assert len(suffix_dedup._bit_map(asked)) == 64
+
+
+def test_blocks_hold_their_columns():
+    columns = [np.arange(7, dtype="<u8") << 40, np.zeros(0, np.int64), np.arange(300, dtype=np.uint16), np.arange(5, dtype=np.uint8)]
+    for given, found in zip(columns, suffix_dedup._spread(suffix_dedup._squeezed(*columns)), strict=True):
+        assert given.dtype == found.dtype and given.tolist() == found.tolist()
+    # each of 64 shards costs a block: one for the whole pass, not one for each part of it
+    made = suffix_dedup._blocks(64, 50, 16)
+    texts = [" ".join(f"w{i * 7919 % 9973}x{i}" for i in range(k * 500, k * 500 + 110_000)) for k in range(10)]
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": texts, "text_hash": list(range(10))})
+    assert sum(b.num_rows for b in made(iter([rows]))) == 64
